@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -69,6 +68,12 @@ def top2_by_key(df: DataFrame, key: str = "id", value: str = "vc", n: int = 2) -
 
 # --- running top-k per key in arrival order (K2 / T5) ---------------------------
 
+def _sequential(df: DataFrame, cluster: list[str], sort: list[str], fn, schema: T.StructType) -> DataFrame:
+    """Run ``fn`` over Arrow batches of partitions clustered by ``cluster``
+    and sorted by ``sort`` (one Python call per batch, not per group)."""
+    return df.repartition(*cluster).sortWithinPartitions(*sort).mapInArrow(fn, schema)
+
+
 def running_topk(df: DataFrame, k: int = 3, key: str = "id", order: str = "seq", value: str = "vc",
                  chunk_width: int = DEFAULT_CHUNK_WIDTH) -> DataFrame:
     """After every row, the ``k`` largest values of its key so far (desc).
@@ -77,8 +82,9 @@ def running_topk(df: DataFrame, k: int = 3, key: str = "id", order: str = "seq",
     (b) per key, fold the chunk summaries in chunk order into the top-k of
     all *earlier* chunks (a table ``chunk_width`` times smaller than the
     input); (c) per ``(key, chunk)`` -- at most ``chunk_width`` rows -- walk
-    the rows in order starting from that prefix. (b) and (c) keep at most k
-    values of state, in Arrow batches.
+    the rows in order starting from that prefix. (b) and (c) are sorted
+    partition scans in Arrow batches holding at most k values of state, so a
+    hot key is spread over its chunks.
     """
     key_type = df.schema[key].dataType
     d = (df.where(F.col(value).isNotNull())
@@ -94,42 +100,54 @@ def running_topk(df: DataFrame, k: int = 3, key: str = "id", order: str = "seq",
 
     # The functions shipped to the Python workers are self-contained (no
     # references to this module), so executors need not import the package.
-    def fold_chunks(pdf: pd.DataFrame) -> pd.DataFrame:
-        def _merge_topk(acc, vals, k):
-            return sorted(list(acc) + list(vals), reverse=True)[:k]
-
-        pdf = pdf.sort_values("__chunk")
-        acc: list = []
-        out = []
-        for top in pdf["top"]:
-            out.append(list(acc))
-            acc = _merge_topk(acc, top, k)
-        return pd.DataFrame({key: pdf[key].values, "__chunk": pdf["__chunk"].values, "__prefix": out})
-
-    prefix = summary.groupBy(key).applyInPandas(fold_chunks, prefix_schema)
+    def fold_chunks(batches):
+        import pyarrow as pa
+
+        cur, acc = object(), []
+        for b in batches:
+            keys, chunks, tops = (b.column(key).to_pylist(), b.column("__chunk").to_pylist(),
+                                  b.column("top").to_pylist())
+            out = []
+            for kk, top in zip(keys, tops):
+                if kk != cur:
+                    cur, acc = kk, []
+                out.append(list(acc))
+                acc = sorted(acc + list(top), reverse=True)[:k]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(key), b.column("__chunk"), pa.array(out, pa.list_(pa.int32()))],
+                schema=pa.schema([(key, b.schema.field(key).type), ("__chunk", pa.int64()),
+                                  ("__prefix", pa.list_(pa.int32()))]))
+
+    prefix = _sequential(summary, [key], [key, "__chunk"], fold_chunks, prefix_schema)
 
     out_schema = T.StructType([T.StructField(key, key_type), T.StructField(order, T.LongType()),
                                T.StructField(value, T.IntegerType()),
                                T.StructField(f"top{k}", T.ArrayType(T.IntegerType()))])
 
-    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
+    def walk(batches):
         import bisect
 
-        pdf = pdf.sort_values(order)
-        first = pdf["__prefix"].iloc[0]
-        acc = list(first) if first is not None else []
-        res = []
-        asc = sorted(acc)  # ascending copy for bisect
-        for v in pdf[value].to_numpy():
-            bisect.insort(asc, int(v))
-            if len(asc) > k:
-                del asc[0]
-            res.append(asc[::-1])
-        return pd.DataFrame({key: pdf[key].values, order: pdf[order].values, value: pdf[value].values,
-                             f"top{k}": res})
-
-    joined = d.join(prefix, [key, "__chunk"], "left")
-    return joined.groupBy(key, "__chunk").applyInPandas(walk, out_schema)
+        import pyarrow as pa
+
+        cur, asc = object(), []
+        for b in batches:
+            keys, chunks = b.column(key).to_pylist(), b.column("__chunk").to_pylist()
+            vals, pres = b.column(value).to_pylist(), b.column("__prefix").to_pylist()
+            out = []
+            for kk, ck, v, pre in zip(keys, chunks, vals, pres):
+                if (kk, ck) != cur:
+                    cur, asc = (kk, ck), sorted(pre or [])
+                bisect.insort(asc, v)
+                if len(asc) > k:
+                    del asc[0]
+                out.append(asc[::-1])
+            yield pa.RecordBatch.from_arrays(
+                [b.column(key), b.column(order), b.column(value), pa.array(out, pa.list_(pa.int32()))],
+                schema=pa.schema([(key, b.schema.field(key).type), (order, pa.int64()), (value, pa.int32()),
+                                  (f"top{k}", pa.list_(pa.int32()))]))
+
+    joined = d.join(prefix, [key, "__chunk"], "left").select(key, order, value, "__chunk", "__prefix")
+    return _sequential(joined, [key, "__chunk"], [key, "__chunk", order], walk, out_schema)
 
 
 def running_top3(df: DataFrame, key: str = "id", order: str = "seq", value: str = "vc",
