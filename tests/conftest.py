@@ -15,8 +15,11 @@ SF_ORACLE = "/root/testdata/sf0.01"
 def spark():
     from tideline.session import get_session
 
+    import tempfile
+
     s = get_session("local[4]", app="tideline-tests", shuffle_partitions=8,
-                    extra={"spark.executorEnv.PYTHONPATH": ROOT})
+                    extra={"spark.executorEnv.PYTHONPATH": ROOT,
+                           "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="tl-warehouse-")})
     yield s
     s.stop()
 
