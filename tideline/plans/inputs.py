@@ -43,8 +43,19 @@ def right(spark: SparkSession, sf: str, arrival: bool = False) -> DataFrame:
     return sensor_typed(spark, sf, arrival).where(~F.col("event_type").isin(*LEFT_TYPES)).drop("event_type")
 
 
+def spread_input(df: DataFrame) -> DataFrame:
+    """Round-robin the rows of a scan that has fewer input files than the
+    cluster has task slots, before CPU-heavy per-row work (tokenising whole
+    texts). A large input read from many files is left as it is -- it is
+    already spread, and a repartition would only shuffle the raw text."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if len(df.inputFiles()) < slots:
+        return df.repartition(slots)
+    return df
+
+
 def doc_lines(spark: SparkSession, sf: str) -> DataFrame:
-    return text_lines(schema.table(spark, sf, "documents").select("doc_id", "text"))
+    return text_lines(spread_input(schema.table(spark, sf, "documents").select("doc_id", "text")))
 
 
 def doc_words(spark: SparkSession, sf: str) -> DataFrame:
