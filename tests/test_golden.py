@@ -292,3 +292,20 @@ def test_watermark_partitioned(spark):
     got = sorted((r.key, r.window_start, r.cnt) for r in lateness.watermark_partitioned(df, 2, "vc", 10, 3).collect())
     # after seq 3 both partitions seen: wm = min(20, 30) - 3 = 17 -> ts 2 (window end 10) is dropped
     assert got == [(0, 30, 1), (1, 0, 1), (2, 20, 1)]
+
+
+def test_register_functions_for_sql(spark):
+    from tideline.functions.registry import register_all
+
+    names = register_all(spark)
+    assert {"java_hash", "split_words", "weighted_avg"} <= set(names)
+    r = spark.sql("select java_hash('s1') a, java_hash('') b").first()
+    assert (r.a, r.b) == (3614, 0)
+    spark.createDataFrame([(80, 4), (90, 4), (100, 2)], "v int, w int").createOrReplaceTempView("wt")
+    assert spark.sql("select weighted_avg(v, w) a from wt").first().a == 88
+    assert spark.sql("select count(*) n from split_words_py('hello  spark')").first().n == 3
+
+
+def test_rename_on_import(spark):
+    df = spark.createDataFrame([("hello hadoop",)], "value string").toDF("words")
+    assert df.columns == ["words"]
