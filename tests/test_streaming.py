@@ -145,3 +145,18 @@ def test_sliding_topn_stream(spark, arrivals_dir):
     want = topn.sliding_topn(batch, 7200, 3600, 2).where(F.col("window_end") <= wm)
     cols = ["window_end", "rank", "vc", "cnt"]
     assert _rows(got, cols) == _rows(want, cols)
+
+
+def test_interval_and_window_join_stream(spark, arrivals_dir):
+    from tideline.operators import joins
+
+    path, batch = arrivals_dir
+    s = windows.with_watermark(file_stream(spark, path, schema.SENSOR_SEQ), 3 * 86400)
+    left, right = s.where(F.col("vc") % 2 == 0), s.where(F.col("vc") % 2 == 1)
+    got = _run(spark, joins.interval_join_plain(left, right, -7200, 3600))
+    bl, br = batch.where(F.col("vc") % 2 == 0), batch.where(F.col("vc") % 2 == 1)
+    cols = ["id", "l_ts", "l_vc", "r_ts", "r_vc"]
+    assert _rows(got, cols) == _rows(joins.interval_join(bl, br, -7200, 3600), cols)
+    got_w = _run(spark, joins.window_join(left, right, 86400))
+    cols_w = ["id", "window_start", "l_ts", "r_ts"]
+    assert _rows(got_w, cols_w) == _rows(joins.window_join(bl, br, 86400), cols_w)

@@ -55,6 +55,15 @@ def interval_join_plain(left: DataFrame, right: DataFrame, lower_s: int = -2, up
     """Inner join on key with ``l.ts + lower <= r.ts <= l.ts + upper`` (both
     bounds inclusive). One equi-key: all rows of a key meet in one sort-merge
     group. Works on streams with watermarks on both sides."""
+    if left.isStreaming or right.isStreaming:
+        # range on the watermarked event-time columns, so Spark can evict
+        # join state once the watermark passes a row's interval
+        l = _side(event_time(left), "l", (key, "ts", "vc", "et"))
+        r = _side(event_time(right), "r", (key, "ts", "vc", "et"))
+        cond = ((l[f"l_{key}"] == r[f"r_{key}"])
+                & (r.r_et >= l.l_et + F.expr(f"INTERVAL {int(lower_s)} SECONDS"))
+                & (r.r_et <= l.l_et + F.expr(f"INTERVAL {int(upper_s)} SECONDS")))
+        return _pairs(l.join(r, cond), key)
     l, r = _side(left, "l"), _side(right, "r")
     cond = ((l[f"l_{key}"] == r[f"r_{key}"])
             & (r.r_ts >= l.l_ts + F.lit(lower_s)) & (r.r_ts <= l.l_ts + F.lit(upper_s)))
@@ -76,9 +85,12 @@ def interval_join(left: DataFrame, right: DataFrame, lower_s: int = -2, upper_s:
         return interval_join_plain(left, right, lower_s, upper_s, key)
     span = upper_s - lower_s
     w = int(bucket_s or max(span, 1))
-    l = _side(left, "l").withColumn("bucket", F.floor(F.col("l_ts") / F.lit(w)))
-    lo = F.floor((F.col("r_ts") - F.lit(upper_s)) / F.lit(w))
-    hi = F.floor((F.col("r_ts") - F.lit(lower_s)) / F.lit(w))
+
+    def bucket(c):
+        return F.expr(f"(({c}) - pmod({c}, {w})) div {w}")
+
+    l = _side(left, "l").withColumn("bucket", bucket("l_ts"))
+    lo, hi = bucket(f"r_ts - ({int(upper_s)})"), bucket(f"r_ts - ({int(lower_s)})")
     r = _side(right, "r").withColumn("bucket", F.explode(F.sequence(lo, hi)))
     cond = ((l[f"l_{key}"] == r[f"r_{key}"]) & (l.bucket == r.bucket)
             & (r.r_ts >= l.l_ts + F.lit(lower_s)) & (r.r_ts <= l.l_ts + F.lit(upper_s)))
