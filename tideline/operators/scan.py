@@ -25,6 +25,7 @@ from typing import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Rows per chunk at most (for a dense order column). A chunk is one window
 # partition, sorted in one task; 1M rows is a few MB sorted.
@@ -129,36 +130,62 @@ def prefix_scan(df: DataFrame, order_by: Sequence[str] | str, scans: Iterable[Sc
     ck = "__chunk"
     base = df.withColumn(ck, chunk if chunk is not None else chunk_of(order[0], chunk_width))
 
+    # Keys as plain (non-null) columns: the window, the chunk table and the
+    # join back then all hash-partition on exactly (keys, chunk), so the big
+    # side is shuffled once. A nullable key becomes (value-or-default, is-null).
+    kcols: list[str] = []
+    for i, k in enumerate(keys):
+        f = base.schema[k]
+        if f.nullable:
+            base = (base.withColumn(f"__kv{i}", F.coalesce(F.col(k), _default(f.dataType)))
+                    .withColumn(f"__kn{i}", F.col(k).isNull()))
+            kcols += [f"__kv{i}", f"__kn{i}"]
+        else:
+            kcols.append(k)
+
     # 1. running aggregate inside each (key, chunk)
-    w_in = Window.partitionBy(*keys, ck).orderBy(*order)
+    w_in = Window.partitionBy(*kcols, ck).orderBy(*order)
     local = base
     for s in scans:
         frame = w_in.rowsBetween(Window.unboundedPreceding, 0 if s.inclusive else -1)
         local = local.withColumn(f"__loc_{s.name}", _running(s.kind, s.col(), frame))
 
     # 2. one row per chunk (map-side partial aggregation)
-    totals = local.groupBy(*keys, ck).agg(
+    totals = base.groupBy(*kcols, ck).agg(
         *[_chunk_total(s.kind, s.col(), order).alias(f"__tot_{s.name}") for s in scans])
 
     # 3. exclusive prefix over the chunks of each key
-    w_ch = Window.partitionBy(*keys).orderBy(ck).rowsBetween(Window.unboundedPreceding, -1)
+    w_ch = Window.partitionBy(*kcols).orderBy(ck).rowsBetween(Window.unboundedPreceding, -1)
     prefix = totals.select(
-        *[F.col(k).alias(f"__k_{i}") for i, k in enumerate(keys)], F.col(ck).alias("__ck"),
-        *[_prefix_of_totals(s.kind, F.col(f"__tot_{s.name}"), w_ch).alias(f"__pre_{s.name}")
-          for s in scans])
-
-    # 4. join back (null-safe on the key) and combine
-    cond = [local[ck] == prefix["__ck"]] + [
-        local[k].eqNullSafe(prefix[f"__k_{i}"]) for i, k in enumerate(keys)]
-    joined = local.join(prefix, cond, "left")
-    out = joined
+        *kcols, ck,
+        *[_prefix_of_totals(s.kind, F.col(f"__tot_{s.name}"), w_ch).alias(f"__pre_{s.name}") for s in scans])
+
+    # 4. join back on (keys, chunk) and combine
+    out = local.join(prefix, [*kcols, ck], "left")
     for s in scans:
         out = out.withColumn(s.name, _combine(s.kind, F.col(f"__pre_{s.name}"), F.col(f"__loc_{s.name}")))
-    drop = [ck, "__ck"] + [f"__k_{i}" for i in range(len(keys))]
+    drop = [ck] + [c for c in kcols if c.startswith("__k")]
     drop += [f"__loc_{s.name}" for s in scans] + [f"__pre_{s.name}" for s in scans]
     return out.drop(*drop)
 
 
+def _default(dt: T.DataType) -> Column:
+    if isinstance(dt, T.StringType):
+        return F.lit("")
+    if isinstance(dt, T.BooleanType):
+        return F.lit(False)
+    if isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
+                       T.DecimalType)):
+        return F.lit(0).cast(dt)
+    if isinstance(dt, T.BinaryType):
+        return F.lit(b"")
+    if isinstance(dt, T.DateType):
+        return F.lit("1970-01-01").cast(dt)
+    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
+        return F.lit("1970-01-01 00:00:00").cast(dt)
+    raise TypeError(f"prefix_scan: unsupported nullable key type {dt}")
+
+
 def row_number_in_order(df: DataFrame, order_by: Sequence[str] | str, partition_by=(),
                         name: str = "rn", chunk_width: int = DEFAULT_CHUNK_WIDTH) -> DataFrame:
     """1-based position of each row within its key in ``order_by`` order,
