@@ -160,3 +160,28 @@ def test_interval_and_window_join_stream(spark, arrivals_dir):
     got_w = _run(spark, joins.window_join(left, right, 86400))
     cols_w = ["id", "window_start", "l_ts", "r_ts"]
     assert _rows(got_w, cols_w) == _rows(joins.window_join(bl, br, 86400), cols_w)
+
+
+def test_allowed_lateness_stream_matches_replay(spark):
+    from tideline.operators import lateness
+
+    base_ts = 1_000_000
+    rows = [("s1", base_ts + t, 1, i + 1) for i, t in enumerate((1, 5, 13, 6, 15, 3, 25))]
+    rows.append(("zz", base_ts + 1000, 1, 99))           # moves the watermark past every window
+    base = tempfile.mkdtemp(prefix="tl-late-")
+    src = os.path.join(base, "in")
+    os.makedirs(src)
+    for r in rows:                                        # one row per file = one row per micro-batch
+        d = os.path.join(base, f"f{r[3]:03d}")
+        spark.createDataFrame([r], schema.SENSOR_SEQ).coalesce(1).write.parquet(d)
+        f = [x for x in os.listdir(d) if x.endswith(".parquet")][0]
+        os.link(os.path.join(d, f), os.path.join(src, f"{r[3]:03d}.parquet"))
+        time.sleep(0.02)
+    got = _run(spark, P.allowed_lateness_stream(file_stream(spark, src, schema.SENSOR_SEQ), 10, 3, 2))
+    got = got.where(F.col("id") == "s1")
+    fired = sorted((r.window_start - base_ts, r.firing, r.cnt) for r in got.where("kind = 'firing'").collect())
+    assert fired == [(0, 0, 2), (0, 1, 3), (10, 0, 2), (20, 0, 1)]
+    assert [r.ts - base_ts for r in got.where("kind = 'late'").collect()] == [3]
+    batch = spark.createDataFrame(rows[:-1], schema.SENSOR_SEQ)
+    want = sorted((r.window_start - base_ts, r.firing, r.cnt) for r in lateness.allowed_lateness(batch, 10, 3, 2).collect())
+    assert fired == want

@@ -198,3 +198,96 @@ def apply(df: DataFrame, processor: StatefulProcessor, key: str = "id", time_mod
           output_mode: str = "Append") -> DataFrame:
     """``groupBy(key).transformWithState(processor, processor.SCHEMA, ...)``."""
     return df.groupBy(key).transformWithState(processor, processor.SCHEMA, output_mode, time_mode)
+
+
+class AllowedLateness(StatefulProcessor):
+    """Tumbling event-time windows with allowed lateness and a late side
+    output, per key.
+
+    Output rows: ``kind = 'firing'`` -- one per window firing (``firing`` 0 when
+    the watermark passes the window end, k for the k-th allowed-late row, each
+    with the full count/sum so far); ``kind = 'late'`` -- a row whose window
+    was already past ``end + lateness`` (the side output).
+
+    The reference's watermark is ``max ts - delay``. The input must carry
+    Spark's watermark with delay ``delay + lateness + size`` (see
+    :func:`allowed_lateness_stream`) so Spark keeps every row that may still
+    count; the processor adds ``lateness + size`` back to get the reference's
+    watermark. Classification uses the watermark of the micro-batch (Spark
+    moves it between batches, not per record).
+    """
+
+    SCHEMA = StructType([StructField("kind", StringType()), StructField("id", StringType()),
+                         StructField("window_start", LongType()), StructField("window_end", LongType()),
+                         StructField("firing", LongType()), StructField("cnt", LongType()),
+                         StructField("vc", LongType()), StructField("ts", LongType()),
+                         StructField("seq", LongType())])
+
+    def __init__(self, size_s: int = 10, delay_s: int = 3, lateness_s: int = 2):
+        self.size, self.delay, self.lateness = size_s, delay_s, lateness_s
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.windows = handle.getMapState("windows", "start bigint",
+                                          "cnt bigint, vc bigint, fired boolean, allowed bigint")
+
+    def _wm(self, timerValues) -> int | None:
+        spark_wm = timerValues.getCurrentWatermarkInMs()
+        if spark_wm <= 0:
+            return None  # no watermark yet
+        return spark_wm // 1000 + self.lateness + self.size
+
+    def _row(self, kind, key, start, firing=None, cnt=None, vc=None, ts=None, seq=None):
+        return Row(kind=kind, id=key, window_start=start, window_end=start + self.size, firing=firing,
+                   cnt=cnt, vc=vc, ts=ts, seq=seq)
+
+    def _close(self, key, wm) -> Iterator[Row]:
+        """Fire windows the watermark has passed; drop those past lateness."""
+        if wm is None:
+            return
+        for (start,), (cnt, vc, fired, allowed) in list(self.windows.iterator()):
+            end = start + self.size
+            if not fired and end <= wm:
+                if cnt:
+                    yield self._row("firing", key, start, 0, cnt, vc)
+                self.windows.updateValue((start,), (cnt, vc, True, allowed))
+            if end + self.lateness <= wm:
+                self.windows.removeKey((start,))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        wm = self._wm(timerValues)
+        yield from self._close(key[0], wm)
+        for r in _sorted(rows):
+            start = r.ts - r.ts % self.size
+            end = start + self.size
+            if wm is not None and end + self.lateness <= wm:
+                yield self._row("late", key[0], start, ts=r.ts, seq=r.seq, vc=r.vc)
+                continue
+            k = (start,)
+            cnt, vc, fired, allowed = self.windows.getValue(k) if self.windows.containsKey(k) else (0, None, False, 0)
+            vc = r.vc if vc is None else (vc if r.vc is None else vc + r.vc)
+            if wm is not None and end <= wm:          # closed: allowed-late row re-fires the window
+                allowed += 1
+                self.windows.updateValue(k, (cnt, vc, True, allowed))
+                yield self._row("firing", key[0], start, allowed, cnt + allowed, vc)
+            else:                                     # on time
+                if not self.windows.containsKey(k):
+                    self.handle.registerTimer((end - self.lateness - self.size) * 1000)
+                    self.handle.registerTimer((end - self.size) * 1000)
+                self.windows.updateValue(k, (cnt + 1, vc, fired, allowed))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        yield from self._close(key[0], self._wm(timerValues))
+
+    def close(self) -> None:
+        pass
+
+
+def allowed_lateness_stream(df: DataFrame, size_s: int = 10, delay_s: int = 3, lateness_s: int = 2,
+                            key: str = "id") -> DataFrame:
+    """Streaming allowed lateness: firings and late rows (``kind`` column)."""
+    from ..operators.windows import with_watermark
+
+    w = with_watermark(df, delay_s + lateness_s + size_s)
+    return w.groupBy(key).transformWithState(AllowedLateness(size_s, delay_s, lateness_s),
+                                             AllowedLateness.SCHEMA, "Append", "EventTime")
