@@ -185,3 +185,16 @@ def test_allowed_lateness_stream_matches_replay(spark):
     batch = spark.createDataFrame(rows[:-1], schema.SENSOR_SEQ)
     want = sorted((r.window_start - base_ts, r.firing, r.cnt) for r in lateness.allowed_lateness(batch, 10, 3, 2).collect())
     assert fired == want
+
+
+def test_over_range_count_stream_equals_batch(spark, arrivals_dir):
+    from tideline.operators import over
+
+    path, batch = arrivals_dir
+    delay = 3 * 86400
+    s = windows.with_watermark(file_stream(spark, path, schema.SENSOR_SEQ), delay)
+    got = _run(spark, P.apply(s, P.OverRangeCount(86400), time_mode="EventTime"))
+    wm = batch.agg(F.max("ts")).first()[0] - delay
+    want = over.over_range_count(batch, 86400).where(F.col("ts") <= wm)
+    cols = ["id", "ts", "seq", "cnt"]
+    assert _rows(got, cols) == _rows(want, cols)

@@ -149,23 +149,28 @@ def window_all(df: DataFrame, size_s: int = 5) -> DataFrame:
 
 # --- session windows (E9) --------------------------------------------------------
 
+# Width of the time chunks that split a key's rows for time-ordered scans.
+TIME_CHUNK_S = 3600
+
+
 def session_window(df: DataFrame, gap_s: int = 5, key: str = "id", ts_col: str = "ts",
-                   chunk_width: int = DEFAULT_CHUNK_WIDTH) -> DataFrame:
+                   chunk_s: int = TIME_CHUNK_S) -> DataFrame:
     """Sessions per key with gap ``gap_s``: a row starts a new session iff it
     is more than ``gap_s`` after the previous row of its key (windows that
     touch merge). Session = ``[first ts, last ts + gap)``.
 
     Batch plan: previous ts (``last``, exclusive) and the running session
     number are two-level prefix scans ordered by ``ts`` and chunked by time,
-    then a plain group-by -- a hot key is spread over its time chunks instead
-    of being merged in one task. Streaming input uses ``session_window``.
+    then a plain group-by -- a hot key is spread over its time chunks
+    (``chunk_s`` wide) instead of being merged in one task. Streaming input
+    uses ``session_window``.
     """
     if df.isStreaming:
         d = event_time(df, ts_col)
         r = d.groupBy(key, F.session_window("et", f"{int(gap_s)} seconds").alias("window")).agg(
             F.count(F.lit(1)).alias("cnt"), F.sum("vc").alias("vc"))
         return r.select(key, *_bounds(), "cnt", "vc")
-    width = max(chunk_width, gap_s)
+    width = max(int(chunk_s), 1)
     prev = prefix_scan(df, [ts_col], [Scan("__prev_ts", ts_col, "last", inclusive=False)], [key],
                        chunk_width=width)
     flagged = prev.withColumn("__new", F.when(F.col("__prev_ts").isNull()

@@ -17,6 +17,7 @@ or the :func:`apply` helper, which picks the time mode.
 
 from __future__ import annotations
 
+import bisect
 from typing import Iterator
 
 from pyspark.sql import DataFrame, Row
@@ -291,3 +292,56 @@ def allowed_lateness_stream(df: DataFrame, size_s: int = 10, delay_s: int = 3, l
     w = with_watermark(df, delay_s + lateness_s + size_s)
     return w.groupBy(key).transformWithState(AllowedLateness(size_s, delay_s, lateness_s),
                                              AllowedLateness.SCHEMA, "Append", "EventTime")
+
+
+class OverRangeCount(StatefulProcessor):
+    """``count(vc) over (partition by id order by ts range between R preceding
+    and current row)`` on a stream (Spark rejects non-time windows there).
+
+    Rows are buffered per key until the watermark passes their ``ts`` -- then
+    every row of that ``ts`` has arrived -- and emitted in ``ts`` order with
+    the count over ``[ts - R, ts]``. Rows stay buffered while they can still
+    fall in a later frame (``ts >= watermark - R``), so state is bounded by the
+    rows of one range plus the watermark delay.
+    """
+
+    SCHEMA = StructType([StructField("id", StringType()), StructField("ts", LongType()),
+                         StructField("vc", IntegerType()), StructField("seq", LongType()),
+                         StructField("cnt", LongType())])
+
+    def __init__(self, range_s: int = 10):
+        self.range = range_s
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.rows = handle.getMapState("rows", "ts bigint, seq bigint", "vc int, emitted boolean")
+
+    def _emit(self, key, timerValues) -> Iterator[Row]:
+        wm_ms = timerValues.getCurrentWatermarkInMs()
+        if wm_ms <= 0:
+            return
+        wm = wm_ms // 1000
+        buf = sorted(((ts, seq), (vc, emitted)) for (ts, seq), (vc, emitted) in self.rows.iterator())
+        ready = [(k, v) for k, v in buf if not v[1] and k[0] <= wm]
+        if ready:
+            stamps = [k[0] for k, v in buf if v[0] is not None]
+            for (ts, seq), (vc, _) in ready:
+                cnt = bisect.bisect_right(stamps, ts) - bisect.bisect_left(stamps, ts - self.range)
+                yield Row(id=key, ts=ts, vc=vc, seq=seq, cnt=cnt)
+                self.rows.updateValue((ts, seq), (vc, True))
+        just = {k for k, _ in ready}
+        for k, (vc, emitted) in buf:
+            if (emitted or k in just) and k[0] < wm - self.range:
+                self.rows.removeKey(k)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        for r in rows:
+            self.rows.updateValue((r.ts, r.seq), (r.vc, False))
+            self.handle.registerTimer(r.ts * 1000)
+        yield from self._emit(key[0], timerValues)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        yield from self._emit(key[0], timerValues)
+
+    def close(self) -> None:
+        pass
