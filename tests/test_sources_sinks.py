@@ -157,3 +157,35 @@ def test_ttl_state_expires_in_processing_time(spark):
 def test_sensor_views_agree_on_rows(spark):
     a, b = schema.sensor(spark, SF_SMALL), schema.sensor_arrivals(spark, SF_SMALL)
     assert a.count() == b.count() == b.select("seq").distinct().count()
+
+
+def test_processing_time_timer_and_sql_watermark(spark):
+    from tideline.operators.windows import watermark_on
+
+    base = tempfile.mkdtemp(prefix="tl-ptimer-")
+    src = os.path.join(base, "in")
+    os.makedirs(src)
+    spark.createDataFrame([("s1", 1, 1, 1)], schema.SENSOR_SEQ).coalesce(1).write.parquet(os.path.join(base, "f"))
+    f = [x for x in os.listdir(os.path.join(base, "f")) if x.endswith(".parquet")][0]
+    os.link(os.path.join(base, "f", f), os.path.join(src, "000.parquet"))
+    stream = watermark_on(row_time_column(file_stream(spark, src, schema.SENSOR_SEQ)), "row_time", 5)
+    q = (P.apply(stream, P.KeyTimer(fixed_ms=None, delay_ms=500), time_mode="ProcessingTime")
+         .writeStream.format("memory").queryName("tl_ptimer").option("checkpointLocation", os.path.join(base, "ck"))
+         .trigger(processingTime="200 milliseconds").start())
+    try:
+        end = time.time() + 60
+        while time.time() < end and spark.table("tl_ptimer").count() == 0:
+            time.sleep(0.5)
+    finally:
+        q.stop()
+    assert [r.id for r in spark.table("tl_ptimer").collect()] == ["s1"]
+
+
+def test_print_sink_starts(spark):
+    base = tempfile.mkdtemp(prefix="tl-print-")
+    with open(os.path.join(base, "a.txt"), "w") as f:
+        f.write("x\n")
+    q = sinks.print_sink(line_stream(spark, base), prefix="main")
+    q.processAllAvailable()
+    q.stop()
+    assert q.lastProgress["numInputRows"] == 1

@@ -33,6 +33,12 @@ def with_watermark(df: DataFrame, delay_s: int, ts_col: str = "ts") -> DataFrame
     return event_time(df, ts_col).withWatermark("et", f"{int(delay_s)} seconds")
 
 
+def watermark_on(df: DataFrame, time_col: str, delay_s: int) -> DataFrame:
+    """``WATERMARK FOR row_time AS row_time - INTERVAL 'delay' SECOND`` on an
+    existing TIMESTAMP column (e.g. ``row_time_column``)."""
+    return df.withWatermark(time_col, f"{int(delay_s)} seconds")
+
+
 def time_window(size_s: int, slide_s: int | None = None) -> Column:
     slide = f"{int(slide_s)} seconds" if slide_s and slide_s != size_s else None
     return F.window("et", f"{int(size_s)} seconds", slide)
