@@ -237,7 +237,7 @@ def test_interval_join_late(spark):
 
 def test_session_window(spark):
     df = sensor_df(spark, [("s1", 0, 1), ("s1", 5, 1), ("s1", 11, 1)])
-    got = sorted((r.window_start, r.window_end, r.cnt) for r in windows.session_window(df, 5, chunk_s=4).collect())
+    got = sorted((r.window_start, r.window_end, r.cnt) for r in windows.session_window(df, 5, chunk_rows=1).collect())
     assert got == [(0, 10, 2), (11, 16, 1)]
 
 

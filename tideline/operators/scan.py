@@ -186,6 +186,28 @@ def _default(dt: T.DataType) -> Column:
     raise TypeError(f"prefix_scan: unsupported nullable key type {dt}")
 
 
+def time_chunks(df: DataFrame, keys: Sequence[str] | str, ts_col: str,
+                target_rows: int = 1 << 16) -> Column:
+    """A per-key chunk column for scans ordered by an event-time column.
+
+    Time is not dense like an arrival sequence, so a fixed width either
+    leaves one row per chunk (sparse keys) or one huge chunk (a key with a
+    burst). The width is chosen per key from its row count and time span so
+    that a chunk holds about ``target_rows`` rows: ``chunk = (ts - min_ts)
+    div width``. Returns ``(frame, column)``: the frame carries the per-key
+    statistics (one small aggregation, joined back on the key -- AQE
+    broadcasts it when it is small)."""
+    ks = [keys] if isinstance(keys, str) else list(keys)
+    stats = df.groupBy(*ks).agg(F.count(F.lit(1)).alias("__n"), F.min(ts_col).alias("__t0"),
+                                F.max(ts_col).alias("__t1"))
+    stats = stats.withColumn("__w", F.greatest(
+        F.lit(1).cast("bigint"),
+        F.ceil((F.col("__t1") - F.col("__t0") + 1) * F.lit(target_rows) / F.col("__n")).cast("bigint")))
+    joined = df.join(stats.select(*ks, "__t0", "__w"), ks, "left") if ks else df.crossJoin(stats)
+    chunk = F.expr(f"(`{ts_col}` - __t0) div __w")
+    return joined, chunk
+
+
 def row_number_in_order(df: DataFrame, order_by: Sequence[str] | str, partition_by=(),
                         name: str = "rn", chunk_width: int = DEFAULT_CHUNK_WIDTH) -> DataFrame:
     """1-based position of each row within its key in ``order_by`` order,

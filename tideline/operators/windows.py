@@ -18,7 +18,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .scan import DEFAULT_CHUNK_WIDTH, Scan, prefix_scan
+from .scan import DEFAULT_CHUNK_WIDTH, Scan, prefix_scan, time_chunks
 from .transforms import parity_label
 
 
@@ -155,33 +155,35 @@ def window_all(df: DataFrame, size_s: int = 5) -> DataFrame:
 
 # --- session windows (E9) --------------------------------------------------------
 
-# Width of the time chunks that split a key's rows for time-ordered scans.
-TIME_CHUNK_S = 3600
+# Rows per chunk for time-ordered scans (the width in seconds adapts per key).
+TIME_CHUNK_ROWS = 1 << 16
 
 
 def session_window(df: DataFrame, gap_s: int = 5, key: str = "id", ts_col: str = "ts",
-                   chunk_s: int = TIME_CHUNK_S) -> DataFrame:
+                   chunk_rows: int = TIME_CHUNK_ROWS) -> DataFrame:
     """Sessions per key with gap ``gap_s``: a row starts a new session iff it
     is more than ``gap_s`` after the previous row of its key (windows that
     touch merge). Session = ``[first ts, last ts + gap)``.
 
     Batch plan: previous ts (``last``, exclusive) and the running session
-    number are two-level prefix scans ordered by ``ts`` and chunked by time,
-    then a plain group-by -- a hot key is spread over its time chunks
-    (``chunk_s`` wide) instead of being merged in one task. Streaming input
-    uses ``session_window``.
+    number are two-level prefix scans ordered by ``ts``, then a plain
+    group-by. The rows of a key are chunked by time with a per-key width
+    (about ``chunk_rows`` rows per chunk, :func:`~.scan.time_chunks`), so a
+    hot key is spread over many tasks and sparse keys cost one chunk each.
+    Streaming input uses ``session_window``.
     """
     if df.isStreaming:
         d = event_time(df, ts_col)
         r = d.groupBy(key, F.session_window("et", f"{int(gap_s)} seconds").alias("window")).agg(
             F.count(F.lit(1)).alias("cnt"), F.sum("vc").alias("vc"))
         return r.select(key, *_bounds(), "cnt", "vc")
-    width = max(int(chunk_s), 1)
-    prev = prefix_scan(df, [ts_col], [Scan("__prev_ts", ts_col, "last", inclusive=False)], [key],
-                       chunk_width=width)
+    d, chunk = time_chunks(df, key, ts_col, chunk_rows)
+    d = d.withColumn("__tchunk", chunk).drop("__t0", "__w")
+    prev = prefix_scan(d, [ts_col], [Scan("__prev_ts", ts_col, "last", inclusive=False)], [key],
+                       chunk=F.col("__tchunk"))
     flagged = prev.withColumn("__new", F.when(F.col("__prev_ts").isNull()
                                               | (F.col(ts_col) - F.col("__prev_ts") > F.lit(gap_s)), 1).otherwise(0))
-    numbered = prefix_scan(flagged, [ts_col], [Scan("__session", "__new", "sum")], [key], chunk_width=width)
+    numbered = prefix_scan(flagged, [ts_col], [Scan("__session", "__new", "sum")], [key], chunk=F.col("__tchunk"))
     return (numbered.groupBy(key, "__session")
             .agg(F.min(ts_col).alias("window_start"), (F.max(ts_col) + F.lit(gap_s)).alias("window_end"),
                  F.count(F.lit(1)).alias("cnt"), F.sum("vc").alias("vc"))
