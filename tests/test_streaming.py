@@ -198,3 +198,33 @@ def test_over_range_count_stream_equals_batch(spark, arrivals_dir):
     want = over.over_range_count(batch, 86400).where(F.col("ts") <= wm)
     cols = ["id", "ts", "seq", "cnt"]
     assert _rows(got, cols) == _rows(want, cols)
+
+
+def test_broadcast_threshold_stream(spark):
+    from tideline.streaming.runner import broadcast_threshold_batch
+
+    base = tempfile.mkdtemp(prefix="tl-thr-")
+    src, cfg, out = os.path.join(base, "in"), os.path.join(base, "cfg"), os.path.join(base, "out")
+    os.makedirs(src)
+
+    def add_data(vc, i):
+        d = os.path.join(base, f"d{i}")
+        spark.createDataFrame([("s", i, vc, i)], schema.SENSOR_SEQ).coalesce(1).write.parquet(d)
+        f = [x for x in os.listdir(d) if x.endswith(".parquet")][0]
+        os.link(os.path.join(d, f), os.path.join(src, f"{i:03d}.parquet"))
+
+    def add_config(thr, i):
+        spark.createDataFrame([(thr, i)], "threshold int, seq bigint").write.mode("append").parquet(cfg)
+
+    def run():
+        fn = broadcast_threshold_batch(
+            lambda: spark.read.parquet(cfg) if os.path.exists(cfg) else spark.createDataFrame([], "threshold int, seq bigint"),
+            append_to(out))
+        start(file_stream(spark, src, schema.SENSOR_SEQ), os.path.join(base, "ck"), fn).awaitTermination()
+
+    # arrival: data 5; config 10; data 9; data 10; config 3; data 4
+    add_data(5, 1); run()
+    add_config(10, 2); add_data(9, 3); add_data(10, 4); run()
+    add_config(3, 5); add_data(4, 6); run()
+    got = sorted((r.vc, r.threshold) for r in spark.read.parquet(out).collect())
+    assert got == [(4, 3), (5, 0), (10, 10)]

@@ -81,3 +81,29 @@ def restartable_word_count(spark: SparkSession, lines_dir: str, out_path: str, c
     words = tokenize(text_lines(lines.withColumnRenamed("doc", "doc_id"), "text", keep=("doc_id",)))
     counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
     return start(counts, checkpoint, overwrite_to(out_path), output_mode="complete")
+
+
+def broadcast_threshold_batch(config_reader: Callable[[], DataFrame], writer: Callable[[DataFrame, int], None],
+                              order: str = "seq", default: int = 0) -> Callable[[DataFrame, int], None]:
+    """foreachBatch function for the broadcast-threshold job on a stream.
+
+    Each micro-batch re-reads the config table (``config_reader()``, columns
+    ``threshold`` and ``order``), takes its latest row -- exactly one row, so
+    the broadcast has a fixed size -- and keeps the data rows with
+    ``vc >= threshold``. Config rows apply from the next micro-batch on.
+    """
+    from ..operators.joins import THRESHOLD_END, THRESHOLD_TEXT
+    from ..operators.windows import sensor_text
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        latest = (config_reader().orderBy(F.desc(order)).limit(1)
+                  .select(F.col("threshold").cast("int").alias("__thr")))
+        thr = batch.crossJoin(F.broadcast(latest)) if latest.take(1) else batch.withColumn("__thr", F.lit(None))
+        out = (thr.withColumn("threshold", F.coalesce(F.col("__thr"), F.lit(default)))
+               .where(F.col("vc") >= F.col("threshold"))
+               .select("id", "ts", "vc", order, "threshold",
+                       F.concat(sensor_text(F.col("id"), F.col("ts"), F.col("vc")), F.lit(THRESHOLD_TEXT),
+                                F.col("threshold").cast("string"), F.lit(THRESHOLD_END)).alias("text")))
+        writer(out, batch_id)
+
+    return run
