@@ -228,3 +228,27 @@ def test_broadcast_threshold_stream(spark):
     add_config(3, 5); add_data(4, 6); run()
     got = sorted((r.vc, r.threshold) for r in spark.read.parquet(out).collect())
     assert got == [(4, 3), (5, 0), (10, 10)]
+
+
+def test_running_word_count_stream(spark):
+    from pyspark.sql import types as T
+
+    from tideline.operators.transforms import text_lines, tokenize
+
+    base = tempfile.mkdtemp(prefix="tl-rwc-")
+    for i, chunk in enumerate([["hello scala", "hello java"], ["hello git  1", "hello hot-fix 2"],
+                               ["hello remote", "hello remote1"]]):
+        with open(os.path.join(base, f"{i}.txt"), "w") as f:
+            f.write("\n".join(chunk) + "\n")
+        time.sleep(0.05)
+    lines = (spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).text(base)
+             .select(F.input_file_name().alias("doc_id"), F.col("value").alias("text")))
+    words = tokenize(text_lines(lines, "text", keep=("doc_id",)))
+    cols = T.StructType([T.StructField("word", T.StringType()), T.StructField("doc_id", T.StringType()),
+                         T.StructField("line_no", T.LongType()), T.StructField("word_no", T.LongType())])
+    proc = P.RunningCount("word", ("doc_id", "line_no", "word_no"), cols)
+    got = _run(spark, words.select("word", "doc_id", "line_no", "word_no")
+               .groupBy("word").transformWithState(proc, proc.SCHEMA, "Append", "None"))
+    hello = sorted(r.cnt for r in got.where("word = 'hello'").collect())
+    assert hello == [1, 2, 3, 4, 5, 6]
+    assert got.count() == 15  # every word emits once (incl. the empty word of the double space)

@@ -345,3 +345,28 @@ class OverRangeCount(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class RunningCount(StatefulProcessor):
+    """Keyed running count emitted for **every** input row (``keyBy(word).sum(1)``
+    on a stream); Spark's own ``groupBy().count()`` in update mode emits one
+    row per key per micro-batch instead. Rows of a key inside a batch are
+    counted in ``order`` order."""
+
+    def __init__(self, key: str, order: tuple, columns: StructType):
+        self.key, self.order = key, tuple(order)
+        self.SCHEMA = StructType(list(columns.fields) + [StructField("cnt", LongType())])
+        self.names = [f.name for f in columns.fields]
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.count = handle.getValueState("count", "n bigint")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        n = self.count.get()[0] if self.count.exists() else 0
+        for r in sorted(rows, key=lambda r: tuple(r[c] for c in self.order)):
+            n += 1
+            yield Row(**{c: r[c] for c in self.names}, cnt=n)
+        self.count.update((n,))
+
+    def close(self) -> None:
+        pass
