@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import JOIN_ARROW_INTERVAL, JOIN_ARROW_WINDOW, THRESHOLD_ALERT, render
 from .scan import DEFAULT_CHUNK_WIDTH, Scan, prefix_scan
 from .windows import event_time, sensor_text
 
@@ -40,13 +41,13 @@ def window_join(left: DataFrame, right: DataFrame, size_s: int = 10, key: str =
     return j.select(F.col(f"l_{key}").alias(key), l.window_start,
                     (l.window_start + F.lit(size_s)).alias("window_end"),
                     "l_ts", "l_vc", "r_ts", "r_vc",
-                    F.concat(sensor_text(F.col(f"l_{key}"), F.col("l_ts"), F.col("l_vc")), F.lit("---->"),
+                    F.concat(sensor_text(F.col(f"l_{key}"), F.col("l_ts"), F.col("l_vc")), F.lit(JOIN_ARROW_WINDOW),
                              sensor_text(F.col(f"r_{key}"), F.col("r_ts"), F.col("r_vc"))).alias("text"))
 
 
 def _pairs(j: DataFrame, key: str) -> DataFrame:
     return j.select(F.col(f"l_{key}").alias(key), "l_ts", "l_vc", "r_ts", "r_vc",
-                    F.concat(sensor_text(F.col(f"l_{key}"), F.col("l_ts"), F.col("l_vc")), F.lit("--->"),
+                    F.concat(sensor_text(F.col(f"l_{key}"), F.col("l_ts"), F.col("l_vc")), F.lit(JOIN_ARROW_INTERVAL),
                              sensor_text(F.col(f"r_{key}"), F.col("r_ts"), F.col("r_vc"))).alias("text"))
 
 
@@ -99,10 +100,11 @@ def interval_join(left: DataFrame, right: DataFrame, lower_s: int = -2, upper_s:
 
 # --- broadcast threshold (J4) -----------------------------------------------------
 
-# Suffix of the alert line and the threshold before any config.
-THRESHOLD_TEXT = ",水位超过指定阈值："
-THRESHOLD_END = "!!!"
-DEFAULT_THRESHOLD = 0
+DEFAULT_THRESHOLD = 0  # threshold before any config row (the reference's default)
+
+
+def threshold_alert(id_c, ts_c, vc_c, thr_c):
+    return render(THRESHOLD_ALERT, record=sensor_text(id_c, ts_c, vc_c), threshold=thr_c)
 
 
 def broadcast_threshold(data: DataFrame, config: DataFrame, order: str = "seq",
@@ -124,5 +126,4 @@ def broadcast_threshold(data: DataFrame, config: DataFrame, order: str = "seq",
     out = (s.where("__data").withColumn("threshold", F.coalesce(F.col("__thr"), F.lit(DEFAULT_THRESHOLD)))
            .where(F.col("vc") >= F.col("threshold")))
     return out.select("id", "ts", "vc", order, "threshold",
-                      F.concat(sensor_text(F.col("id"), F.col("ts"), F.col("vc")), F.lit(THRESHOLD_TEXT),
-                               F.col("threshold").cast("string"), F.lit(THRESHOLD_END)).alias("text"))
+                      threshold_alert(F.col("id"), F.col("ts"), F.col("vc"), F.col("threshold")).alias("text"))

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import HISTOGRAM_ENTRY, LEVEL_JUMP, RUNNING_SUM, render
 from .scan import DEFAULT_CHUNK_WIDTH, Scan, prefix_scan
 
 
@@ -24,8 +25,7 @@ def level_jump_alert(df: DataFrame, threshold: int = 10, key: str = "id", order:
     s = s.withColumn("last_vc", F.coalesce(F.col("__prev"), F.lit(0)))
     return (s.where(F.abs(F.col("vc") - F.col("last_vc")) > threshold)
             .select(key, "ts", "vc", order, "last_vc",
-                    F.concat(F.lit("lastVc:"), F.col("last_vc").cast("string"), F.lit(",vc:"),
-                             F.col("vc").cast("string")).alias("text")))
+                    render(LEVEL_JUMP, last=F.col("last_vc"), vc=F.col("vc")).alias("text")))
 
 
 def level_jump_alert_ttl(df: DataFrame, ttl_s: int = 10, threshold: int = 10, key: str = "id",
@@ -42,8 +42,7 @@ def level_jump_alert_ttl(df: DataFrame, ttl_s: int = 10, threshold: int = 10, ke
     s = s.withColumn("last_vc", F.when(alive, F.coalesce(F.col("__prev"), F.lit(0))).otherwise(F.lit(0)))
     return (s.where(F.abs(F.col("vc") - F.col("last_vc")) > threshold)
             .select(key, "ts", "vc", order, "last_vc",
-                    F.concat(F.lit("lastVc:"), F.col("last_vc").cast("string"), F.lit(",vc:"),
-                             F.col("vc").cast("string")).alias("text")))
+                    render(LEVEL_JUMP, last=F.col("last_vc"), vc=F.col("vc")).alias("text")))
 
 
 def running_histogram(df: DataFrame, key: str = "id", order: str = "seq",
@@ -60,8 +59,7 @@ def histogram_final(df: DataFrame, key: str = "id") -> DataFrame:
     """The map state at end of input, one row per entry, plus the text line
     ``vc=count`` the reference prints for it."""
     g = df.where(F.col("vc").isNotNull()).groupBy(key, "vc").agg(F.count(F.lit(1)).alias("cnt"))
-    return g.withColumn("text", F.concat(F.lit("vc="), F.col("vc").cast("string"), F.lit(",count="),
-                                         F.col("cnt").cast("string")))
+    return g.withColumn("text", render(HISTOGRAM_ENTRY, vc=F.col("vc"), count=F.col("cnt")))
 
 
 def running_sum(df: DataFrame, key: str = "id", order: str = "seq",
@@ -70,7 +68,7 @@ def running_sum(df: DataFrame, key: str = "id", order: str = "seq",
     (BIGINT: the reference's int would wrap at 2^31)."""
     s = prefix_scan(df, order, [Scan("vc_sum", F.col("vc").cast("bigint"), "sum")], key, chunk_width=chunk_width)
     return s.select(key, "ts", "vc", order, "vc_sum",
-                    F.concat(F.lit("key:"), F.col(key), F.lit(",vcSum:"), F.col("vc_sum").cast("string")).alias("text"))
+                    render(RUNNING_SUM, key=F.col(key), sum=F.col("vc_sum")).alias("text"))
 
 
 def running_avg(df: DataFrame, key: str = "id", order: str = "seq",

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .scan import DEFAULT_CHUNK_WIDTH, Scan, prefix_scan
-from .windows import assign_tumbling, format_millis
+from .windows import assign_tumbling, window_header
 
 ON_TIME, ALLOWED, LATE = "on_time", "allowed", "late"
 
@@ -63,9 +63,7 @@ def side_output(classified: DataFrame, status: str = LATE) -> DataFrame:
 
 def _contents(rows: DataFrame, key: str) -> DataFrame:
     r = rows.groupBy(key, "window_start", "window_end").agg(F.count(F.lit(1)).alias("cnt"), F.sum("vc").alias("vc"))
-    return r.withColumn("text", F.concat(
-        F.lit("key="), F.col(key), F.lit("的窗口["), format_millis(F.col("window_start") * 1000), F.lit(","),
-        format_millis(F.col("window_end") * 1000), F.lit(")包含"), F.col("cnt").cast("string"), F.lit("条数据")))
+    return r.withColumn("text", window_header(F.col(key)))
 
 
 def watermark_windows(df: DataFrame, size_s: int = 10, delay_s: int = 0, key: str = "id", order: str = "seq",

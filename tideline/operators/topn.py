@@ -7,12 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .scan import DEFAULT_CHUNK_WIDTH, chunk_of
+from ..functions.text import RULE, TOPN_ENTRY, render
 from .windows import format_millis, window_agg
 
-# Separator line and the window-end label of the printed report.
-RULE = "================================"
-WINDOW_END_LABEL = "窗口结束时间="
-MIN_INT = -2147483648
+MIN_INT = -2147483648  # Integer.MIN_VALUE, the empty-slot sentinel of the top-2 accumulator
 
 
 def sliding_count(df: DataFrame, size_s: int = 10, slide_s: int = 5, value: str = "vc") -> DataFrame:
@@ -36,9 +34,8 @@ def sliding_topn_all(df: DataFrame, size_s: int = 10, slide_s: int = 5, n: int =
     ``Top<i>``, value, count and the formatted window end. Same two-phase
     plan as :func:`sliding_topn`; only the <= n winners are gathered."""
     t = sliding_topn(df, size_s, slide_s, n, value)
-    entry = F.concat(F.lit("Top"), F.col("rank").cast("string"), F.lit("\nvc="), F.col(value).cast("string"),
-                     F.lit("\ncount="), F.col("cnt").cast("string"), F.lit("\n" + WINDOW_END_LABEL),
-                     format_millis(F.col("window_end") * 1000), F.lit("\n" + RULE + "\n"))
+    entry = render(TOPN_ENTRY + RULE + "\n", rank=F.col("rank"), vc=F.col(value), count=F.col("cnt"),
+                   end=format_millis(F.col("window_end") * 1000))
     g = t.groupBy("window_start", "window_end").agg(
         F.array_sort(F.collect_list(F.struct("rank", entry.alias("e")))).alias("entries"))
     return g.select("window_start", "window_end",

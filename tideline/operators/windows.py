@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .scan import DEFAULT_CHUNK_WIDTH, Scan, prefix_scan, time_chunks
+from ..functions.text import AGG_AND_PROCESS, PARITY_SUM, SENSOR_RECORD, WINDOW_HEADER, render
 from .transforms import parity_label
 
 
@@ -83,26 +84,23 @@ def tumbling_process(df: DataFrame, size_s: int = 5, key: str = "id") -> DataFra
 
 
 def sensor_text(id_c: Column, ts_c: Column, vc_c: Column) -> Column:
-    """``WaterSensor(id=…, ts=…, vc=…)`` as the bean's toString prints it."""
-    return F.concat(F.lit("WaterSensor(id="), F.coalesce(id_c, F.lit("null")),
-                    F.lit(", ts="), F.coalesce(ts_c.cast("string"), F.lit("null")),
-                    F.lit(", vc="), F.coalesce(vc_c.cast("string"), F.lit("null")), F.lit(")"))
+    """A sensor record as the reference prints it (``SENSOR_RECORD``)."""
+    return render(SENSOR_RECORD, id=id_c, ts=ts_c, vc=vc_c)
 
 
 def tumbling_agg_format(df: DataFrame, size_s: int = 5, key: str = "id") -> DataFrame:
     """Incremental aggregate then a window function that prints
     ``key:[WaterSensor(...)],`` (one aggregate per window)."""
     r = tumbling_reduce(df, size_s, key)
-    return r.withColumn("text", F.concat(F.col(key), F.lit(":["),
-                                         sensor_text(F.col(key), F.col("ts"), F.col("vc")), F.lit("],")))
+    return r.withColumn("text", render(AGG_AND_PROCESS, key=F.col(key),
+                                       record=sensor_text(F.col(key), F.col("ts"), F.col("vc"))))
 
 
 def parity_window_reduce(df: DataFrame, size_s: int = 5, value: str = "vc") -> DataFrame:
     """Integers keyed even/odd, tumbling window, sum, text ``key：<label>[sum]``."""
     d = df.withColumn("parity", parity_label(F.col(value)))
     r = window_agg(d, size_s, {"total": F.sum(value)}, ["parity"])
-    return r.withColumn("text", F.concat(F.lit("key："), F.col("parity"), F.lit("["),
-                                         F.col("total").cast("string"), F.lit("]")))
+    return r.withColumn("text", render(PARITY_SUM, label=F.col("parity"), total=F.col("total")))
 
 
 # --- window contents (A13) and formatting ----------------------------------------
@@ -115,17 +113,19 @@ def format_millis(ms: Column) -> Column:
 
 def window_contents(df: DataFrame, size_s: int = 10, key: str = "id") -> DataFrame:
     """Per key and window: bounds, row count and the header the reference
-    prints: ``key=<k>的窗口[<start>,<end>)包含<n>条数据``.
+    prints (``WINDOW_HEADER``).
 
     The members themselves stay rows (``assign_tumbling``); they are not
     gathered into one value, so a hot window never becomes one huge cell.
     """
     r = window_agg(df, size_s, {"cnt": F.count(F.lit(1))}, [key])
-    text = F.concat(F.lit("key="), F.col(key), F.lit("的窗口["),
-                    format_millis(F.col("window_start") * 1000), F.lit(","),
-                    format_millis(F.col("window_end") * 1000), F.lit(")包含"),
-                    F.col("cnt").cast("string"), F.lit("条数据"))
-    return r.withColumn("text", text)
+    return r.withColumn("text", window_header(F.col(key)))
+
+
+def window_header(key: Column) -> Column:
+    """``WINDOW_HEADER`` from ``window_start``, ``window_end`` and ``cnt``."""
+    return render(WINDOW_HEADER, key=key, start=format_millis(F.col("window_start") * 1000),
+                  end=format_millis(F.col("window_end") * 1000), count=F.col("cnt"))
 
 
 def assign_tumbling(df: DataFrame, size_s: int, ts_col: str = "ts") -> DataFrame:

@@ -126,5 +126,6 @@ def sql_fmt_ms(expr: str) -> str:
 
 
 def sql_sensor_text(i: str, t: str, v: str) -> str:
-    return (f"concat('WaterSensor(id=', coalesce({i}, 'null'), ', ts=', coalesce(CAST({t} AS VARCHAR), 'null'), "
-            f"', vc=', coalesce(CAST({v} AS VARCHAR), 'null'), ')')")
+    from ..functions.text import SENSOR_RECORD, sql_render
+
+    return sql_render(SENSOR_RECORD, id=i, ts=t, vc=v)

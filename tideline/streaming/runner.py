@@ -92,8 +92,7 @@ def broadcast_threshold_batch(config_reader: Callable[[], DataFrame], writer: Ca
     the broadcast has a fixed size -- and keeps the data rows with
     ``vc >= threshold``. Config rows apply from the next micro-batch on.
     """
-    from ..operators.joins import THRESHOLD_END, THRESHOLD_TEXT
-    from ..operators.windows import sensor_text
+    from ..operators.joins import threshold_alert
 
     def run(batch: DataFrame, batch_id: int) -> None:
         latest = (config_reader().orderBy(F.desc(order)).limit(1)
@@ -102,8 +101,7 @@ def broadcast_threshold_batch(config_reader: Callable[[], DataFrame], writer: Ca
         out = (thr.withColumn("threshold", F.coalesce(F.col("__thr"), F.lit(default)))
                .where(F.col("vc") >= F.col("threshold"))
                .select("id", "ts", "vc", order, "threshold",
-                       F.concat(sensor_text(F.col("id"), F.col("ts"), F.col("vc")), F.lit(THRESHOLD_TEXT),
-                                F.col("threshold").cast("string"), F.lit(THRESHOLD_END)).alias("text")))
+                       threshold_alert(F.col("id"), F.col("ts"), F.col("vc"), F.col("threshold")).alias("text")))
         writer(out, batch_id)
 
     return run
