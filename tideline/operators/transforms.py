@@ -110,9 +110,15 @@ def partition_by_key(df: DataFrame, key: Column, num_partitions: int) -> DataFra
 
 
 def partition_counts(df: DataFrame, key: Column, num_partitions: int) -> DataFrame:
-    """Rows per physical partition after :func:`partition_by_key`."""
-    return (partition_by_key(df, key, num_partitions)
-            .groupBy(F.spark_partition_id().alias("partition")).agg(F.count(F.lit(1)).alias("cnt")))
+    """Rows per physical partition under :func:`partition_by_key`.
+
+    Counted map-side first (one row per target partition and task), then only
+    those count rows go through the custom partitioner; the reported
+    partition is where they physically land."""
+    target = F.pmod(key, F.lit(num_partitions)).cast("int")
+    pre = df.groupBy(target.alias("__p")).agg(F.count(F.lit(1)).alias("cnt"))
+    placed = partition_by_key(pre, F.col("__p"), num_partitions)
+    return placed.select(F.spark_partition_id().alias("partition"), "cnt")
 
 
 def key_trace(df: DataFrame, key: Column | str = "id") -> DataFrame:
