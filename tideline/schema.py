@@ -37,8 +37,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def epoch_seconds(c: Column) -> Column:
-    """timestamp_ntz -> whole epoch seconds, independent of the session zone."""
-    return F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c)
+    """timestamp_ntz -> whole epoch seconds (the wall time read as UTC).
+
+    Date and time-of-day parts of a TIMESTAMP_NTZ carry no zone, so this is
+    the same under any ``spark.sql.session.timeZone`` (a cast to TIMESTAMP
+    would shift by the session zone's offset, DST included)."""
+    days = F.datediff(F.to_date(c), F.lit("1970-01-01").cast("date")).cast("bigint")
+    return (days * 86400 + F.hour(c).cast("bigint") * 3600 + F.minute(c).cast("bigint") * 60
+            + F.second(c).cast("bigint"))
 
 
 def sensor(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,16 +82,6 @@ def sensor_arrivals(spark: SparkSession, sf_dir: str, spread: int = ARRIVAL_SPRE
     )
 
 
-def sensor_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """CSV lines ``id,ts,vc,event_type`` (one extra field) built from events,
-    with ``seq`` = event_id."""
-    s = sensor(spark, sf_dir)
-    ev_type = table(spark, sf_dir, "events").select("event_id", "event_type")
-    return (s.join(ev_type, s.seq == ev_type.event_id)
-            .select(F.concat_ws(",", "id", F.col("ts").cast("string"), F.col("vc").cast("string"),
-                                "event_type").alias("value"), "seq"))
-
-
 # --- DuckDB twins of the views (used in oracle SQL) -------------------------
 
 SQL_SENSOR = ("SELECT concat('s', CAST(user_id AS VARCHAR)) AS id, "
