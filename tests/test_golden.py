@@ -193,6 +193,12 @@ def test_over_range_count(spark):
     for fn in (over.over_range_count, over.over_range_count_window):
         assert [r.cnt for r in fn(df, 10).orderBy("ts").collect()] == [1, 2, 2]
     assert [r.cnt for r in over.over_range_count(df, 10, bucket_s=25).orderBy("ts").collect()] == [1, 2, 2]
+    assert [r.cnt for r in over.over_range_count(df, 10, strategy="scan").orderBy("ts").collect()] == [1, 2, 2]
+    # peers (same ts) are all in each other's frame; null values are not counted
+    peers = sensor_df(spark, [("s1", 5, 1), ("s1", 5, None), ("s1", 5, 2), ("s1", 16, 1)])
+    for strategy in ("bucket", "scan"):
+        got = [r.cnt for r in over.over_range_count(peers, 10, strategy=strategy).orderBy("seq").collect()]
+        assert got == [2, 2, 2, 1], strategy
 
 
 def test_sliding_topn(spark):

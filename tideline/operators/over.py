@@ -5,19 +5,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .scan import TIME_CHUNK_COLS, Scan, prefix_scan, time_chunks
+
 
 def over_range_count(df: DataFrame, range_s: int = 10, key: str = "id", ts_col: str = "ts",
-                     value: str = "vc", bucket_s: int | None = None) -> DataFrame:
+                     value: str = "vc", bucket_s: int | None = None, strategy: str = "bucket",
+                     row_id: str = "seq") -> DataFrame:
     """``count(vc) over (partition by id order by ts range between range_s
     preceding and current row)`` -- both ends inclusive, peers included.
 
-    Plan: rows are grouped by ``(key, time bucket)`` with bucket width
+    ``strategy="bucket"`` (default) -- rows are grouped by ``(key, time bucket)`` with bucket width
     ``w >= range_s``; each row is also copied, as a *halo* row, into the next
     bucket. Every frame ``[t - range, t]`` then lies inside its row's own
     bucket plus the halo from the previous one, so the RANGE window runs per
     ``(key, bucket)`` -- a hot key is split by time -- and only owner rows
-    are kept. Exactly two copies of the input, one shuffle.
+    are kept. Exactly two copies of the input, one shuffle. A bucket holds the
+    rows of one range of one key, so a key that is dense within a single
+    range stays in one task; for such data use ``strategy="scan"``.
+
+    ``strategy="scan"`` -- ``count = #rows <= t - #rows < t - range``: every row
+    adds two probe rows, one prefix sum of non-null ``value`` flags runs over
+    rows and probes in ``(ts, kind)`` order (chunked per key by
+    :func:`~.scan.time_chunks`, so no group is larger than a chunk), and the
+    two probe values are paired back on ``row_id`` (unique per key).
     """
+    if strategy == "scan":
+        return _over_range_count_scan(df, range_s, key, ts_col, value, row_id)
     w = int(bucket_s or max(range_s, 1))
     if w < range_s:
         raise ValueError("bucket width must cover the range")
@@ -37,3 +50,21 @@ def over_range_count_window(df: DataFrame, range_s: int = 10, key: str = "id", t
     """The same result as one window per key (for keys known to be small)."""
     frame = Window.partitionBy(key).orderBy(F.col(ts_col)).rangeBetween(-int(range_s), 0)
     return df.withColumn("cnt", F.count(F.col(value)).over(frame))
+
+
+def _over_range_count_scan(df: DataFrame, range_s: int, key: str, ts_col: str, value: str,
+                           row_id: str) -> DataFrame:
+    rows = df.select(key, F.col(ts_col).alias("__pos"), F.lit(1).alias("__kind"),
+                     F.when(F.col(value).isNotNull(), 1).otherwise(0).alias("__w"), F.col(row_id).alias("__ref"))
+    lo = df.select(key, (F.col(ts_col) - F.lit(range_s)).alias("__pos"), F.lit(0).alias("__kind"),
+                   F.lit(0).alias("__w"), F.col(row_id).alias("__ref"))
+    hi = df.select(key, F.col(ts_col).alias("__pos"), F.lit(2).alias("__kind"),
+                   F.lit(0).alias("__w"), F.col(row_id).alias("__ref"))
+    both, chunk = time_chunks(rows.unionByName(lo).unionByName(hi), key, "__pos")
+    both = both.withColumn("__tc", chunk).drop(*TIME_CHUNK_COLS)
+    scanned = prefix_scan(both, ["__pos", "__kind", "__ref"], [Scan("__c", "__w", "sum")], key,
+                          chunk=F.col("__tc"))
+    probes = (scanned.where(F.col("__kind") != 1).groupBy(key, "__ref")
+              .agg((F.sum(F.when(F.col("__kind") == 2, F.col("__c")))
+                    - F.coalesce(F.sum(F.when(F.col("__kind") == 0, F.col("__c"))), F.lit(0))).alias("cnt")))
+    return df.join(probes.withColumnRenamed("__ref", row_id), [key, row_id])

@@ -186,6 +186,9 @@ def _default(dt: T.DataType) -> Column:
     raise TypeError(f"prefix_scan: unsupported nullable key type {dt}")
 
 
+TIME_CHUNK_COLS = ("__tc_t0", "__tc_width")
+
+
 def time_chunks(df: DataFrame, keys: Sequence[str] | str, ts_col: str,
                 target_rows: int = 1 << 16) -> Column:
     """A per-key chunk column for scans ordered by an event-time column.
@@ -196,15 +199,16 @@ def time_chunks(df: DataFrame, keys: Sequence[str] | str, ts_col: str,
     that a chunk holds about ``target_rows`` rows: ``chunk = (ts - min_ts)
     div width``. Returns ``(frame, column)``: the frame carries the per-key
     statistics (one small aggregation, joined back on the key -- AQE
-    broadcasts it when it is small)."""
+    broadcasts it when it is small) in the columns ``TIME_CHUNK_COLS``."""
     ks = [keys] if isinstance(keys, str) else list(keys)
     stats = df.groupBy(*ks).agg(F.count(F.lit(1)).alias("__n"), F.min(ts_col).alias("__t0"),
                                 F.max(ts_col).alias("__t1"))
-    stats = stats.withColumn("__w", F.greatest(
+    stats = stats.withColumn("__tc_width", F.greatest(
         F.lit(1).cast("bigint"),
         F.ceil((F.col("__t1") - F.col("__t0") + 1) * F.lit(target_rows) / F.col("__n")).cast("bigint")))
-    joined = df.join(stats.select(*ks, "__t0", "__w"), ks, "left") if ks else df.crossJoin(stats)
-    chunk = F.expr(f"(`{ts_col}` - __t0) div __w")
+    stats = stats.select(*ks, F.col("__t0").alias("__tc_t0"), "__tc_width")
+    joined = df.join(stats, ks, "left") if ks else df.crossJoin(stats)
+    chunk = F.expr(f"(`{ts_col}` - __tc_t0) div __tc_width")
     return joined, chunk
 
 

@@ -18,7 +18,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .scan import DEFAULT_CHUNK_WIDTH, Scan, prefix_scan, time_chunks
+from .scan import DEFAULT_CHUNK_WIDTH, TIME_CHUNK_COLS, Scan, prefix_scan, time_chunks
 from ..functions.text import AGG_AND_PROCESS, PARITY_SUM, SENSOR_RECORD, WINDOW_HEADER, render
 from .transforms import parity_label
 
@@ -178,7 +178,7 @@ def session_window(df: DataFrame, gap_s: int = 5, key: str = "id", ts_col: str =
             F.count(F.lit(1)).alias("cnt"), F.sum("vc").alias("vc"))
         return r.select(key, *_bounds(), "cnt", "vc")
     d, chunk = time_chunks(df, key, ts_col, chunk_rows)
-    d = d.withColumn("__tchunk", chunk).drop("__t0", "__w")
+    d = d.withColumn("__tchunk", chunk).drop(*TIME_CHUNK_COLS)
     prev = prefix_scan(d, [ts_col], [Scan("__prev_ts", ts_col, "last", inclusive=False)], [key],
                        chunk=F.col("__tchunk"))
     flagged = prev.withColumn("__new", F.when(F.col("__prev_ts").isNull()
