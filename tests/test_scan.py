@@ -12,13 +12,13 @@ rows_st = st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.one_of(st.non
 
 
 @settings(max_examples=8, deadline=None)
-@given(rows=rows_st, width=st.integers(1, 7))
-def test_prefix_scan_matches_window(spark, rows, width):
+@given(rows=rows_st, width=st.integers(1, 7), totals_from=st.sampled_from(["input", "window"]))
+def test_prefix_scan_matches_window(spark, rows, width, totals_from):
     df = spark.createDataFrame([(k, v, i * 3 - 20) for i, (k, v) in enumerate(rows)],
                                "k string, v int, seq bigint")
     got = prefix_scan(df, "seq", [Scan("s", "v", "sum"), Scan("c", "v", "count"), Scan("m", "v", "max", False),
                                   Scan("l", "v", "last", False), Scan("n", "v", "min")],
-                      "k", chunk_width=width)
+                      "k", chunk_width=width, totals_from=totals_from)
     w = Window.partitionBy("k").orderBy("seq")
     inc, exc = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(Window.unboundedPreceding, -1)
     ref = df.select("seq", F.sum("v").over(inc).alias("s2"), F.count("v").over(inc).alias("c2"),

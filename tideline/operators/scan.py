@@ -112,7 +112,7 @@ def _combine(kind: str, prefix: Column, local: Column) -> Column:
 
 def prefix_scan(df: DataFrame, order_by: Sequence[str] | str, scans: Iterable[Scan],
                 partition_by: Sequence[str] | str = (), chunk: Column | None = None,
-                chunk_width: int = DEFAULT_CHUNK_WIDTH) -> DataFrame:
+                chunk_width: int = DEFAULT_CHUNK_WIDTH, totals_from: str = "input") -> DataFrame:
     """Add one column per :class:`Scan`: a running aggregate over the rows of
     the same ``partition_by`` key that come before (and, if inclusive, at)
     each row in ``order_by`` order.
@@ -150,9 +150,19 @@ def prefix_scan(df: DataFrame, order_by: Sequence[str] | str, scans: Iterable[Sc
         frame = w_in.rowsBetween(Window.unboundedPreceding, 0 if s.inclusive else -1)
         local = local.withColumn(f"__loc_{s.name}", _running(s.kind, s.col(), frame))
 
-    # 2. one row per chunk (map-side partial aggregation)
-    totals = base.groupBy(*kcols, ck).agg(
-        *[_chunk_total(s.kind, s.col(), order).alias(f"__tot_{s.name}") for s in scans])
+    # 2. one row per chunk. "input": re-read the input and aggregate map-side
+    # (cheap for a column-pruned scan). "window": take each chunk's last
+    # running value from the window output, which is already clustered by
+    # (keys, chunk) -- no second evaluation of an expensive input.
+    if totals_from == "window":
+        last = F.struct(*[F.col(o) for o in order])
+        totals = local.groupBy(*kcols, ck).agg(
+            *[F.max_by(F.col(f"__loc_{s.name}") if s.inclusive
+                       else _combine(s.kind, F.col(f"__loc_{s.name}"), s.col()), last).alias(f"__tot_{s.name}")
+              for s in scans])
+    else:
+        totals = base.groupBy(*kcols, ck).agg(
+            *[_chunk_total(s.kind, s.col(), order).alias(f"__tot_{s.name}") for s in scans])
 
     # 3. exclusive prefix over the chunks of each key
     w_ch = Window.partitionBy(*kcols).orderBy(ck).rowsBetween(Window.unboundedPreceding, -1)
