@@ -315,3 +315,10 @@ def test_register_functions_for_sql(spark):
 def test_rename_on_import(spark):
     df = spark.createDataFrame([("hello hadoop",)], "value string").toDF("words")
     assert df.columns == ["words"]
+
+
+def test_processing_time_windows(spark):
+    df = transforms.row_time_column(sensor_df(spark, [("x", 1, 1), ("x", 2, 2), ("x", 3, 3), ("x", 4, 4)]))
+    got = {r.parity: r.total for r in windows.parity_window_reduce(df, 3600, time_col="row_time").collect()}
+    assert got == {"奇数": 4, "偶数": 6}  # current_timestamp() is one value per query: one window
+    assert windows.tumbling_window(df, 3600, time_col="row_time").first().cnt == 4

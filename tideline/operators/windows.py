@@ -17,6 +17,7 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .scan import DEFAULT_CHUNK_WIDTH, TIME_CHUNK_COLS, Scan, prefix_scan, time_chunks
 from ..functions.text import AGG_AND_PROCESS, PARITY_SUM, SENSOR_RECORD, WINDOW_HEADER, render
@@ -24,8 +25,15 @@ from .transforms import parity_label
 
 
 def event_time(df: DataFrame, ts_col: str = "ts") -> DataFrame:
-    """Add ``et`` (TIMESTAMP) from epoch seconds unless present."""
-    return df if "et" in df.columns else df.withColumn("et", F.timestamp_seconds(F.col(ts_col)))
+    """Add the window time column ``et`` unless present: from epoch seconds,
+    or -- for processing-time windows -- a TIMESTAMP column such as
+    ``row_time`` (see :func:`~.transforms.row_time_column`) used as is."""
+    if "et" in df.columns:
+        return df
+    c = F.col(ts_col)
+    if isinstance(df.schema[ts_col].dataType, (T.TimestampType, T.TimestampNTZType)):
+        return df.withColumn("et", c.cast("timestamp"))
+    return df.withColumn("et", F.timestamp_seconds(c))
 
 
 def with_watermark(df: DataFrame, delay_s: int, ts_col: str = "ts") -> DataFrame:
@@ -51,10 +59,10 @@ def _bounds(win: str = "window") -> list[Column]:
 
 
 def window_agg(df: DataFrame, size_s: int, aggs: dict[str, Column], keys: Sequence[str] = ("id",),
-               slide_s: int | None = None) -> DataFrame:
+               slide_s: int | None = None, time_col: str = "ts") -> DataFrame:
     """Group by keys and the (tumbling or sliding) window of ``et``;
     ``aggs`` maps output name -> aggregate."""
-    d = event_time(df)
+    d = event_time(df, time_col)
     return (d.groupBy(*keys, time_window(size_s, slide_s).alias("window"))
             .agg(*[c.alias(n) for n, c in aggs.items()])
             .select(*keys, *_bounds(), *aggs.keys()))
@@ -96,10 +104,11 @@ def tumbling_agg_format(df: DataFrame, size_s: int = 5, key: str = "id") -> Data
                                        record=sensor_text(F.col(key), F.col("ts"), F.col("vc"))))
 
 
-def parity_window_reduce(df: DataFrame, size_s: int = 5, value: str = "vc") -> DataFrame:
-    """Integers keyed even/odd, tumbling window, sum, text ``key：<label>[sum]``."""
+def parity_window_reduce(df: DataFrame, size_s: int = 5, value: str = "vc", time_col: str = "ts") -> DataFrame:
+    """Integers keyed even/odd, tumbling window, sum, text ``key：<label>[sum]``
+    (the reference runs it on processing time: pass ``time_col="row_time"``)."""
     d = df.withColumn("parity", parity_label(F.col(value)))
-    r = window_agg(d, size_s, {"total": F.sum(value)}, ["parity"])
+    r = window_agg(d, size_s, {"total": F.sum(value)}, ["parity"], time_col=time_col)
     return r.withColumn("text", render(PARITY_SUM, label=F.col("parity"), total=F.col("total")))
 
 
@@ -136,14 +145,16 @@ def assign_tumbling(df: DataFrame, size_s: int, ts_col: str = "ts") -> DataFrame
 
 # --- plain time windows (E7, E8, E12) --------------------------------------------
 
-def tumbling_window(df: DataFrame, size_s: int = 5, key: str = "id") -> DataFrame:
-    """Epoch-aligned tumbling window: rows and vc sum per key and window."""
-    return window_agg(df, size_s, {"cnt": F.count(F.lit(1)), "vc": F.sum("vc")}, [key])
+def tumbling_window(df: DataFrame, size_s: int = 5, key: str = "id", time_col: str = "ts") -> DataFrame:
+    """Epoch-aligned tumbling window: rows and vc sum per key and window
+    (``time_col`` = ``row_time`` for processing-time windows)."""
+    return window_agg(df, size_s, {"cnt": F.count(F.lit(1)), "vc": F.sum("vc")}, [key], time_col=time_col)
 
 
-def sliding_window(df: DataFrame, size_s: int = 10, slide_s: int = 2, key: str = "id") -> DataFrame:
+def sliding_window(df: DataFrame, size_s: int = 10, slide_s: int = 2, key: str = "id",
+                   time_col: str = "ts") -> DataFrame:
     """Sliding window: every row lands in ``size/slide`` windows."""
-    return window_agg(df, size_s, {"cnt": F.count(F.lit(1)), "vc": F.sum("vc")}, [key], slide_s)
+    return window_agg(df, size_s, {"cnt": F.count(F.lit(1)), "vc": F.sum("vc")}, [key], slide_s, time_col)
 
 
 def window_all(df: DataFrame, size_s: int = 5) -> DataFrame:
