@@ -30,8 +30,8 @@ def register_split_words_sql(spark: SparkSession, name: str = "split_words") ->
         RETURN SELECT w AS word, CAST(length(w) AS INT) AS length
                FROM (SELECT explode(
                    CASE WHEN s = '' THEN array('')
-                        WHEN regexp_replace(s, ' +$', '') = '' THEN CAST(array() AS ARRAY<STRING>)
-                        ELSE split(regexp_replace(s, ' +$', ''), ' ') END) AS w)
+                        WHEN rtrim(s) = '' THEN CAST(array() AS ARRAY<STRING>)
+                        ELSE split(rtrim(s), ' ') END) AS w)
     """)
 
 

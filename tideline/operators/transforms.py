@@ -21,7 +21,8 @@ def java_split(c: Column, sep: str = " ") -> Column:
     if len(sep) != 1:
         raise ValueError("java_split handles one-character separators")
     pattern = "\\" + sep if not sep.isalnum() else sep
-    trimmed = F.regexp_replace(c, pattern + "+$", "")
+    # rtrim strips exactly the trailing spaces (no regex per row)
+    trimmed = F.rtrim(c) if sep == " " else F.regexp_replace(c, pattern + "+$", "")
     return (F.when(c == "", F.array(F.lit("")))
             .when(trimmed == "", F.array().cast("array<string>"))
             .otherwise(F.split(trimmed, pattern)))
