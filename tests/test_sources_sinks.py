@@ -189,3 +189,19 @@ def test_print_sink_starts(spark):
     q.processAllAvailable()
     q.stop()
     assert q.lastProgress["numInputRows"] == 1
+
+
+def test_datagen_stream(spark):
+    base = tempfile.mkdtemp(prefix="tl-dgs-")
+    q = (datagen.datagen_stream(spark, rows_per_second=50).writeStream.format("memory").queryName("tl_dgs")
+         .option("checkpointLocation", os.path.join(base, "ck")).trigger(processingTime="200 milliseconds").start())
+    try:
+        end = time.time() + 60
+        while time.time() < end and spark.table("tl_dgs").count() < 20:
+            time.sleep(0.5)
+    finally:
+        q.stop()
+    r = spark.table("tl_dgs").agg(F.min("id"), F.max("id"), F.min("vc"), F.max("vc"), F.min("ts"),
+                                  F.count("*"), F.countDistinct("ts")).first()
+    assert 1 <= r[0] <= r[1] <= 10 and 1 <= r[2] <= r[3] <= 100
+    assert r[4] == 1 and r[5] == r[6] >= 20
