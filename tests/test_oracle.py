@@ -1,8 +1,6 @@
 """Every registered query against its DuckDB oracle (the driver's check,
 run here on sf0.001)."""
 
-import math
-
 import duckdb
 import pytest
 

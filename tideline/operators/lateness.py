@@ -18,8 +18,6 @@ Rules (event time in whole seconds, watermark = max seen - delay):
 
 from __future__ import annotations
 
-from typing import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
