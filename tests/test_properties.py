@@ -52,3 +52,40 @@ def test_sliding_count_window_equals_rows_frame(spark, rows, size, slide):
            .where(F.col("rn") % slide == 0))
     want = {(x.id, x.rn): (x.cnt, x.s) for x in ref.collect()}
     assert got == want
+
+
+@settings(max_examples=6, deadline=None)
+@given(rows=sensor_rows, gap=st.integers(0, 6), chunk_rows=st.integers(1, 4))
+def test_session_window_equals_gaps_and_islands(spark, rows, gap, chunk_rows):
+    # unique ts per key, as sessions order by ts
+    seen, uniq = set(), []
+    for k, t, v in rows:
+        if (k, t) not in seen:
+            seen.add((k, t))
+            uniq.append((k, t, v))
+    df = frame(spark, uniq)
+    got = sorted((x.id, x.window_start, x.window_end, x.cnt, x.vc)
+                 for x in windows.session_window(df, gap, chunk_rows=chunk_rows).collect())
+    w = Window.partitionBy("id").orderBy("ts")
+    g = (df.withColumn("prev", F.lag("ts").over(w))
+         .withColumn("new", F.when(F.col("prev").isNull() | (F.col("ts") - F.col("prev") > gap), 1).otherwise(0))
+         .withColumn("sess", F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+         .groupBy("id", "sess").agg(F.min("ts").alias("s"), (F.max("ts") + gap).alias("e"),
+                                    F.count(F.lit(1)).alias("c"), F.sum("vc").alias("v")))
+    want = sorted((x.id, x.s, x.e, x.c, x.v) for x in g.collect())
+    assert got == want
+
+
+@settings(max_examples=6, deadline=None)
+@given(rows=sensor_rows, delay=st.integers(0, 5), lateness=st.integers(0, 5), width=st.integers(1, 5))
+def test_lateness_classification_equals_window(spark, rows, delay, lateness, width):
+    from tideline.operators import lateness as L
+
+    df = frame(spark, rows)
+    got = {x.seq: x.status for x in L.late_data_split(df, 10, delay, lateness, chunk_width=width).collect()}
+    wm = F.max("ts").over(Window.orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)) - delay
+    end = F.col("ts") - F.pmod("ts", F.lit(10)) + 10
+    ref = df.withColumn("wm", wm).withColumn(
+        "st", F.when(F.col("wm").isNull() | (F.col("wm") < end), "on_time")
+        .when(F.col("wm") < end + lateness, "allowed").otherwise("late"))
+    assert got == {x.seq: x.st for x in ref.collect()}
