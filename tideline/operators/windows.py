@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -176,11 +176,14 @@ def session_window(df: DataFrame, gap_s: int = 5, key: str = "id", ts_col: str =
     is more than ``gap_s`` after the previous row of its key (windows that
     touch merge). Session = ``[first ts, last ts + gap)``.
 
-    Batch plan: previous ts (``last``, exclusive) and the running session
-    number are two-level prefix scans ordered by ``ts``, then a plain
-    group-by. The rows of a key are chunked by time with a per-key width
-    (about ``chunk_rows`` rows per chunk, :func:`~.scan.time_chunks`), so a
-    hot key is spread over many tasks and sparse keys cost one chunk each.
+    Batch plan (two-level, one pass): the rows of a key are chunked by time
+    with a per-key width (about ``chunk_rows`` rows per chunk,
+    :func:`~.scan.time_chunks`); each chunk counts the session starts after
+    its first row; a window over the small chunk table decides whether a
+    chunk's first row starts a session (gap to the previous chunk's last row)
+    and how many sessions began before it; the join back numbers every row's
+    session, and a group-by closes them. A hot key is spread over many tasks
+    and sparse keys cost one chunk each.
     Streaming input uses ``session_window``.
     """
     if df.isStreaming:
@@ -189,12 +192,27 @@ def session_window(df: DataFrame, gap_s: int = 5, key: str = "id", ts_col: str =
             F.count(F.lit(1)).alias("cnt"), F.sum("vc").alias("vc"))
         return r.select(key, *_bounds(), "cnt", "vc")
     d, chunk = time_chunks(df, key, ts_col, chunk_rows)
-    d = d.withColumn("__tchunk", chunk).drop(*TIME_CHUNK_COLS)
-    prev = prefix_scan(d, [ts_col], [Scan("__prev_ts", ts_col, "last", inclusive=False)], [key],
-                       chunk=F.col("__tchunk"))
-    flagged = prev.withColumn("__new", F.when(F.col("__prev_ts").isNull()
-                                              | (F.col(ts_col) - F.col("__prev_ts") > F.lit(gap_s)), 1).otherwise(0))
-    numbered = prefix_scan(flagged, [ts_col], [Scan("__session", "__new", "sum")], [key], chunk=F.col("__tchunk"))
+    d = d.withColumn("__tc", chunk).drop(*TIME_CHUNK_COLS)
+    g = F.lit(int(gap_s))
+
+    # 1. inside each (key, chunk): session starts after the chunk's first row
+    w = Window.partitionBy(key, "__tc").orderBy(ts_col)
+    local = (d.withColumn("__prev", F.lag(ts_col).over(w))
+             .withColumn("__run", F.sum(F.when(F.col(ts_col) - F.col("__prev") > g, 1).otherwise(0))
+                         .over(w.rowsBetween(Window.unboundedPreceding, 0))))
+    # 2. per chunk: first/last ts and the number of internal session starts
+    chunks = local.groupBy(key, "__tc").agg(F.min(ts_col).alias("__first"), F.max(ts_col).alias("__last"),
+                                            F.max("__run").alias("__inner"))
+    # 3. over the (small) chunk table: does the chunk's first row start a new
+    #    session, and how many sessions started in earlier chunks
+    wc = Window.partitionBy(key).orderBy("__tc")
+    chunks = (chunks.withColumn("__starts", F.when(F.lag("__last").over(wc).isNull()
+                                                   | (F.col("__first") - F.lag("__last").over(wc) > g), 1).otherwise(0))
+              .withColumn("__before", F.coalesce(F.sum(F.col("__starts") + F.col("__inner"))
+                                                 .over(wc.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+              .select(key, "__tc", (F.col("__before") + F.col("__starts")).alias("__base")))
+    # 4. session number = sessions before the chunk + starts inside it so far
+    numbered = local.join(chunks, [key, "__tc"]).withColumn("__session", F.col("__base") + F.col("__run"))
     return (numbered.groupBy(key, "__session")
             .agg(F.min(ts_col).alias("window_start"), (F.max(ts_col) + F.lit(gap_s)).alias("window_end"),
                  F.count(F.lit(1)).alias("cnt"), F.sum("vc").alias("vc"))
