@@ -25,7 +25,7 @@ def test_bucketed_interval_join_equals_plain(spark, left, right, lower, width, b
     upper = lower + width
     a = joins.interval_join(l, r, lower, upper, bucket_s=bucket)
     b = joins.interval_join_plain(l, r, lower, upper)
-    key = lambda df: sorted((x.id, x.l_ts, x.l_vc, x.r_ts, x.r_vc) for x in df.collect())
+    key = lambda df: sorted(((x.id, x.l_ts, x.l_vc, x.r_ts, x.r_vc) for x in df.collect()), key=repr)
     assert key(a) == key(b)
 
 
@@ -64,15 +64,15 @@ def test_session_window_equals_gaps_and_islands(spark, rows, gap, chunk_rows):
             seen.add((k, t))
             uniq.append((k, t, v))
     df = frame(spark, uniq)
-    got = sorted((x.id, x.window_start, x.window_end, x.cnt, x.vc)
-                 for x in windows.session_window(df, gap, chunk_rows=chunk_rows).collect())
+    got = sorted(((x.id, x.window_start, x.window_end, x.cnt, x.vc)
+                  for x in windows.session_window(df, gap, chunk_rows=chunk_rows).collect()), key=repr)
     w = Window.partitionBy("id").orderBy("ts")
     g = (df.withColumn("prev", F.lag("ts").over(w))
          .withColumn("new", F.when(F.col("prev").isNull() | (F.col("ts") - F.col("prev") > gap), 1).otherwise(0))
          .withColumn("sess", F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
          .groupBy("id", "sess").agg(F.min("ts").alias("s"), (F.max("ts") + gap).alias("e"),
                                     F.count(F.lit(1)).alias("c"), F.sum("vc").alias("v")))
-    want = sorted((x.id, x.s, x.e, x.c, x.v) for x in g.collect())
+    want = sorted(((x.id, x.s, x.e, x.c, x.v) for x in g.collect()), key=repr)
     assert got == want
 
 
