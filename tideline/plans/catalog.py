@@ -106,7 +106,8 @@ def q_tokenize(spark, sf):
 
 @register("filter_ts", with_ctes(f"SELECT id, ts, vc FROM sensor WHERE ts >= {FILTER_TS}", "sensor"))
 def q_filter_ts(spark, sf):
-    return transforms.filter_ts(I.sensor(spark, sf), FILTER_TS).select("id", "ts", "vc")
+    # the bound is also stated on the raw column so it reaches the parquet scan
+    return transforms.filter_ts(I.sensor(spark, sf, min_ts=FILTER_TS), FILTER_TS).select("id", "ts", "vc")
 
 
 @register("sql_on_view", with_ctes(f"SELECT id, ts, vc FROM sensor WHERE ts >= {FILTER_TS}", "sensor"))

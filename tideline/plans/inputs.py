@@ -18,8 +18,8 @@ from ..operators.transforms import text_lines, tokenize
 LEFT_TYPES = ("click", "view")
 
 
-def sensor(spark: SparkSession, sf: str) -> DataFrame:
-    return schema.sensor(spark, sf)
+def sensor(spark: SparkSession, sf: str, min_ts: int | None = None) -> DataFrame:
+    return schema.sensor(spark, sf, min_ts)
 
 
 def arrivals(spark: SparkSession, sf: str) -> DataFrame:

@@ -47,12 +47,25 @@ def epoch_seconds(c: Column) -> Column:
             + F.second(c).cast("bigint"))
 
 
-def sensor(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ntz_from_epoch(seconds: int) -> Column:
+    """Epoch seconds as a TIMESTAMP_NTZ literal (zone-free), for predicates
+    on raw timestamp columns that Parquet can push down."""
+    import datetime as _dt
+
+    wall = _dt.datetime(1970, 1, 1) + _dt.timedelta(seconds=int(seconds))
+    return F.lit(wall.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
+
+
+def sensor(spark: SparkSession, sf_dir: str, min_ts: int | None = None) -> DataFrame:
     """``events`` as sensor readings in event-id (= time) order.
 
     id = 's' + user_id, ts = epoch seconds, vc = floor(value), seq = event_id.
+    ``min_ts`` keeps ``ts >= min_ts``, stated on the raw column so the
+    predicate reaches the Parquet scan (``floor`` to seconds is monotonic).
     """
     ev = table(spark, sf_dir, "events")
+    if min_ts is not None:
+        ev = ev.where(ev.ts >= ntz_from_epoch(min_ts))
     return ev.select(
         F.concat(F.lit("s"), ev.user_id.cast("string")).alias("id"),
         epoch_seconds(ev.ts).cast("bigint").alias("ts"),
