@@ -252,3 +252,44 @@ def test_running_word_count_stream(spark):
     hello = sorted(r.cnt for r in got.where("word = 'hello'").collect())
     assert hello == [1, 2, 3, 4, 5, 6]
     assert got.count() == 15  # every word emits once (incl. the empty word of the double space)
+
+
+def test_running_row_count_survives_restart(spark):
+    from pyspark.sql import types as T
+
+    base = tempfile.mkdtemp(prefix="tl-k7-")
+    src, ck, out = os.path.join(base, "in"), os.path.join(base, "ck"), os.path.join(base, "out")
+    os.makedirs(src)
+    cols = T.StructType([T.StructField("shard", T.IntegerType()), T.StructField("seq", T.LongType())])
+    proc = P.RunningCount("shard", ("seq",), cols)
+
+    def add(lo, hi, name):
+        d = os.path.join(base, name)
+        spark.range(lo, hi).select(F.col("id").alias("seq")).coalesce(1).write.parquet(d)
+        f = [x for x in os.listdir(d) if x.endswith(".parquet")][0]
+        os.link(os.path.join(d, f), os.path.join(src, f"{name}.parquet"))
+
+    def run():
+        s = file_stream(spark, src, T.StructType([T.StructField("seq", T.LongType())]))
+        s = s.select(F.pmod("seq", F.lit(2)).cast("int").alias("shard"), "seq")
+        start(s.groupBy("shard").transformWithState(proc, proc.SCHEMA, "Append", "None"), ck,
+              append_to(out)).awaitTermination()
+
+    add(0, 6, "a")
+    run()
+    add(6, 10, "b")          # restart from the checkpoint: counts continue
+    run()
+    got = {r.seq: r.cnt for r in spark.read.parquet(out).collect()}
+    want = {r.seq: r.cnt for r in keyed.running_row_count(
+        spark.range(0, 10).select(F.col("id").alias("seq")), 2).collect()}
+    assert got == want
+
+
+def test_window_contents_stream(spark, arrivals_dir):
+    path, batch = arrivals_dir
+    s = windows.with_watermark(file_stream(spark, path, schema.SENSOR_SEQ), 3 * 86400)
+    got = _run(spark, windows.window_contents(s, 86400))
+    wm = batch.agg(F.max("ts")).first()[0] - 3 * 86400
+    want = windows.window_contents(batch, 86400).where(F.col("window_end") <= wm)
+    cols = ["id", "window_start", "cnt", "text"]
+    assert _rows(got, cols) == _rows(want, cols)
