@@ -8,7 +8,7 @@ import __spark_entry__ as E
 from conftest import SF_SMALL
 from tideline.schema import TABLES
 
-NAMES = sorted(E.queries())
+NAMES = sorted(E.catalog.queries())
 
 
 @pytest.fixture(scope="module")
@@ -28,7 +28,7 @@ def _norm(v):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(E.catalog.oracle_sql()) == set(NAMES)
 
 
 def test_entry(spark):

@@ -39,7 +39,8 @@ def get_session(master: str | None = None, app: str = "tideline",
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    if spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.master.startswith("local["):
+        ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -47,11 +48,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     A cluster names a shared (HDFS/object store) folder there and we use it
-    as is. Only when it is unset -- local tests -- do we create one under the
-    local temp folder.
+    as is. Unset, a ``local`` master (one machine, as in tests) gets a folder
+    under its temp folder; on any other master executors would write to disks
+    of their own, so that is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"spark.checkpoint.dir must name a shared folder on master {master}")
         d = tempfile.mkdtemp(prefix="tideline-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
