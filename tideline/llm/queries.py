@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe
+from . import bpe, line_quality, mixing, toxicity, url_filter
 
 #: Folder of the public tokenizers' vocabulary files.
 TOKENIZERS = "/opt/tokenizers"
@@ -18,6 +18,100 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity score, learnt from the rows not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted",
+        F.size("passages").alias("n_passages"))
+
+
+def op7_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts of every document and the verdict of its labelled lines."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    field = line_quality.train(docs, table(spark, sf_dir, "labels"))
+    return line_quality.judge(docs, field).drop("text")
+
+
+#: The list of the URL query: host, path, verdict.
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"),
+             ("org", "/fr/", "allow")]
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on every page's URL."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_filter.filter_urls(pages, rules).select("page_id", "host", "path", "rule", "verdict")
+
+
+OP8_SQL = """
+WITH a AS (
+  SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+  FROM pages),
+u AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                            'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '(?s)^[^/?#]*(/[^?#]*)?', 1) AS path FROM a),
+r(rule_host, rule_path, verdict) AS (
+  VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'),
+         ('org', '/fr/', 'allow')),
+f AS (
+  SELECT page_id, arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule,
+         arg_max(verdict, length(rule_host || rule_path)) AS verdict
+  FROM u JOIN r ON (host = rule_host OR host LIKE '%.' || rule_host) AND starts_with(path, rule_path)
+  GROUP BY page_id)
+SELECT u.page_id, u.host, u.path, f.rule, coalesce(f.verdict, 'allow') AS verdict
+FROM u LEFT JOIN f USING (page_id)
+"""
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    return mixing.taken(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+
+
+OP9_SQL = """
+WITH d AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size
+  FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+w AS (
+  SELECT *, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3
+              WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 2 END AS weight FROM s),
+f AS (SELECT *, source_size * 2 AS cap, (source_size * 2)::DOUBLE / weight AS fills FROM w),
+l AS (
+  SELECT *, (sum(source_size) OVER () * 1.5::DOUBLE
+             - coalesce(sum(cap) OVER (ORDER BY fills, source NULLS LAST
+                                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE
+            / sum(weight) OVER (ORDER BY fills, source NULLS LAST
+                                ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM f),
+t AS (
+  SELECT source, source_size,
+         least(cap::DOUBLE, weight * (SELECT max(level) FROM l WHERE level <= fills)) AS target FROM l),
+k AS (
+  SELECT d.doc_id, d.source, d.size, t.source_size, t.target, md5('mix:' || d.doc_id) AS key,
+         coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY md5('mix:' || d.doc_id), d.doc_id, d.size
+                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+e AS (
+  SELECT *, greatest(0, least(size, floor(target + 0.5)::BIGINT - (start + turn * source_size))) AS served
+  FROM k CROSS JOIN (VALUES (0), (1)) AS turns(turn)),
+p AS (
+  SELECT doc_id, served,
+         coalesce(sum(served) OVER (ORDER BY (start + turn * source_size + served) / target,
+                                             coalesce('s' || source, 'null'), turn, key, doc_id, size
+                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS position
+  FROM e WHERE served > 0),
+g AS (
+  SELECT doc_id, sum(greatest(0, least(served, (SELECT floor(sum(source_size) * 1.5) FROM s) - position))) AS taken
+  FROM p GROUP BY doc_id)
+SELECT k.doc_id, k.size, k.source_size, k.target, coalesce(g.taken, 0)::BIGINT AS taken
+FROM k LEFT JOIN g USING (doc_id)
+"""
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text encoded and decoded again, as digests."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -30,7 +124,14 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_toxicity": op5_toxicity,
+    "op7_line_quality": op7_line_quality,
+    "op8_url_filter": op8_url_filter,
+    "op9_mixing": op9_mixing,
     "op10_bpe": op10_bpe,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op8_url_filter": OP8_SQL,
+    "op9_mixing": OP9_SQL,
+}
