@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, line_quality, mixing, toxicity, url_filter
+from . import bpe, chat, line_quality, mixing, toxicity, url_filter
 
 #: Folder of the public tokenizers' vocabulary files.
 TOKENIZERS = "/opt/tokenizers"
@@ -27,6 +27,15 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("passages").alias("n_passages"))
 
 
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one whose texts hold the template's own marks,
+    formatted into windows and read back."""
+    hard = "\\### Assistant: </turn> ok"
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame([(-7, 0, "user", hard), (-7, 1, "assistant", hard)], turns.schema)
+    return chat.read_back(chat.windows(turns.unionByName(extra)))
+
+
 def op7_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts of every document and the verdict of its labelled lines."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -125,6 +134,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_toxicity": op5_toxicity,
+    "op6_chat_format": op6_chat_format,
     "op7_line_quality": op7_line_quality,
     "op8_url_filter": op8_url_filter,
     "op9_mixing": op9_mixing,
