@@ -20,10 +20,11 @@ import re
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import islice
+from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -31,8 +32,8 @@ from pyspark.sql import types as T
 from .common import ragged_take, without
 
 #: Characters of text that a task holds at a time, words that it keeps encoded.
-CHUNK_CHARS = 24_000_000
-KEEP_WORDS = 300_000
+CHUNK_CHARS = 3_000_000
+KEEP_WORDS = 100_000
 
 #: A text may be cut between a non-space character and a single space that
 #: stands before another non-space character, and on both sides of a single
@@ -95,13 +96,13 @@ class Tokenizer:
         self.base = size
         keys = self.left * size + self.right
         order = np.argsort(keys, kind="stable")
-        self.keys, self.key_rank = keys[order], order.astype(np.int64)
+        self.keys, self.key_rank = keys[order], order.astype(np.int32)
 
     def ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Rank of each pair of symbols, -1 where they don't merge."""
         k = a.astype(np.int64) * self.base + b
         at = np.minimum(np.searchsorted(self.keys, k), len(self.keys) - 1)
-        return np.where(self.keys[at] == k, self.key_rank[at], -1)
+        return np.where(self.keys[at] == k, self.key_rank[at], np.int32(-1))
 
     def encode_pretokens(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of many pre-tokens, joined, and the offsets of each."""
@@ -110,7 +111,7 @@ class Tokenizer:
         offsets = np.concatenate([[0], np.cumsum(lens)])
         n = int(offsets[-1])
         sym = self.byte_id[np.frombuffer(b"".join(raw), np.uint8)].copy()
-        nxt, prv = np.arange(1, n + 1, dtype=np.int64), np.arange(-1, n - 1, dtype=np.int64)
+        nxt, prv = np.arange(1, n + 1, dtype=np.int32), np.arange(-1, n - 1, dtype=np.int32)
         nxt[offsets[1:][lens > 0] - 1] = -1
         prv[offsets[:-1][lens > 0]] = -1
 
@@ -133,7 +134,7 @@ class Tokenizer:
                     lists[r] = [part]
                     heapq.heappush(heap, r)
 
-        index(np.flatnonzero(nxt >= 0))
+        index(np.flatnonzero(nxt >= 0).astype(np.int32))
         while heap:
             r = heapq.heappop(heap)
             parts = lists.pop(r)
@@ -159,8 +160,7 @@ class Tokenizer:
 
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words (runs of pre-tokens), joined, and the offsets of each."""
-        number: defaultdict[str, int] = defaultdict()
-        number.default_factory = number.__len__
+        number: defaultdict[str, int] = defaultdict(count().__next__)
         parts: list[str] = []
         bounds = [0]
         for w in words:
@@ -195,8 +195,8 @@ class Tokenizer:
         for tag, texts in chunks:
             if not number or len(number) > KEEP_WORDS:
                 # the special tokens come first, under keys that no text gives
-                number = defaultdict(None, {_SPECIAL + s: k for k, s in enumerate(self.special)})
-                number.default_factory = number.__len__
+                number = defaultdict(count(len(self.special)).__next__,
+                                     {_SPECIAL + s: k for k, s in enumerate(self.special)})
                 flat = np.array(list(self.special.values()), np.int32)
                 offsets = np.arange(len(flat) + 1, dtype=np.int64)
             known = len(number)
@@ -234,15 +234,15 @@ def _chunks(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa
     """Slices of the batches with at most :data:`CHUNK_CHARS` bytes of text, a
     longer single text alone."""
     for batch in batches:
-        texts = ["" if t is None else t for t in batch.column(column).to_pylist()]
-        begin = held = 0
-        for k, t in enumerate(texts):
-            if held and held + len(t) > CHUNK_CHARS:
-                yield batch.slice(begin, k - begin), texts[begin:k]
-                begin, held = k, 0
-            held += len(t)
-        if begin < len(texts):
-            yield batch.slice(begin), texts[begin:]
+        cells = batch.column(column)
+        ends = np.cumsum(pc.fill_null(pc.binary_length(cells), 0).to_numpy(zero_copy_only=False))
+        begin = 0
+        while begin < len(cells):
+            before = int(ends[begin - 1]) if begin else 0
+            end = max(begin + 1, int(np.searchsorted(ends, before + CHUNK_CHARS, side="right")))
+            part = batch.slice(begin, end - begin)
+            yield part, ["" if t is None else t for t in part.column(column).to_pylist()]
+            begin = end
 
 
 def _extended(df: DataFrame, name: str, kind: T.DataType) -> T.StructType:
