@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, line_quality, mixing, near_dup, toxicity, url_filter
+from . import bpe, chat, embedding_dedup, line_quality, mixing, near_dup, toxicity, url_filter
 
 #: Folder of the public tokenizers' vocabulary files.
 TOKENIZERS = "/opt/tokenizers"
@@ -23,6 +23,11 @@ def op1_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's links and component."""
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's toxicity score, learnt from the rows not held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -139,6 +144,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dup": op1_near_dup,
+    "op3_embedding_dedup": op3_embedding_dedup,
     "op5_toxicity": op5_toxicity,
     "op6_chat_format": op6_chat_format,
     "op7_line_quality": op7_line_quality,
