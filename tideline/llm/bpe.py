@@ -33,7 +33,7 @@ from .common import ragged_take, without
 
 #: Characters of text that a task holds at a time, words that it keeps encoded.
 CHUNK_CHARS = 3_000_000
-KEEP_WORDS = 100_000
+KEEP_WORDS = 600_000
 
 #: A text may be cut between a non-space character and a single space that
 #: stands before another non-space character, and on both sides of a single

@@ -14,10 +14,13 @@ neither a hot source nor the whole sequence meets in one task.
 
 from __future__ import annotations
 
+import re
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, n_words, running_totals
+from .common import WORD_PATTERN, cut, n_words, running_totals
 
 #: Weights of the sources in code point order (null last), repeating.
 WEIGHTS = (3, 1, 2)
@@ -129,15 +132,16 @@ def taken(docs: DataFrame, **options) -> DataFrame:
                        F.coalesce("b.taken", F.lit(0)).cast("bigint").alias("taken"))
 
 
-def _first_words(texts, counts):
-    import re
+_WORD = re.compile(WORD_PATTERN)
+
 
-    word = re.compile(r"[^\x20\x09-\x0D]+")
+def _first_words(texts: pd.Series, counts: pd.Series) -> list[str | None]:
+    """Each text up to the end of its n-th word; null stays null."""
     out = []
     for text, n in zip(texts, counts):
         end = 0
         if text is not None:
-            for k, m in enumerate(word.finditer(text), 1):
+            for k, m in enumerate(_WORD.finditer(text), 1):
                 end = m.end()
                 if k >= n:
                     break
@@ -150,8 +154,6 @@ def apply_mix(docs: DataFrame, text: str = "text", **options) -> DataFrame:
     twice is there twice, and one that the budget cuts has its first words
     only (``n_chars`` follows where it is a column). The rows are range-sorted
     into the order of the mix."""
-    import pandas as pd
-
     entries, _ = mix(docs, text, **options)
     same = Window.partitionBy("doc_id", "source", "__size").orderBy(text)
     rows = (docs.withColumn("__size", n_words(F.col(text))).withColumn("__row", F.row_number().over(same)))

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, embedding_dedup, line_quality, mixing, near_dup, toxicity, url_filter
+from ..session import scratch_path
+from . import (bpe, chat, embedding_dedup, licenses, line_quality, mixing, near_dup, toxicity, training_order,
+               url_filter)
 
 #: Folder of the public tokenizers' vocabulary files.
 TOKENIZERS = "/opt/tokenizers"
@@ -23,11 +26,58 @@ def op1_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op2_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents written as shards in training order and read back: every
+    slot with its sequence's number and digest."""
+    docs = table(spark, sf_dir, "documents").select("text")
+    folder = scratch_path(spark, f"order-shards-{uuid.uuid4().hex}")
+    manifest = training_order.write_shards(docs, BPE_FILE, folder)
+    n = manifest.agg(F.sum("n_sequences").alias("n")).collect()[0]["n"] or 0
+    if not n:
+        return spark.createDataFrame([], "slot bigint, sequence bigint, shard bigint, ids_sha256 string")
+    slots = training_order.read_shards(spark, folder).select("slot", "shard", F.sha2("ids", 256).alias("ids_sha256"))
+    return training_order.with_sequence(slots, n).select("slot", "sequence", "shard", "ids_sha256")
+
+
 def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every vector's links and component."""
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every licence found in a document, with its place."""
+    return licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def _op4_sql() -> str:
+    known: dict[str, int] = {}
+    rules = [(name, [known.setdefault(s, len(known)) for s in parts]) for name, parts in licenses.RULES]
+    quoted = {s.replace("'", "''"): i for s, i in known.items()}
+    return f"""
+WITH known(sid, raw) AS (VALUES {", ".join(f"({i}, '{s}')" for s, i in quoted.items())}),
+sids AS (SELECT sid, trim(regexp_replace(lower(raw), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')) AS sentence FROM known),
+rules(licence, ids) AS (VALUES {", ".join(f"('{name}', {ids})" for name, ids in rules)}),
+cut AS (
+  SELECT doc_id, string_split(regexp_replace(text, '([.!?])[ \\t\\r\\n\\f]+', '\\1' || chr(10), 'g'), chr(10)) AS parts
+  FROM documents WHERE text IS NOT NULL),
+each_one AS (SELECT doc_id, unnest(parts) AS raw, unnest(range(len(parts))) AS pos FROM cut),
+hits AS (
+  SELECT doc_id, list(pos ORDER BY pos) AS places, list(sid ORDER BY pos) AS ids
+  FROM each_one JOIN sids ON trim(regexp_replace(lower(raw), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')) = sentence
+  GROUP BY doc_id),
+starts AS (SELECT *, unnest(range(1, len(ids) + 1)) AS k FROM hits),
+found AS (
+  SELECT doc_id, licence, places[k] AS first, places[k + len(rules.ids) - 1] AS last
+  FROM starts JOIN rules ON list_slice(starts.ids, k, k + len(rules.ids) - 1) = rules.ids
+  WHERE places[k + len(rules.ids) - 1] - places[k] <= len(rules.ids) - 1 + {licenses.GAP}),
+marked AS (
+  SELECT *, max(last) OVER (PARTITION BY doc_id ORDER BY first, last DESC, licence
+                            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reached FROM found)
+SELECT doc_id, licence, first::INTEGER AS first, last::INTEGER AS last FROM marked
+WHERE reached IS NULL OR reached < last
+"""
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's toxicity score, learnt from the rows not held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -144,7 +194,9 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dup": op1_near_dup,
+    "op2_training_order": op2_training_order,
     "op3_embedding_dedup": op3_embedding_dedup,
+    "op4_license_scan": op4_license_scan,
     "op5_toxicity": op5_toxicity,
     "op6_chat_format": op6_chat_format,
     "op7_line_quality": op7_line_quality,
@@ -154,6 +206,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op4_license_scan": _op4_sql(),
     "op8_url_filter": OP8_SQL,
     "op9_mixing": OP9_SQL,
 }
