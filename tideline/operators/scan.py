@@ -1,4 +1,4 @@
-"""Skew-safe running aggregates in arrival order (two-level prefix scan).
+"""Skew-safe running aggregates in arrival order.
 
 A plain ``sum(x) over (partition by key order by seq)`` puts every row of a
 key into one task, and an un-partitioned one puts the whole table there. For
@@ -6,14 +6,17 @@ the arrival-order operators of this library (running sums, last value,
 per-record watermarks, row numbers) that is the hot-key failure mode, so they
 all go through :func:`prefix_scan`:
 
-1. cut each key's rows into *chunks* by a value that grows with the order
-   (default: ``seq div chunk_width``) and run the window inside each
-   ``(key, chunk)`` -- many tasks even for one hot key;
-2. aggregate every chunk to one row (partial aggregation map-side, so the
-   shuffle carries one row per chunk and task);
-3. run the exclusive prefix over the chunk rows of each key -- a table
-   ``chunk_width`` times smaller than the input;
-4. join the prefix back on ``(key, chunk)`` and combine.
+1. count the rows per key (partial aggregation map-side) and keep the keys
+   with more rows than a chunk may hold: a list of at most ``rows /
+   chunk_width`` entries, which every task can hold;
+2. cut these hot keys into *chunks* by quantiles of the order column, so a
+   burst is split as well as an even sequence; every other key is one chunk.
+   The window runs inside each ``(key, chunk)``: one shuffle of the input;
+3. for hot keys only, aggregate every chunk to one row and run the exclusive
+   prefix over the chunk rows, in two levels, so that not even the chunks of
+   one key meet in a task that grows with the rows;
+4. join the prefix back on ``(key, chunk)`` and combine. Without hot keys the
+   chunk table is empty and adaptive execution drops the join.
 
 The result equals the single window row for row; only the plan differs.
 """
@@ -27,11 +30,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Rows per chunk at most (for a dense order column). A chunk is one window
-# partition, sorted in one task; 1M rows is a few MB sorted.
+# Rows of a key that one window may hold, and about the rows of a chunk of a
+# larger key. 1M rows is a few MB sorted.
 DEFAULT_CHUNK_WIDTH = 1 << 20
 
+# Quantiles by which a hot key is cut first; each bracket is then cut evenly.
+QUANTILES = 64
+# Chunks that are summed up together before the second level.
+SUPER_CHUNK = 1024
+
 KINDS = ("sum", "count", "max", "min", "last")
+PREFIX = "__scan_"
+CHUNK = PREFIX + "chunk"
 
 
 @dataclass(frozen=True)
@@ -51,12 +61,6 @@ class Scan:
         return F.col(self.expr) if isinstance(self.expr, str) else self.expr
 
 
-def chunk_of(order_col: str, width: int) -> Column:
-    """Exact integer ``floor(order / width)`` (no double rounding)."""
-    o = f"`{order_col}`"
-    return F.expr(f"({o} - pmod({o}, {int(width)})) div {int(width)}")
-
-
 def _running(kind: str, c: Column, w) -> Column:
     if kind == "sum":
         return F.sum(c).over(w)
@@ -71,7 +75,7 @@ def _running(kind: str, c: Column, w) -> Column:
     raise ValueError(f"unknown scan kind {kind!r}")
 
 
-def _chunk_total(kind: str, c: Column, order: Sequence[str]) -> Column:
+def _total(kind: str, c: Column, order: Sequence[str]) -> Column:
     if kind == "sum":
         return F.sum(c)
     if kind == "count":
@@ -80,25 +84,19 @@ def _chunk_total(kind: str, c: Column, order: Sequence[str]) -> Column:
         return F.max(c)
     if kind == "min":
         return F.min(c)
-    # last non-null value of the chunk: the value at the greatest order among
-    # non-null rows (max_by ignores null orderings).
+    # last non-null value: the value at the greatest order among non-null
+    # rows (max_by ignores null orderings).
     ordering = F.struct(*[F.col(o) for o in order]) if len(order) > 1 else F.col(order[0])
     return F.max_by(c, F.when(c.isNotNull(), ordering))
 
 
-def _prefix_of_totals(kind: str, c: Column, w) -> Column:
-    if kind in ("sum", "count"):
-        return F.sum(c).over(w)
-    if kind == "max":
-        return F.max(c).over(w)
-    if kind == "min":
-        return F.min(c).over(w)
-    return F.last(c, ignorenulls=True).over(w)
+def _of_totals(kind: str) -> str:
+    return "sum" if kind == "count" else kind
 
 
 def _combine(kind: str, prefix: Column, local: Column) -> Column:
     if kind == "count":
-        return (F.coalesce(prefix, F.lit(0)) + local).cast("bigint")
+        return (F.coalesce(prefix, F.lit(0)) + F.coalesce(local, F.lit(0))).cast("bigint")
     if kind == "sum":
         return (F.when(prefix.isNull(), local)
                 .when(local.isNull(), prefix)
@@ -110,16 +108,85 @@ def _combine(kind: str, prefix: Column, local: Column) -> Column:
     return F.coalesce(local, prefix)
 
 
+def key_columns(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """``df`` with its keys as plain, non-null columns and their names, so that
+    windows, chunk tables and joins all partition on exactly the same columns.
+    A nullable key becomes (value or default, is null); no key at all becomes
+    a constant one."""
+    taken = [c for c in df.columns if c.startswith(PREFIX)]
+    if taken:
+        raise ValueError(f"columns {taken} have names that the scan uses itself")
+    names: list[str] = []
+    for i, k in enumerate(keys):
+        f = df.schema[k]
+        if f.nullable:
+            df = (df.withColumn(f"{PREFIX}v{i}", F.coalesce(F.col(k), _default(f.dataType)))
+                  .withColumn(f"{PREFIX}n{i}", F.col(k).isNull()))
+            names += [f"{PREFIX}v{i}", f"{PREFIX}n{i}"]
+        else:
+            names.append(k)
+    if not names:
+        df, names = df.withColumn(f"{PREFIX}all", F.lit(0)), [f"{PREFIX}all"]
+    return df, names
+
+
+def hot_chunks(base: DataFrame, kcols: Sequence[str], position: str,
+               chunk_width: int = DEFAULT_CHUNK_WIDTH) -> tuple[DataFrame, DataFrame]:
+    """Two frames: ``base`` with the column :data:`CHUNK`, and of it the rows
+    of hot keys alone. A key with more than ``chunk_width`` rows is hot; its
+    chunk grows along ``position`` (a bigint, rows of equal position share a
+    chunk, null comes first). All other keys are the one chunk 0."""
+    n, bounds, top, parts = (PREFIX + c for c in ("rows", "bounds", "top", "parts"))
+    # at most rows / chunk_width keys: small enough for every task at any size
+    counts = base.groupBy(*kcols).agg(F.count(F.lit(1)).alias(n)).where(F.col(n) > int(chunk_width))
+    quantiles = F.array(*[F.lit(i / QUANTILES) for i in range(QUANTILES)])
+    hot = (base.select(*kcols, F.col(position).alias(top)).join(F.broadcast(counts), list(kcols))
+           .groupBy(*kcols).agg(F.percentile_approx(top, quantiles, 10_000).alias(bounds), F.max(top).alias(top),
+                                F.first(n).alias(n))
+           .select(*kcols, F.array_distinct(bounds).alias(bounds), top,
+                   F.ceil(F.col(n) / (QUANTILES * int(chunk_width))).cast("bigint").alias(parts)))
+    p = F.col(position)
+    at = F.size(F.filter(bounds, lambda b: b <= p))
+    low = F.get(bounds, F.greatest(at, F.lit(1)) - 1)
+    high = F.coalesce(F.get(bounds, at), F.col(top) + 1)
+    inside = (p - low).cast("double") / F.greatest(high - low, F.lit(1)).cast("double")
+    step = F.least(F.col(parts) - 1, F.floor(inside * F.col(parts)).cast("bigint"))
+    chunk = (F.when(F.col(parts).isNull(), F.lit(0)).when(p.isNull(), F.lit(-1))
+             .otherwise(at * F.col(parts) + F.greatest(step, F.lit(0)))).cast("bigint")
+    helpers = [bounds, top, parts]
+    every = base.join(F.broadcast(hot), list(kcols), "left").withColumn(CHUNK, chunk).drop(*helpers)
+    only = base.join(F.broadcast(hot), list(kcols)).withColumn(CHUNK, chunk).drop(*helpers)
+    return every, only
+
+
+def _chunk_prefix(totals: DataFrame, kcols: list[str], scans: list[Scan]) -> DataFrame:
+    """``kcols, CHUNK`` and, for every scan, the aggregate of all earlier chunks."""
+    sup = PREFIX + "super"
+    t = totals.withColumn(sup, F.expr(f"`{CHUNK}` div {SUPER_CHUNK}"))
+    inner = Window.partitionBy(*kcols, sup).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    supers = t.groupBy(*kcols, sup).agg(
+        *[_total(_of_totals(s.kind), F.col(f"{PREFIX}t_{s.name}"), [CHUNK]).alias(f"{PREFIX}s_{s.name}") for s in scans])
+    outer = Window.partitionBy(*kcols).orderBy(sup).rowsBetween(Window.unboundedPreceding, -1)
+    supers = supers.select(*kcols, sup, *[
+        _running(_of_totals(s.kind), F.col(f"{PREFIX}s_{s.name}"), outer).alias(f"{PREFIX}s_{s.name}") for s in scans])
+    t = t.select(*kcols, sup, CHUNK, *[
+        _running(_of_totals(s.kind), F.col(f"{PREFIX}t_{s.name}"), inner).alias(f"{PREFIX}t_{s.name}") for s in scans])
+    return t.join(supers, [*kcols, sup]).select(*kcols, CHUNK, *[
+        _combine(_of_totals(s.kind), F.col(f"{PREFIX}s_{s.name}"), F.col(f"{PREFIX}t_{s.name}")).alias(f"{PREFIX}p_{s.name}")
+        for s in scans])
+
+
 def prefix_scan(df: DataFrame, order_by: Sequence[str] | str, scans: Iterable[Scan],
-                partition_by: Sequence[str] | str = (), chunk: Column | None = None,
-                chunk_width: int = DEFAULT_CHUNK_WIDTH, totals_from: str = "input") -> DataFrame:
+                partition_by: Sequence[str] | str = (), chunk_width: int = DEFAULT_CHUNK_WIDTH,
+                totals_from: str = "input") -> DataFrame:
     """Add one column per :class:`Scan`: a running aggregate over the rows of
     the same ``partition_by`` key that come before (and, if inclusive, at)
-    each row in ``order_by`` order.
+    each row in ``order_by`` order, null first.
 
-    ``chunk`` must be non-decreasing in ``order_by`` within a key; by default
-    it is ``order_by[0] div chunk_width``. ``order_by`` must be unique within
-    a key for the result to be deterministic, as with any ROWS frame.
+    ``order_by`` must be unique within a key for the result to be
+    deterministic, as with any ROWS frame, and begin with an integer column.
+    ``totals_from`` says whether hot keys' chunks are summed up from the input
+    again or from the windows' output.
     """
     order = [order_by] if isinstance(order_by, str) else list(order_by)
     keys = [partition_by] if isinstance(partition_by, str) else list(partition_by)
@@ -127,56 +194,35 @@ def prefix_scan(df: DataFrame, order_by: Sequence[str] | str, scans: Iterable[Sc
     for s in scans:
         if s.kind not in KINDS:
             raise ValueError(f"unknown scan kind {s.kind!r}")
-    ck = "__chunk"
-    base = df.withColumn(ck, chunk if chunk is not None else chunk_of(order[0], chunk_width))
+    base, kcols = key_columns(df, keys)
+    every, hot = hot_chunks(base, kcols, order[0], chunk_width)
 
-    # Keys as plain (non-null) columns: the window, the chunk table and the
-    # join back then all hash-partition on exactly (keys, chunk), so the big
-    # side is shuffled once. A nullable key becomes (value-or-default, is-null).
-    kcols: list[str] = []
-    for i, k in enumerate(keys):
-        f = base.schema[k]
-        if f.nullable:
-            base = (base.withColumn(f"__kv{i}", F.coalesce(F.col(k), _default(f.dataType)))
-                    .withColumn(f"__kn{i}", F.col(k).isNull()))
-            kcols += [f"__kv{i}", f"__kn{i}"]
-        else:
-            kcols.append(k)
+    def windows(rows: DataFrame) -> DataFrame:
+        w = Window.partitionBy(*kcols, CHUNK).orderBy(*order)
+        for s in scans:
+            frame = w.rowsBetween(Window.unboundedPreceding, 0 if s.inclusive else -1)
+            rows = rows.withColumn(f"{PREFIX}l_{s.name}", _running(s.kind, s.col(), frame))
+        return rows
 
-    # 1. running aggregate inside each (key, chunk)
-    w_in = Window.partitionBy(*kcols, ck).orderBy(*order)
-    local = base
-    for s in scans:
-        frame = w_in.rowsBetween(Window.unboundedPreceding, 0 if s.inclusive else -1)
-        local = local.withColumn(f"__loc_{s.name}", _running(s.kind, s.col(), frame))
-
-    # 2. one row per chunk. "input": re-read the input and aggregate map-side
-    # (cheap for a column-pruned scan). "window": take each chunk's last
-    # running value from the window output, which is already clustered by
-    # (keys, chunk) -- no second evaluation of an expensive input.
+    local = windows(every)
     if totals_from == "window":
         last = F.struct(*[F.col(o) for o in order])
-        totals = local.groupBy(*kcols, ck).agg(
-            *[F.max_by(F.col(f"__loc_{s.name}") if s.inclusive
-                       else _combine(s.kind, F.col(f"__loc_{s.name}"), s.col()), last).alias(f"__tot_{s.name}")
+        totals = windows(hot).groupBy(*kcols, CHUNK).agg(
+            *[F.max_by(F.col(f"{PREFIX}l_{s.name}") if s.inclusive
+                       else _combine(s.kind, F.col(f"{PREFIX}l_{s.name}"), _one(s)), last).alias(f"{PREFIX}t_{s.name}")
               for s in scans])
     else:
-        totals = base.groupBy(*kcols, ck).agg(
-            *[_chunk_total(s.kind, s.col(), order).alias(f"__tot_{s.name}") for s in scans])
+        totals = hot.groupBy(*kcols, CHUNK).agg(
+            *[_total(s.kind, s.col(), order).alias(f"{PREFIX}t_{s.name}") for s in scans])
+    out = local.join(_chunk_prefix(totals, kcols, scans), [*kcols, CHUNK], "left")
+    for s in scans:
+        out = out.withColumn(s.name, _combine(s.kind, F.col(f"{PREFIX}p_{s.name}"), F.col(f"{PREFIX}l_{s.name}")))
+    return out.drop(*[c for c in out.columns if c.startswith(PREFIX)])
 
-    # 3. exclusive prefix over the chunks of each key
-    w_ch = Window.partitionBy(*kcols).orderBy(ck).rowsBetween(Window.unboundedPreceding, -1)
-    prefix = totals.select(
-        *kcols, ck,
-        *[_prefix_of_totals(s.kind, F.col(f"__tot_{s.name}"), w_ch).alias(f"__pre_{s.name}") for s in scans])
 
-    # 4. join back on (keys, chunk) and combine
-    out = local.join(prefix, [*kcols, ck], "left")
-    for s in scans:
-        out = out.withColumn(s.name, _combine(s.kind, F.col(f"__pre_{s.name}"), F.col(f"__loc_{s.name}")))
-    drop = [ck] + [c for c in kcols if c.startswith("__k")]
-    drop += [f"__loc_{s.name}" for s in scans] + [f"__pre_{s.name}" for s in scans]
-    return out.drop(*drop)
+def _one(s: Scan) -> Column:
+    """What one row adds to an aggregate."""
+    return F.when(s.col().isNotNull(), 1).otherwise(0) if s.kind == "count" else s.col()
 
 
 def _default(dt: T.DataType) -> Column:
@@ -196,32 +242,6 @@ def _default(dt: T.DataType) -> Column:
     raise TypeError(f"prefix_scan: unsupported nullable key type {dt}")
 
 
-TIME_CHUNK_COLS = ("__tc_t0", "__tc_width")
-
-
-def time_chunks(df: DataFrame, keys: Sequence[str] | str, ts_col: str,
-                target_rows: int = 1 << 16) -> Column:
-    """A per-key chunk column for scans ordered by an event-time column.
-
-    Time is not dense like an arrival sequence, so a fixed width either
-    leaves one row per chunk (sparse keys) or one huge chunk (a key with a
-    burst). The width is chosen per key from its row count and time span so
-    that a chunk holds about ``target_rows`` rows: ``chunk = (ts - min_ts)
-    div width``. Returns ``(frame, column)``: the frame carries the per-key
-    statistics (one small aggregation, joined back on the key -- AQE
-    broadcasts it when it is small) in the columns ``TIME_CHUNK_COLS``."""
-    ks = [keys] if isinstance(keys, str) else list(keys)
-    stats = df.groupBy(*ks).agg(F.count(F.lit(1)).alias("__n"), F.min(ts_col).alias("__t0"),
-                                F.max(ts_col).alias("__t1"))
-    stats = stats.withColumn("__tc_width", F.greatest(
-        F.lit(1).cast("bigint"),
-        F.ceil((F.col("__t1") - F.col("__t0") + 1) * F.lit(target_rows) / F.col("__n")).cast("bigint")))
-    stats = stats.select(*ks, F.col("__t0").alias("__tc_t0"), "__tc_width")
-    joined = df.join(stats, ks, "left") if ks else df.crossJoin(stats)
-    chunk = F.expr(f"(`{ts_col}` - __tc_t0) div __tc_width")
-    return joined, chunk
-
-
 def row_number_in_order(df: DataFrame, order_by: Sequence[str] | str, partition_by=(),
                         name: str = "rn", chunk_width: int = DEFAULT_CHUNK_WIDTH) -> DataFrame:
     """1-based position of each row within its key in ``order_by`` order,

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .scan import DEFAULT_CHUNK_WIDTH, chunk_of
+from .scan import CHUNK, DEFAULT_CHUNK_WIDTH, hot_chunks, key_columns
 from ..functions.text import RULE, TOPN_ENTRY, render
 from .windows import format_millis, window_agg
 
@@ -65,86 +65,52 @@ def top2_by_key(df: DataFrame, key: str = "id", value: str = "vc", n: int = 2) -
 
 # --- running top-k per key in arrival order (K2 / T5) ---------------------------
 
-def _sequential(df: DataFrame, cluster: list[str], sort: list[str], fn, schema: T.StructType) -> DataFrame:
-    """Run ``fn`` over Arrow batches of partitions clustered by ``cluster``
-    and sorted by ``sort`` (one Python call per batch, not per group)."""
-    return df.repartition(*cluster).sortWithinPartitions(*sort).mapInArrow(fn, schema)
+def _cascade(rows: DataFrame, value: str, k: int, partition: list[str], order: list[str]) -> DataFrame:
+    """Add ``__m1 .. __mk``: the k largest values so far, by an insertion
+    cascade. A value is compared with the largest before it; the smaller of
+    the two falls through to the second place, and so on. A value that falls
+    past a place with nothing in it yet falls no further. All windows share
+    one sort; nulls are no values."""
+    w = Window.partitionBy(*partition).orderBy(*order)
+    so_far, before = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(Window.unboundedPreceding, -1)
+    falls = F.col(value)
+    for i in range(1, k + 1):
+        rows = rows.withColumn(f"__f{i}", falls)
+        rows = (rows.withColumn(f"__m{i}", F.max(f"__f{i}").over(so_far))
+                .withColumn(f"__b{i}", F.max(f"__f{i}").over(before)))
+        falls = F.when(F.col(f"__b{i}").isNotNull() & F.col(f"__f{i}").isNotNull(),
+                       F.least(f"__f{i}", f"__b{i}"))
+    return rows.drop(*[f"__{c}{i}" for c in "fb" for i in range(1, k + 1)])
 
 
 def running_topk(df: DataFrame, k: int = 3, key: str = "id", order: str = "seq", value: str = "vc",
                  chunk_width: int = DEFAULT_CHUNK_WIDTH) -> DataFrame:
     """After every row, the ``k`` largest values of its key so far (desc).
 
-    Plan: (a) top-k of every ``(key, chunk)`` natively (WindowGroupLimit);
-    (b) per key, fold the chunk summaries in chunk order into the top-k of
-    all *earlier* chunks (a table ``chunk_width`` times smaller than the
-    input); (c) per ``(key, chunk)`` -- at most ``chunk_width`` rows -- walk
-    the rows in order starting from that prefix. (b) and (c) are sorted
-    partition scans in Arrow batches holding at most k values of state, so a
-    hot key is spread over its chunks.
+    One cascade of running maxima per key (:func:`_cascade`); keys with more
+    than ``chunk_width`` rows run it per chunk. Of these keys alone each chunk
+    gives its k largest, the same cascade over them gives the k largest of all
+    earlier chunks, and the k largest of both lists are a row's result.
     """
-    key_type = df.schema[key].dataType
+    places = [f"__m{i}" for i in range(1, k + 1)]
     d = (df.where(F.col(value).isNotNull())
-         .select(F.col(key), F.col(order).cast("bigint").alias(order), F.col(value).cast("int").alias(value),
-                 chunk_of(order, chunk_width).alias("__chunk")))
-
-    w = Window.partitionBy(key, "__chunk").orderBy(F.desc(value))
-    summary = (d.withColumn("__r", F.row_number().over(w)).where(F.col("__r") <= k)
-               .groupBy(key, "__chunk").agg(F.collect_list(value).alias("top")))
-
-    prefix_schema = T.StructType([T.StructField(key, key_type), T.StructField("__chunk", T.LongType()),
-                                  T.StructField("__prefix", T.ArrayType(T.IntegerType()))])
-
-    # The functions shipped to the Python workers are self-contained (no
-    # references to this module), so executors need not import the package.
-    def fold_chunks(batches):
-        import pyarrow as pa
-
-        cur, acc = object(), []
-        for b in batches:
-            keys, chunks, tops = (b.column(key).to_pylist(), b.column("__chunk").to_pylist(),
-                                  b.column("top").to_pylist())
-            out = []
-            for kk, top in zip(keys, tops):
-                if kk != cur:
-                    cur, acc = kk, []
-                out.append(list(acc))
-                acc = sorted(acc + list(top), reverse=True)[:k]
-            yield pa.RecordBatch.from_arrays(
-                [b.column(key), b.column("__chunk"), pa.array(out, pa.list_(pa.int32()))],
-                schema=pa.schema([(key, b.schema.field(key).type), ("__chunk", pa.int64()),
-                                  ("__prefix", pa.list_(pa.int32()))]))
-
-    prefix = _sequential(summary, [key], [key, "__chunk"], fold_chunks, prefix_schema)
-
-    out_schema = T.StructType([T.StructField(key, key_type), T.StructField(order, T.LongType()),
-                               T.StructField(value, T.IntegerType()),
-                               T.StructField(f"top{k}", T.ArrayType(T.IntegerType()))])
-
-    def walk(batches):
-        import bisect
-
-        import pyarrow as pa
-
-        cur, asc = object(), []
-        for b in batches:
-            keys, chunks = b.column(key).to_pylist(), b.column("__chunk").to_pylist()
-            vals, pres = b.column(value).to_pylist(), b.column("__prefix").to_pylist()
-            out = []
-            for kk, ck, v, pre in zip(keys, chunks, vals, pres):
-                if (kk, ck) != cur:
-                    cur, asc = (kk, ck), sorted(pre or [])
-                bisect.insort(asc, v)
-                if len(asc) > k:
-                    del asc[0]
-                out.append(asc[::-1])
-            yield pa.RecordBatch.from_arrays(
-                [b.column(key), b.column(order), b.column(value), pa.array(out, pa.list_(pa.int32()))],
-                schema=pa.schema([(key, b.schema.field(key).type), (order, pa.int64()), (value, pa.int32()),
-                                  (f"top{k}", pa.list_(pa.int32()))]))
-
-    joined = d.join(prefix, [key, "__chunk"], "left").select(key, order, value, "__chunk", "__prefix")
-    return _sequential(joined, [key, "__chunk"], [key, "__chunk", order], walk, out_schema)
+         .select(F.col(key), F.col(order).cast("bigint").alias(order), F.col(value).cast("int").alias(value)))
+    base, kcols = key_columns(d, [key])
+    every, hot = hot_chunks(base, kcols, order, chunk_width)
+    local = _cascade(every, value, k, [*kcols, CHUNK], [order])
+
+    # the places only rise along a chunk: their largest values are its top k
+    tops = (_cascade(hot, value, k, [*kcols, CHUNK], [order]).groupBy(*kcols, CHUNK)
+            .agg(*[F.max(m).alias(m) for m in places]))
+    spread = tops.select(*kcols, CHUNK, F.posexplode(F.array_compact(F.array(*places))).alias("__i", "__v"))
+    reached = (_cascade(spread, "__v", k, kcols, [CHUNK, "__i"]).groupBy(*kcols, CHUNK)
+               .agg(*[F.max(m).alias(m) for m in places]))
+    prior = Window.partitionBy(*kcols).orderBy(CHUNK)
+    prefix = reached.select(*kcols, CHUNK, F.lag(F.array_compact(F.array(*places))).over(prior).alias("__prefix"))
+
+    both = F.concat(F.coalesce("__prefix", F.array().cast("array<int>")), F.array_compact(F.array(*places)))
+    return (local.join(prefix, [*kcols, CHUNK], "left")
+            .select(key, order, value, F.slice(F.sort_array(both, asc=False), 1, k).alias(f"top{k}")))
 
 
 def running_top3(df: DataFrame, key: str = "id", order: str = "seq", value: str = "vc",

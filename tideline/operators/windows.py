@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .scan import DEFAULT_CHUNK_WIDTH, TIME_CHUNK_COLS, Scan, prefix_scan, time_chunks
+from .scan import CHUNK, DEFAULT_CHUNK_WIDTH, PREFIX, Scan, hot_chunks, key_columns, prefix_scan
 from ..functions.text import AGG_AND_PROCESS, PARITY_SUM, SENSOR_RECORD, WINDOW_HEADER, render
 from .transforms import parity_label
 
@@ -131,6 +131,20 @@ def window_contents(df: DataFrame, size_s: int = 10, key: str = "id") -> DataFra
     return r.withColumn("text", window_header(F.col(key)))
 
 
+def window_members(df: DataFrame, size_s: int = 10, key: str = "id", order: str = "seq",
+                   chunk_width: int = DEFAULT_CHUNK_WIDTH) -> DataFrame:
+    """The members that the reference prints after a window's header: one row
+    per member with its window's bounds and count, its position in arrival
+    order (from 1) and its text. No list per window."""
+    d = assign_tumbling(df, size_s)
+    placed = prefix_scan(d, order, [Scan("position", F.lit(1), "count")], [key, "window_start"], chunk_width=chunk_width)
+    sizes = d.groupBy(F.col(key).alias("__key"), F.col("window_start").alias("__start")).agg(
+        F.count(F.lit(1)).alias("cnt"))
+    both = placed.join(sizes, F.col(key).eqNullSafe(F.col("__key")) & F.col("window_start").eqNullSafe(F.col("__start")))
+    return both.select(key, "window_start", "window_end", "cnt", "position",
+                       sensor_text(F.col("id"), F.col("ts"), F.col("vc")).alias("text"))
+
+
 def window_header(key: Column) -> Column:
     """``WINDOW_HEADER`` from ``window_start``, ``window_end`` and ``cnt``."""
     return render(WINDOW_HEADER, key=key, start=format_millis(F.col("window_start") * 1000),
@@ -166,24 +180,18 @@ def window_all(df: DataFrame, size_s: int = 5) -> DataFrame:
 
 # --- session windows (E9) --------------------------------------------------------
 
-# Rows per chunk for time-ordered scans (the width in seconds adapts per key).
-TIME_CHUNK_ROWS = 1 << 16
-
-
 def session_window(df: DataFrame, gap_s: int = 5, key: str = "id", ts_col: str = "ts",
-                   chunk_rows: int = TIME_CHUNK_ROWS) -> DataFrame:
+                   chunk_rows: int = DEFAULT_CHUNK_WIDTH) -> DataFrame:
     """Sessions per key with gap ``gap_s``: a row starts a new session iff it
     is more than ``gap_s`` after the previous row of its key (windows that
     touch merge). Session = ``[first ts, last ts + gap)``.
 
-    Batch plan (two-level, one pass): the rows of a key are chunked by time
-    with a per-key width (about ``chunk_rows`` rows per chunk,
-    :func:`~.scan.time_chunks`); each chunk counts the session starts after
-    its first row; a window over the small chunk table decides whether a
-    chunk's first row starts a session (gap to the previous chunk's last row)
-    and how many sessions began before it; the join back numbers every row's
-    session, and a group-by closes them. A hot key is spread over many tasks
-    and sparse keys cost one chunk each.
+    Batch plan: one window per key numbers its sessions. A key with more than
+    ``chunk_rows`` rows is cut by quantiles of time (:func:`~.scan.hot_chunks`,
+    so a burst is cut as finely as its rows require); each of its chunks counts
+    the session starts after its first row, and a window over the chunks of
+    these keys alone decides whether a chunk's first row starts a session and
+    how many began before it.
     Streaming input uses ``session_window``.
     """
     if df.isStreaming:
@@ -191,32 +199,34 @@ def session_window(df: DataFrame, gap_s: int = 5, key: str = "id", ts_col: str =
         r = d.groupBy(key, F.session_window("et", f"{int(gap_s)} seconds").alias("window")).agg(
             F.count(F.lit(1)).alias("cnt"), F.sum("vc").alias("vc"))
         return r.select(key, *_bounds(), "cnt", "vc")
-    d, chunk = time_chunks(df, key, ts_col, chunk_rows)
-    d = d.withColumn("__tc", chunk).drop(*TIME_CHUNK_COLS)
+    base, kcols = key_columns(df, [key])
+    every, hot = hot_chunks(base, kcols, ts_col, chunk_rows)
     g = F.lit(int(gap_s))
-
-    # 1. inside each (key, chunk): session starts after the chunk's first row
-    w = Window.partitionBy(key, "__tc").orderBy(ts_col)
-    local = (d.withColumn("__prev", F.lag(ts_col).over(w))
-             .withColumn("__run", F.sum(F.when(F.col(ts_col) - F.col("__prev") > g, 1).otherwise(0))
-                         .over(w.rowsBetween(Window.unboundedPreceding, 0))))
-    # 2. per chunk: first/last ts and the number of internal session starts
-    chunks = local.groupBy(key, "__tc").agg(F.min(ts_col).alias("__first"), F.max(ts_col).alias("__last"),
-                                            F.max("__run").alias("__inner"))
-    # 3. over the (small) chunk table: does the chunk's first row start a new
-    #    session, and how many sessions started in earlier chunks
-    wc = Window.partitionBy(key).orderBy("__tc")
-    chunks = (chunks.withColumn("__starts", F.when(F.lag("__last").over(wc).isNull()
-                                                   | (F.col("__first") - F.lag("__last").over(wc) > g), 1).otherwise(0))
+    run, prev = PREFIX + "run", PREFIX + "prev"
+
+    def starts(rows: DataFrame) -> DataFrame:
+        """Session starts inside each (key, chunk) after the chunk's first row, so far."""
+        w = Window.partitionBy(*kcols, CHUNK).orderBy(ts_col)
+        return (rows.withColumn(prev, F.lag(ts_col).over(w))
+                .withColumn(run, F.sum(F.when(F.col(ts_col) - F.col(prev) > g, 1).otherwise(0))
+                            .over(w.rowsBetween(Window.unboundedPreceding, 0))))
+
+    # of hot keys: does a chunk's first row start a session, and how many began in earlier chunks
+    chunks = starts(hot).groupBy(*kcols, CHUNK).agg(F.min(ts_col).alias("__first"), F.max(ts_col).alias("__last"),
+                                                    F.max(run).alias("__inner"))
+    wc = Window.partitionBy(*kcols).orderBy(CHUNK)
+    last = F.lag("__last").over(wc)
+    chunks = (chunks.withColumn("__starts", F.when(last.isNull() | (F.col("__first") - last > g), 1).otherwise(0))
               .withColumn("__before", F.coalesce(F.sum(F.col("__starts") + F.col("__inner"))
                                                  .over(wc.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-              .select(key, "__tc", (F.col("__before") + F.col("__starts")).alias("__base")))
-    # 4. session number = sessions before the chunk + starts inside it so far
-    numbered = local.join(chunks, [key, "__tc"]).withColumn("__session", F.col("__base") + F.col("__run"))
-    return (numbered.groupBy(key, "__session")
-            .agg(F.min(ts_col).alias("window_start"), (F.max(ts_col) + F.lit(gap_s)).alias("window_end"),
+              .select(*kcols, CHUNK, (F.col("__before") + F.col("__starts")).alias(PREFIX + "base")))
+    numbered = starts(every).join(chunks, [*kcols, CHUNK], "left").withColumn(
+        "__session", F.coalesce(F.col(PREFIX + "base"), F.lit(1)) + F.col(run))
+    return (numbered.groupBy(*kcols, "__session")
+            .agg(F.first(key).alias(PREFIX + "key"), F.min(ts_col).alias("window_start"),
+                 (F.max(ts_col) + F.lit(gap_s)).alias("window_end"),
                  F.count(F.lit(1)).alias("cnt"), F.sum("vc").alias("vc"))
-            .drop("__session"))
+            .select(F.col(PREFIX + "key").alias(key), "window_start", "window_end", "cnt", "vc"))
 
 
 # --- count windows (E10, E11) ----------------------------------------------------
