@@ -10,12 +10,13 @@ from pyspark.sql import types as T
 
 def weighted_avg(value: Column | str, weight: Column | str, op: Column | None = None) -> Column:
     """``sum(v * w) / sum(w)`` with integer (truncating) division, null when
-    the weight sum is 0. With a changelog ``op`` column, retractions
+    the weight sum is 0. A weight counts only where its value is present. With a changelog ``op`` column, retractions
     (``-U``/``-D``) subtract their weight: the reference's ``retract``."""
     v = F.col(value) if isinstance(value, str) else value
     w = F.col(weight) if isinstance(weight, str) else weight
     if op is not None:
         w = F.when(op.isin("-U", "-D"), -w).otherwise(w)
+    w = F.when(v.isNotNull(), w)
     num = F.sum(v.cast("bigint") * w.cast("bigint"))
     den = F.sum(w.cast("bigint"))
     return F.when(den == 0, F.lit(None).cast("bigint")).otherwise(_int_div(num, den))
@@ -35,6 +36,8 @@ def weighted_avg_udaf():
 
     @pandas_udf(T.LongType())
     def wavg(v: pd.Series, w: pd.Series) -> int | None:
+        both = v.notna() & w.notna()
+        v, w = v[both], w[both]
         den = int(w.astype("int64").sum())
         if den == 0:
             return None

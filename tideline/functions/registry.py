@@ -11,7 +11,9 @@ def register_all(spark: SparkSession) -> list[str]:
     """Make the library's functions callable from ``spark.sql``:
 
     * ``java_hash(string)`` -- SQL-bodied scalar function (inlined, no Python);
-    * ``weighted_avg(value, weight)`` -- the Pandas grouped-aggregate UDF;
+    * ``weighted_avg(value, weight)`` -- the Pandas grouped-aggregate UDF, which
+      takes a whole group into memory: for large groups use the expression
+      :func:`~.aggregate.weighted_avg`;
     * ``split_words(s)`` -- SQL table function for ``lateral``;
     * ``split_words_py(s)`` -- the Python UDTF form.
     """
@@ -19,10 +21,8 @@ def register_all(spark: SparkSession) -> list[str]:
 
     spark.sql("""
         CREATE OR REPLACE TEMPORARY FUNCTION java_hash(s STRING) RETURNS INT
-        RETURN CASE WHEN s = '' THEN 0 ELSE CAST(pmod(aggregate(
-            transform(sequence(0, CAST(length(hex(encode(s, 'UTF-16BE'))) / 4 AS INT) - 1),
-                      i -> CAST(conv(substring(hex(encode(s, 'UTF-16BE')), i * 4 + 1, 4), 16, 10) AS BIGINT)),
-            0L, (acc, u) -> pmod(acc * 31 + u, 4294967296)) + 2147483648, 4294967296) - 2147483648 AS INT) END
+        RETURN CASE WHEN s IS NOT NULL
+                    THEN CAST(java_method('java.util.Objects', 'hashCode', s) AS INT) END
     """)
     register_split_words_sql(spark, "split_words")
     spark.udtf.register("split_words_py", python_split_words_udtf())

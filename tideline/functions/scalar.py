@@ -17,15 +17,10 @@ def _to_int32(c: Column) -> Column:
 
 
 def java_string_hash(s: Column) -> Column:
-    """``String.hashCode()``: UTF-16 code units folded as ``h = 31*h + u``
-    modulo 2^32, as a signed int. Pure JVM expression, no Python."""
-    hexed = F.hex(F.encode(s, "UTF-16BE"))
-    n = (F.length(hexed) / 4).cast("int")
-    units = F.transform(F.sequence(F.lit(0), n - 1),
-                        lambda i: F.conv(F.substring(hexed, i * 4 + 1, 4), 16, 10).cast("bigint"))
-    folded = F.aggregate(F.when(n > 0, units).otherwise(F.array().cast("array<bigint>")),
-                         F.lit(0).cast("bigint"), lambda acc, u: F.pmod(acc * 31 + u, F.lit(_M32)))
-    return F.when(s.isNull(), F.lit(None).cast("int")).otherwise(_to_int32(folded))
+    """``String.hashCode()`` by the JVM's own method, linear in the string's
+    length; null gives null."""
+    hashed = F.java_method(F.lit("java.util.Objects"), F.lit("hashCode"), s).cast("int")
+    return F.when(s.isNotNull(), hashed)
 
 
 def java_hash(c: Column, data_type: T.DataType) -> Column:

@@ -94,20 +94,13 @@ def allowed_lateness(df: DataFrame, size_s: int = 10, delay_s: int = 3, lateness
     are not counted (see :func:`late_data_split`).
     """
     c = classify_lateness(df, size_s, delay_s, lateness_s, order, chunk_width)
-    base = (c.where(F.col("status") == ON_TIME).groupBy(key, "window_start", "window_end")
-            .agg(F.count(F.lit(1)).alias("on_cnt"), F.sum("vc").alias("on_vc")))
-    fire0 = base.select(key, "window_start", "window_end", F.lit(0).cast("bigint").alias("firing"),
-                        F.col("on_cnt").alias("cnt"), F.col("on_vc").alias("vc"))
-    allowed = prefix_scan(c.where(F.col("status") == ALLOWED), order,
-                          [Scan("firing", F.lit(1), "count"), Scan("__run_vc", "vc", "sum")],
-                          [key, "window_start"], chunk_width=chunk_width)
-    refire = (allowed.join(base, [key, "window_start", "window_end"], "left")
-              .select(key, "window_start", "window_end", "firing",
-                      (F.coalesce(F.col("on_cnt"), F.lit(0)) + F.col("firing")).alias("cnt"),
-                      (F.when(F.col("on_vc").isNull(), F.col("__run_vc"))
-                       .when(F.col("__run_vc").isNull(), F.col("on_vc"))
-                       .otherwise(F.col("on_vc") + F.col("__run_vc"))).alias("vc")))
-    return fire0.unionByName(refire)
+    # the watermark only rises, so a window's on-time rows come before its
+    # allowed ones: one running pass gives every firing's count and sum
+    run = prefix_scan(c.where(F.col("status") != LATE), order, [
+        Scan("cnt", F.lit(1), "count"), Scan("__run_vc", F.col("vc").cast("bigint"), "sum"),
+        Scan("firing", F.when(F.col("status") == ALLOWED, 1), "count")], [key, "window_start"], chunk_width=chunk_width)
+    return (run.groupBy(key, "window_start", "window_end", "firing")
+            .agg(F.max("cnt").alias("cnt"), F.max_by("__run_vc", order).alias("vc")))
 
 
 def watermark_partitioned(df: DataFrame, num_partitions: int = 2, partition_key: str = "vc",
@@ -135,13 +128,14 @@ def watermark_partitioned(df: DataFrame, num_partitions: int = 2, partition_key:
             .agg(F.count(F.lit(1)).alias("cnt"), F.sum("vc").alias("vc")))
 
 
-def interval_join_late(left: DataFrame, right: DataFrame, delay_s: int = 3, order: str = "seq",
+def two_input_lateness(left: DataFrame, right: DataFrame, delay_s: int = 3, order: str = "seq",
                        chunk_width: int = DEFAULT_CHUNK_WIDTH) -> DataFrame:
-    """Late rows of an interval join (its two side outputs).
+    """The rows of two inputs with ``side``, the watermark ``wm`` at their
+    arrival and ``late``.
 
-    Both inputs form one arrival sequence; the join's watermark is the
-    minimum of the two inputs' watermarks (max seen - delay, -infinity before
-    a side's first row). A row is late iff ``ts < wm`` at its arrival.
+    Both inputs form one arrival sequence; the watermark is the minimum of
+    the two inputs' watermarks (max seen - delay, -infinity before a side's
+    first row). A row is late iff ``ts < wm``.
     """
     cols = ["id", "ts", "vc", order]
     both = (left.select(*cols, F.lit("left").alias("side"))
@@ -151,5 +145,37 @@ def interval_join_late(left: DataFrame, right: DataFrame, delay_s: int = 3, orde
         Scan("__mr", F.when(F.col("side") == "right", F.col("ts")), "max", inclusive=False)],
         chunk_width=chunk_width)
     wm = F.least(F.col("__ml"), F.col("__mr")) - F.lit(delay_s)
-    s = s.withColumn("wm", F.when(F.col("__ml").isNull() | F.col("__mr").isNull(), F.lit(None)).otherwise(wm))
-    return s.where(F.col("ts") < F.col("wm")).select("side", *cols, "wm")
+    s = s.withColumn("wm", F.when(F.col("__ml").isNotNull() & F.col("__mr").isNotNull(), wm))
+    return s.select("side", *cols, "wm", F.coalesce(F.col("ts") < F.col("wm"), F.lit(False)).alias("late"))
+
+
+def interval_join_late(left: DataFrame, right: DataFrame, delay_s: int = 3, order: str = "seq",
+                       chunk_width: int = DEFAULT_CHUNK_WIDTH) -> DataFrame:
+    """Late rows of an interval join (its two side outputs)."""
+    return two_input_lateness(left, right, delay_s, order, chunk_width).where("late").drop("late")
+
+
+def interval_join_on_time(left: DataFrame, right: DataFrame, lower_s: int, upper_s: int, delay_s: int = 3,
+                          order: str = "seq", chunk_width: int = DEFAULT_CHUNK_WIDTH) -> DataFrame:
+    """The interval join of the rows that aren't late (its main output)."""
+    from .joins import interval_join
+
+    rows = two_input_lateness(left, right, delay_s, order, chunk_width).where("not late")
+    sides = [rows.where(F.col("side") == s).select("id", "ts", "vc") for s in ("left", "right")]
+    return interval_join(*sides, lower_s, upper_s)
+
+
+def event_timer(df: DataFrame, timer_s: int, delay_s: int, key: str = "id", order: str = "seq",
+                ts_col: str = "ts") -> DataFrame:
+    """Every key's event-time timer at the fixed time ``timer_s``: registered
+    by each of its rows, collapsed to one, fired when the watermark (max ts
+    seen - delay) passes it. One row per key that registered by then: the
+    rows that did, and the arrival that made it fire."""
+    passed = df.where(F.col(ts_col) > F.lit(timer_s + delay_s)).agg(F.min(order).alias("at")).first()["at"]
+    if passed is None:  # the watermark never gets there
+        return df.where(F.lit(False)).select(key, F.lit(timer_s).cast("bigint").alias("timer"),
+                                             F.lit(0).cast("bigint").alias("registered"), F.col(order).alias("fired_at"))
+    return (df.where(F.col(order) <= passed).groupBy(key)
+            .agg(F.count(F.lit(1)).alias("registered"))
+            .select(key, F.lit(timer_s).cast("bigint").alias("timer"), "registered",
+                    F.lit(passed).cast("bigint").alias("fired_at")))

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.aggregate import weighted_avg
-from ..functions.scalar import java_string_hash
+from ..functions.scalar import java_hash, java_string_hash
 from ..functions.table import register_split_words_sql, split_words
 from ..operators import changelog, joins, keyed, lateness, over, topn, transforms, windows
 from ..sources import kafka
@@ -112,20 +112,35 @@ def q_filter_ts(spark, sf):
 
 @register("sql_on_view", with_ctes(f"SELECT id, ts, vc FROM sensor WHERE ts >= {FILTER_TS}", "sensor"))
 def q_sql_on_view(spark, sf):
-    I.sensor(spark, sf).createOrReplaceTempView("sensor")
-    return spark.sql(f"SELECT id, ts, vc FROM sensor WHERE ts >= {FILTER_TS}")
-
-
-@register("json_filter", """
-SELECT src, value FROM (
-  SELECT 'props' AS src, props AS value FROM events
-  UNION ALL SELECT 'event_type' AS src, event_type AS value FROM events)
-WHERE CASE WHEN json_valid(value) THEN json_type(value) = 'OBJECT' ELSE false END""")
+    # the view shows the raw event time as well: a bound on it reaches the parquet scan,
+    # and whole seconds make it the same bound as one on ts
+    from ..schema import ntz_text, sensor_view
+    sensor_view(spark, sf).createOrReplaceTempView("sensor")
+    return spark.sql(f"SELECT id, ts, vc FROM sensor WHERE event_time >= TIMESTAMP_NTZ '{ntz_text(FILTER_TS)}'")
+
+
+_JSON_VALUES = {  # column of the query's input -> (Spark, DuckDB)
+    "props": ("props", "props"),
+    "event_type": ("event_type", "event_type"),
+    "repeated": ("concat('{\"a\":1,\"a\":', event_id, ',\"b\":', props, '}')",
+                 "concat('{\"a\":1,\"a\":', event_id, ',\"b\":', props, '}')"),
+    "array": ("concat('[', props, ']')", "concat('[', props, ']')"),
+    "broken": ("left(props, length(props) - 1)", "left(props, length(props) - 1)"),
+    "trailing": ("concat(props, ' x')", "concat(props, ' x')"),
+    "empty": ("''", "''"),
+    "null": ("cast(null as string)", "CAST(NULL AS VARCHAR)"),
+    "json_null": ("'null'", "'null'"),
+}
+
+
+@register("json_filter", "SELECT src, value FROM (" + " UNION ALL ".join(
+    f"SELECT '{src}' AS src, {sql} AS value FROM events" for src, (_, sql) in _JSON_VALUES.items())
+    + ") WHERE CASE WHEN json_valid(value) THEN json_type(value) = 'OBJECT' ELSE false END")
 def q_json_filter(spark, sf):
     from ..schema import table
-    ev = table(spark, sf, "events")
-    lines = (ev.select(F.lit("props").alias("src"), F.col("props").alias("value"))
-             .unionByName(ev.select(F.lit("event_type").alias("src"), F.col("event_type").alias("value"))))
+    values = F.array(*[F.struct(F.lit(src).alias("src"), F.expr(expr).alias("value"))
+                       for src, (expr, _) in _JSON_VALUES.items()])
+    lines = table(spark, sf, "events").select(F.explode(values).alias("v")).select("v.src", "v.value")
     return transforms.json_filter(lines, "value")
 
 
@@ -197,6 +212,33 @@ def q_interval_join_late(spark, sf):
     return lateness.interval_join_late(I.left(spark, sf, True), I.right(spark, sf, True), LATE_DELAY)
 
 
+_MARKED_SQL = f"""(
+  SELECT *, CASE WHEN ml IS NULL OR mr IS NULL THEN false ELSE ts < least(ml, mr) - {LATE_DELAY} END AS late FROM (
+    SELECT *, max(CASE WHEN side = 'left' THEN ts END) OVER w AS ml,
+              max(CASE WHEN side = 'right' THEN ts END) OVER w AS mr
+    FROM (SELECT 'left' AS side, * FROM left_a UNION ALL SELECT 'right' AS side, * FROM right_a)
+    WINDOW w AS (ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)))"""
+
+
+@register("interval_join_on_time", with_ctes(f"""
+SELECT l.id, l.ts AS l_ts, l.vc AS l_vc, r.ts AS r_ts, r.vc AS r_vc,
+       concat({sql_sensor_text('l.id', 'l.ts', 'l.vc')}, '--->', {sql_sensor_text('r.id', 'r.ts', 'r.vc')}) AS text
+FROM {_MARKED_SQL} l JOIN {_MARKED_SQL} r
+  ON l.side = 'left' AND r.side = 'right' AND NOT l.late AND NOT r.late AND l.id = r.id
+ AND r.ts BETWEEN l.ts + ({JOIN_LOWER}) AND l.ts + {JOIN_UPPER}""", "left_a", "right_a"))
+def q_interval_join_on_time(spark, sf):
+    return lateness.interval_join_on_time(I.left(spark, sf, True), I.right(spark, sf, True), JOIN_LOWER, JOIN_UPPER,
+                                          LATE_DELAY)
+
+
+@register("event_timer", with_ctes(f"""
+SELECT id, CAST({FILTER_TS} AS BIGINT) AS timer, count(*) AS registered, any_value(passed) AS fired_at
+FROM (SELECT *, (SELECT min(seq) FROM arrivals WHERE ts > {FILTER_TS + LATE_DELAY}) AS passed FROM arrivals)
+WHERE seq <= passed GROUP BY id""", "arrivals"))
+def q_event_timer(spark, sf):
+    return lateness.event_timer(I.arrivals(spark, sf), FILTER_TS, LATE_DELAY)
+
+
 @register("broadcast_threshold", with_ctes(f"""
 SELECT id, ts, vc, seq, threshold,
        concat({sql_sensor_text('id', 'ts', 'vc')}, ',水位超过指定阈值：', CAST(threshold AS VARCHAR), '!!!') AS text
@@ -235,8 +277,7 @@ def q_split_words(spark, sf):
 def q_word_count_running(spark, sf):
     from ..operators.scan import Scan, prefix_scan
     w = I.doc_words(spark, sf)
-    return prefix_scan(w.drop("cnt"), ["doc_id", "line_no", "word_no"], [Scan("cnt", F.lit(1), "count")], "word",
-                       chunk=F.expr("doc_id div 4096"))
+    return prefix_scan(w.drop("cnt"), ["doc_id", "line_no", "word_no"], [Scan("cnt", F.lit(1), "count")], "word")
 
 
 @register("word_count_final", with_ctes("SELECT word, count(*) AS cnt FROM doc_words GROUP BY word", "doc_words"))
@@ -319,6 +360,15 @@ def q_window_contents(spark, sf):
     return windows.window_contents(I.arrivals(spark, sf), TUMBLE)
 
 
+@register("window_members", with_ctes(
+    f"SELECT id, ts - ts % {TUMBLE} AS window_start, ts - ts % {TUMBLE} + {TUMBLE} AS window_end, "
+    f"count(*) OVER (PARTITION BY id, ts - ts % {TUMBLE}) AS cnt, "
+    f"row_number() OVER (PARTITION BY id, ts - ts % {TUMBLE} ORDER BY seq) AS position, "
+    f"{sql_sensor_text('id', 'ts', 'vc')} AS text FROM arrivals", "arrivals"))
+def q_window_members(spark, sf):
+    return windows.window_members(I.arrivals(spark, sf), TUMBLE)
+
+
 # ---------------------------------------------- windows, Top-N, sorts (2.5)
 
 @register("over_range_count", with_ctes(
@@ -328,6 +378,11 @@ def q_over_range_count(spark, sf):
     return over.over_range_count(I.sensor(spark, sf), RANGE)
 
 
+@register("over_range_count_scan", ORACLE["over_range_count"])
+def q_over_range_count_scan(spark, sf):
+    return over.over_range_count(I.sensor(spark, sf), RANGE, strategy="scan")
+
+
 _SLIDE_COUNT_SQL = (
     f"SELECT vc, ts - ts % {SLIDE_STEP} - k * {SLIDE_STEP} AS window_start, "
     f"ts - ts % {SLIDE_STEP} - k * {SLIDE_STEP} + {SLIDE_SIZE} AS window_end, count(*) AS cnt "
@@ -564,19 +619,27 @@ _JAVA_HASH_SQL = (
 
 
 @register("java_hash", with_ctes(
-    f"SELECT seq, id, {_JAVA_HASH_SQL} AS id_hash FROM (SELECT seq, id, list_reduce(list_prepend(0::BIGINT, "
+    f"SELECT seq, id, {_JAVA_HASH_SQL} AS id_hash, vc AS int_hash, "
+    "CAST(seq * 4294967296 + ts AS BIGINT) AS big, "
+    "CAST(CASE WHEN x >= 2147483648 THEN x - 4294967296 ELSE x END AS INTEGER) AS long_hash, "
+    "CASE WHEN vc % 2 = 0 THEN 1231 ELSE 1237 END AS boolean_hash "
+    "FROM (SELECT *, xor(seq, ts) % 4294967296 AS x, list_reduce(list_prepend(0::BIGINT, "
     "list_transform(string_split(id, ''), lambda c: unicode(c)::BIGINT)), lambda a, x: (a * 31 + x) % 4294967296) "
     "AS h FROM sensor)", "sensor"))
 def q_java_hash(spark, sf):
-    s = I.sensor(spark, sf)
-    return s.select("seq", "id", java_string_hash(F.col("id")).alias("id_hash"))
+    from pyspark.sql import types as T
+    s = I.sensor(spark, sf).withColumn("big", F.col("seq") * F.lit(1 << 32) + F.col("ts"))
+    return s.select("seq", "id", java_string_hash(F.col("id")).alias("id_hash"),
+                    java_hash(F.col("vc"), T.IntegerType()).alias("int_hash"), "big",
+                    java_hash(F.col("big"), T.LongType()).alias("long_hash"),
+                    java_hash(F.col("vc") % 2 == 0, T.BooleanType()).alias("boolean_hash"))
 
 
 @register("weighted_avg", """
 SELECT l_returnflag, l_linestatus,
        CASE WHEN sum(l_linenumber) = 0 THEN NULL
             ELSE CAST(sum(CAST(l_quantity AS BIGINT) * l_linenumber) // sum(l_linenumber) AS BIGINT) END AS wavg
-FROM lineitem GROUP BY 1, 2""")
+FROM lineitem WHERE l_quantity IS NOT NULL GROUP BY 1, 2""")
 def q_weighted_avg(spark, sf):
     from ..schema import table
     li = table(spark, sf, "lineitem")
@@ -584,6 +647,18 @@ def q_weighted_avg(spark, sf):
         weighted_avg(F.col("l_quantity").cast("bigint"), F.col("l_linenumber")).alias("wavg"))
 
 
+@register("weighted_avg_retract", with_ctes("""
+SELECT id, CAST(sum(new * n) // sum(n) AS BIGINT) AS wavg FROM (
+  SELECT id, seq, CAST(sum(vc) OVER (PARTITION BY id ORDER BY seq) AS BIGINT) AS new, 1 AS n,
+         row_number() OVER (PARTITION BY id ORDER BY seq DESC) AS back FROM arrivals)
+WHERE back = 1 GROUP BY id""", "arrivals"))
+def q_weighted_avg_retract(spark, sf):
+    """The weighted average over a changelog: every retracted sum takes its
+    weight back, so what is left is the last sum of each key."""
+    changes = changelog.group_sum_changelog(I.arrivals(spark, sf))
+    return changes.groupBy("id").agg(weighted_avg("sumVc", F.lit(1), F.col("op")).alias("wavg"))
+
+
 @register("format_window_time", with_ctes(
     f"SELECT seq, {sql_fmt_ms('ts * 1000')} AS text FROM sensor", "sensor"))
 def q_format_window_time(spark, sf):

@@ -50,10 +50,14 @@ def epoch_seconds(c: Column) -> Column:
 def ntz_from_epoch(seconds: int) -> Column:
     """Epoch seconds as a TIMESTAMP_NTZ literal (zone-free), for predicates
     on raw timestamp columns that Parquet can push down."""
+    return F.lit(ntz_text(seconds)).cast("timestamp_ntz")
+
+
+def ntz_text(seconds: int) -> str:
+    """Epoch seconds as the text of a TIMESTAMP_NTZ literal."""
     import datetime as _dt
 
-    wall = _dt.datetime(1970, 1, 1) + _dt.timedelta(seconds=int(seconds))
-    return F.lit(wall.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
+    return (_dt.datetime(1970, 1, 1) + _dt.timedelta(seconds=int(seconds))).strftime("%Y-%m-%d %H:%M:%S")
 
 
 def sensor(spark: SparkSession, sf_dir: str, min_ts: int | None = None) -> DataFrame:
@@ -74,6 +78,17 @@ def sensor(spark: SparkSession, sf_dir: str, min_ts: int | None = None) -> DataF
     )
 
 
+def sensor_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`sensor` with the raw event time as ``event_time``, on which SQL
+    states bounds that reach the Parquet scan."""
+    ev = table(spark, sf_dir, "events")
+    return ev.select(
+        F.concat(F.lit("s"), ev.user_id.cast("string")).alias("id"),
+        epoch_seconds(ev.ts).cast("bigint").alias("ts"),
+        F.floor(ev.value).cast("int").alias("vc"),
+        ev.event_id.cast("bigint").alias("seq"), ev.ts.alias("event_time"))
+
+
 def arrival_seq(event_id: Column, spread: int = ARRIVAL_SPREAD) -> Column:
     """Unique arrival key: event e arrives at position e + j(e), ties by j.
 

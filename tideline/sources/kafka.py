@@ -31,9 +31,16 @@ def read_kafka(spark: SparkSession, options: dict) -> DataFrame:
     return decode_values(spark.readStream.format("kafka").options(**options).load())
 
 
+# Partitions of a topic that the arrival order has room for.
+MAX_PARTITIONS = 1 << 16
+
+
 def decode_values(raw: DataFrame) -> DataFrame:
-    """UTF-8 value text plus the source position (usable as arrival order)."""
-    return raw.select(F.col("value").cast("string").alias("value"), "topic", "partition", "offset")
+    """UTF-8 value text, the source position and the arrival order ``seq``:
+    within a partition the order of the offsets, across partitions by offset,
+    then partition number. Kafka itself orders only within a partition."""
+    seq = F.col("offset") * F.lit(MAX_PARTITIONS) + F.col("partition")
+    return raw.select(F.col("value").cast("string").alias("value"), "topic", "partition", "offset", seq.alias("seq"))
 
 
 def value_rows(lines: DataFrame, topic: str, col: str = "value", keep=()) -> DataFrame:

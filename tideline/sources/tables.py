@@ -50,10 +50,10 @@ def table_from_name(spark: SparkSession, name: str) -> DataFrame:
 def _read(spark: SparkSession, d: TableDecl, streaming: bool) -> DataFrame:
     o = dict(d.options)
     if d.connector == "datagen":
+        rate, n, seed = o.pop("rows-per-second", None), o.pop("number-of-rows", None), int(o.pop("seed", 0))
         if streaming:
-            return dg.datagen_stream(spark, int(o.get("rows-per-second", dg.ROWS_PER_SECOND)),
-                                     int(o.get("seed", 0)))
-        return dg.datagen(spark, int(o.get("number-of-rows", dg.TS_END)), int(o.get("seed", 0)))
+            return dg.datagen_stream(spark, int(rate or dg.ROWS_PER_SECOND), seed, fields=o)
+        return dg.datagen(spark, int(n) if n is not None else None, seed, fields=o)
     if d.connector == "filesystem":
         fmt, path = o.pop("format", "parquet"), o.pop("path")
         r = spark.readStream if streaming else spark.read
@@ -74,6 +74,7 @@ def write_to(df: DataFrame, name: str, checkpoint: str | None = None):
     """``executeInsert(name)``: send a result to a declared sink."""
     d = _DECLARED[name]
     o = dict(d.options)
+    _check_schema(df, d)
     if df.isStreaming:
         w = df.writeStream.option("checkpointLocation", checkpoint)
         if d.connector == "print":
@@ -83,6 +84,11 @@ def write_to(df: DataFrame, name: str, checkpoint: str | None = None):
         if d.connector == "filesystem":
             fmt, path = o.pop("format", "parquet"), o.pop("path")
             return w.format(fmt).options(**o).start(path)
+        if d.connector == "kafka":
+            return w.format("kafka").options(**o).start()
+        if d.connector == "jdbc":
+            from .sinks import jdbc_writer
+            return w.foreachBatch(jdbc_writer(o.pop("url"), o.pop("table"), o, columns=tuple(df.columns))).start()
         raise ValueError(f"unknown streaming sink connector {d.connector!r}")
     if d.connector == "print":
         df.show(truncate=False)
@@ -97,4 +103,16 @@ def write_to(df: DataFrame, name: str, checkpoint: str | None = None):
     if d.connector == "jdbc":
         df.write.mode("append").jdbc(o.pop("url"), o.pop("table"), properties=o)
         return None
+    if d.connector == "kafka":
+        df.write.format("kafka").options(**o).save()
+        return None
     raise ValueError(f"unknown sink connector {d.connector!r}")
+
+
+def _check_schema(df: DataFrame, d: TableDecl) -> None:
+    """A declared schema must be the result's: the same names and types in order."""
+    if d.schema is None:
+        return
+    want = d.schema if isinstance(d.schema, StructType) else StructType.fromDDL(d.schema)
+    if [(f.name, f.dataType) for f in df.schema] != [(f.name, f.dataType) for f in want]:
+        raise ValueError(f"sink {d.name!r} is declared as {want.simpleString()}, the result is {df.schema.simpleString()}")

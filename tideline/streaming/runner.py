@@ -95,10 +95,9 @@ def broadcast_threshold_batch(config_reader: Callable[[], DataFrame], writer: Ca
     from ..operators.joins import threshold_alert
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        latest = (config_reader().orderBy(F.desc(order)).limit(1)
-                  .select(F.col("threshold").cast("int").alias("__thr")))
-        thr = batch.crossJoin(F.broadcast(latest)) if latest.take(1) else batch.withColumn("__thr", F.lit(None))
-        out = (thr.withColumn("threshold", F.coalesce(F.col("__thr"), F.lit(default)))
+        # an aggregate without keys has one row, whatever the config table holds
+        latest = config_reader().agg(F.max_by(F.col("threshold").cast("int"), order).alias("t")).first()["t"]
+        out = (batch.withColumn("threshold", F.lit(default if latest is None else latest).cast("int"))
                .where(F.col("vc") >= F.col("threshold"))
                .select("id", "ts", "vc", order, "threshold",
                        threshold_alert(F.col("id"), F.col("ts"), F.col("vc"), F.col("threshold")).alias("text")))
