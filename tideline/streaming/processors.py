@@ -267,6 +267,8 @@ class AllowedLateness(StatefulProcessor):
             k = (start,)
             cnt, vc, fired, allowed = self.windows.getValue(k) if self.windows.containsKey(k) else (0, None, False, 0)
             vc = r.vc if vc is None else (vc if r.vc is None else vc + r.vc)
+            if not self.windows.containsKey(k):  # whichever row opens a window also sees to its end
+                self.handle.registerTimer((end - self.size) * 1000)
             if wm is not None and end <= wm:          # closed: allowed-late row re-fires the window
                 allowed += 1
                 self.windows.updateValue(k, (cnt, vc, True, allowed))
@@ -274,7 +276,6 @@ class AllowedLateness(StatefulProcessor):
             else:                                     # on time
                 if not self.windows.containsKey(k):
                     self.handle.registerTimer((end - self.lateness - self.size) * 1000)
-                    self.handle.registerTimer((end - self.size) * 1000)
                 self.windows.updateValue(k, (cnt + 1, vc, fired, allowed))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
@@ -298,11 +299,12 @@ class OverRangeCount(StatefulProcessor):
     """``count(vc) over (partition by id order by ts range between R preceding
     and current row)`` on a stream (Spark rejects non-time windows there).
 
-    Rows are buffered per key until the watermark passes their ``ts`` -- then
-    every row of that ``ts`` has arrived -- and emitted in ``ts`` order with
-    the count over ``[ts - R, ts]``. Rows stay buffered while they can still
-    fall in a later frame (``ts >= watermark - R``), so state is bounded by the
-    rows of one range plus the watermark delay.
+    Rows wait per key until the watermark passes their ``ts`` -- then every
+    row of that ``ts`` has arrived -- and are emitted in ``ts`` order with the
+    count over ``[ts - R, ts]``. Of emitted rows only the number of values per
+    ``ts`` is kept, as long as it can fall in a later frame. A key has one
+    pending timer: its next row's ``ts``, or the end of what it keeps, so state
+    is read once per step of the watermark and a silent key's state goes.
     """
 
     SCHEMA = StructType([StructField("id", StringType()), StructField("ts", LongType()),
@@ -314,34 +316,61 @@ class OverRangeCount(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.rows = handle.getMapState("rows", "ts bigint, seq bigint", "vc int, emitted boolean")
-
-    def _emit(self, key, timerValues) -> Iterator[Row]:
-        wm_ms = timerValues.getCurrentWatermarkInMs()
-        if wm_ms <= 0:
-            return
-        wm = wm_ms // 1000
-        buf = sorted(((ts, seq), (vc, emitted)) for (ts, seq), (vc, emitted) in self.rows.iterator())
-        ready = [(k, v) for k, v in buf if not v[1] and k[0] <= wm]
-        if ready:
-            stamps = [k[0] for k, v in buf if v[0] is not None]
-            for (ts, seq), (vc, _) in ready:
-                cnt = bisect.bisect_right(stamps, ts) - bisect.bisect_left(stamps, ts - self.range)
-                yield Row(id=key, ts=ts, vc=vc, seq=seq, cnt=cnt)
-                self.rows.updateValue((ts, seq), (vc, True))
-        just = {k for k, _ in ready}
-        for k, (vc, emitted) in buf:
-            if (emitted or k in just) and k[0] < wm - self.range:
-                self.rows.removeKey(k)
+        self.waiting = handle.getMapState("waiting", "ts bigint, seq bigint", "vc int")
+        self.values = handle.getMapState("values", "ts bigint", "n bigint")
+        self.timer = handle.getValueState("timer", "at bigint")
+
+    def _set_timer(self, at: int | None) -> None:
+        """Move the key's only timer."""
+        if self.timer.exists():
+            if at == (old := self.timer.get()[0]):
+                return
+            self.handle.deleteTimer(old)
+            self.timer.clear()
+        if at is not None:
+            self.handle.registerTimer(at)
+            self.timer.update((at,))
+
+    def _step(self, key, wm: int) -> Iterator[Row]:
+        """Emit what the watermark (seconds) has passed and set the next timer."""
+        rows = sorted((ts, seq, vc) for (ts, seq), (vc,) in self.waiting.iterator())
+        ready = [r for r in rows if r[0] <= wm]
+        kept = {ts: n for (ts,), (n,) in self.values.iterator()}
+        for ts, _, vc in ready:
+            if vc is not None:
+                kept[ts] = kept.get(ts, 0) + 1
+        stamps = sorted(kept)
+        sums = [0]
+        for ts in stamps:
+            sums.append(sums[-1] + kept[ts])
+        for ts, seq, vc in ready:
+            cnt = sums[bisect.bisect_right(stamps, ts)] - sums[bisect.bisect_left(stamps, ts - self.range)]
+            yield Row(id=key, ts=ts, vc=vc, seq=seq, cnt=cnt)
+            self.waiting.removeKey((ts, seq))
+        for ts in stamps:
+            if ts < wm - self.range:
+                if self.values.containsKey((ts,)):
+                    self.values.removeKey((ts,))
+            else:
+                self.values.updateValue((ts,), (kept[ts],))
+        later = [r[0] for r in rows if r[0] > wm]
+        left = [ts for ts in stamps if ts >= wm - self.range]
+        self._set_timer(later[0] * 1000 if later else (left[-1] + self.range + 1) * 1000 if left else None)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        first = None
         for r in rows:
-            self.rows.updateValue((r.ts, r.seq), (r.vc, False))
-            self.handle.registerTimer(r.ts * 1000)
-        yield from self._emit(key[0], timerValues)
+            self.waiting.updateValue((r.ts, r.seq), (r.vc,))
+            first = r.ts if first is None else min(first, r.ts)
+        wm_ms = timerValues.getCurrentWatermarkInMs()
+        if wm_ms > 0 and first is not None and first <= wm_ms // 1000:
+            yield from self._step(key[0], wm_ms // 1000)
+        elif first is not None and (not self.timer.exists() or first * 1000 < self.timer.get()[0]):
+            self._set_timer(first * 1000)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        yield from self._emit(key[0], timerValues)
+        self.timer.clear()
+        yield from self._step(key[0], timerValues.getCurrentWatermarkInMs() // 1000)
 
     def close(self) -> None:
         pass

@@ -75,12 +75,21 @@ def restartable_word_count(spark: SparkSession, lines_dir: str, out_path: str, c
                            max_files_per_trigger: int = 1) -> StreamingQuery:
     """Word count over a directory of text files, with the counts in the
     checkpointed state store: stop the query, add files, start it again with
-    the same ``checkpoint`` and the counts continue from where they were."""
+    the same ``checkpoint`` and the counts continue from where they were.
+
+    Every micro-batch appends the words it has changed as ``(word, cnt,
+    batch_id)``; :func:`latest_counts` reads the result. A batch that is
+    written again after a failure has the same counts under the same id."""
     lines = spark.readStream.schema("value string").option("maxFilesPerTrigger", max_files_per_trigger) \
         .text(lines_dir).select(F.input_file_name().alias("doc"), F.col("value").alias("text"))
     words = tokenize(text_lines(lines.withColumnRenamed("doc", "doc_id"), "text", keep=("doc_id",)))
     counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
-    return start(counts, checkpoint, overwrite_to(out_path), output_mode="complete")
+    return start(counts, checkpoint, append_to(out_path), output_mode="update")
+
+
+def latest_counts(spark: SparkSession, out_path: str) -> DataFrame:
+    """The counts of a :func:`restartable_word_count` table: each word's last."""
+    return spark.read.parquet(out_path).groupBy("word").agg(F.max_by("cnt", "batch_id").alias("cnt"))
 
 
 def broadcast_threshold_batch(config_reader: Callable[[], DataFrame], writer: Callable[[DataFrame, int], None],
