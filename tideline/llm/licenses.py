@@ -11,8 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import without
-
 # Sentences of public licence texts and notices. A rule is a
 # licence and the sentences that show it, in order.
 RULES = [
@@ -74,7 +72,7 @@ def scan(docs: DataFrame, rules=RULES, gap: int = GAP, text: str = "text") -> Da
     spark = docs.sparkSession
     sids, rule_keys = rule_frames(spark, rules)
     lengths = sorted({len(parts) for _, parts in rules})
-    rows = without(docs.select("doc_id", F.col(text).alias("text")), "pos").where("text is not null")
+    rows = docs.select("doc_id", F.col(text).alias("text")).where("text is not null")
     found = (rows.select("doc_id", F.md5("text").alias("digest"), F.posexplode(sentences(F.col("text"))).alias("pos", "raw"))
              .withColumn("sentence", normalise(F.col("raw"))).where("sentence != ''")
              .join(sids, "sentence").select("doc_id", "digest", "pos", "sid"))
