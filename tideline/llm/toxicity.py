@@ -36,6 +36,8 @@ PRIOR = 1.0
 MIN_COUNT = 3
 MIN_G2 = 12.0
 LEXICON = 20_000
+#: Labelled documents of each class that the fit takes at most.
+FIT_DOCS = 10_000
 #: Largest log-odds of one word.
 CAP = 6.0
 #: Scale of the extreme-value distribution. Theory has 1 for independent
@@ -135,12 +137,24 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def labelled(docs: DataFrame, labels: DataFrame, text: str = "text") -> DataFrame:
-    """Training rows ``text, toxic``: labelled, with a text, not held out. A
-    document with conflicting labels counts as toxic. Exact copies count once."""
-    marks = (labels.where(F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
-    return (docs.select("doc_id", F.col(text).alias("text")).where(~held_out(F.col("doc_id")))
-            .where("text is not null").join(marks, "doc_id").select("text", "toxic").distinct())
+def labelled(docs: DataFrame, labels: DataFrame, text: str = "text", fit_docs: int = FIT_DOCS
+             ) -> tuple[DataFrame, dict[int, float]]:
+    """Training rows ``text, toxic``, and how many labelled documents each of
+    a class's rows stands for. They are the labelled documents with a text
+    that aren't held out, of each class at most ``fit_docs``, the first in the
+    order of a hash of their ids. A document with conflicting labels counts as
+    toxic; exact copies count once."""
+    marks = (labels.where(F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+             .where(~held_out(F.col("doc_id"))))
+    totals = {r["toxic"]: r["count"] for r in marks.groupBy("toxic").count().collect()}
+    ids = None
+    for value in (0, 1):
+        part = marks.where(F.col("toxic") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_docs)
+        ids = part if ids is None else ids.unionByName(part)
+    # bounded by 2 * fit_docs rows of an id and a label
+    rows = (docs.select("doc_id", F.col(text).alias("text")).where("text is not null")
+            .join(F.broadcast(ids), "doc_id").select("text", "toxic").distinct())
+    return cut(rows, "toxicity-rows"), {k: max(1.0, n / fit_docs) for k, n in totals.items()}
 
 
 def _count_items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,13 +173,14 @@ def _count_items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              pa.array([v[1] for v in totals.values()], pa.int64())], ["item", "clean", "toxic"])
 
 
-def train(docs: DataFrame, labels: DataFrame, text: str = "text", lexicon: int = LEXICON) -> Toxicity:
-    """Count the words' texts over all labelled training texts, keep the significant entries and
-    calibrate. Counts are summed per task before they are shuffled; only the
-    lexicon's entries and a histogram come to the driver. Without training
+def train(docs: DataFrame, labels: DataFrame, text: str = "text", lexicon: int = LEXICON,
+          fit_docs: int = FIT_DOCS) -> Toxicity:
+    """Count the training texts that hold a word, keep the significant entries
+    and calibrate. Counts are summed per task before they are shuffled; only
+    the lexicon's entries and a histogram come to the driver. Without training
     rows of both labels the model knows no toxic word.
     """
-    rows = labelled(docs, labels, text)
+    rows, stands_for = labelled(docs, labels, text, fit_docs)
     counts = (rows.mapInArrow(_count_items, "item string, clean long, toxic long")
               .groupBy("item").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")))
     # only entries whose share among toxic texts is significantly higher leave
@@ -199,12 +214,13 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", lexicon: int =
     words = [(c, t) for k, (c, t, _, _) in found.items() if not k.startswith(_STEM) and k in model]
     mass0, mass1 = min(0.9, sum(c for c, _ in words)), min(0.9, sum(t for _, t in words))
     other = min(-1e-3, math.log((1 - mass1) / (1 - mass0)))
-    return calibrate(Toxicity(model, other), rows)
+    return calibrate(Toxicity(model, other), rows, stands_for)
 
 
-def calibrate(model: Toxicity, rows: DataFrame) -> Toxicity:
-    """Set K so that the threshold's score falls where the training rows' F1 is
-    best, from a histogram of their evidence."""
+def calibrate(model: Toxicity, rows: DataFrame, stands_for: dict[int, float]) -> Toxicity:
+    """Set K so that the threshold's score falls where F1 is best, from a
+    histogram of the training rows' evidence, each row weighing as many
+    labelled documents as it stands for."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bins = Counter((max(-400, min(400, math.floor(model.evidence(t)[0] / BIN))), int(y)) for t, y in
@@ -217,7 +233,7 @@ def calibrate(model: Toxicity, rows: DataFrame) -> Toxicity:
            .collect())
     hist = np.zeros((802, 2))
     for r in got:
-        hist[r["bin"] + 400, r["toxic"]] += r["n"]
+        hist[r["bin"] + 400, r["toxic"]] += r["n"] * stands_for.get(r["toxic"], 1.0)
     above = hist[::-1].cumsum(axis=0)[::-1]
     f1 = 2 * above[:, 1] / np.maximum(above.sum(axis=1) + hist[:, 1].sum(), 1)
     best = np.flatnonzero(f1 >= f1.max() - 1e-12)
