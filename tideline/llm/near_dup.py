@@ -39,7 +39,7 @@ SIMILARITY = 0.8
 #: similarity shares no bucket with probability (1 - 0.8 ** 5) ** 24 = 7e-5.
 BANDS, ROWS = 24, 5
 #: Rounds without a new link after which bucket leaders aren't drawn again.
-QUIET_ROUNDS = 2
+QUIET_ROUNDS = 1
 #: Bytes of text whose signatures are made together.
 SLICE_BYTES = 4_000_000
 
@@ -231,9 +231,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", least: float = SIMILARI
         b = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("b_set"), F.col("times").alias("b_times"))
         return pairs.join(b, "b").join(a, "a").mapInArrow(_linked(least), "a bigint, b bigint")
 
-    tested = cut(members.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct(),
-                 "near-dup-pairs")
-    links = cut(verified(tested), "near-dup-links")
+    first = members.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
+    links = cut(verified(first), "near-dup-links")
     found = cut(components(links), "near-dup-components")
     quiet, turn = 0, 0
     while quiet < QUIET_ROUNDS:
@@ -246,15 +245,13 @@ def near_duplicates(docs: DataFrame, text: str = "text", least: float = SIMILARI
             F.min_by(F.struct("id", "component"), F.xxhash64("id", "bucket", F.lit(turn))).alias("leader"))
         pairs = (now.join(open_.where("__low < __high"), "bucket").where("component <> leader.component")
                  .select(F.least("id", "leader.id").alias("a"), F.greatest("id", "leader.id").alias("b")).distinct())
-        fresh = cut(pairs.join(tested, ["a", "b"], "left_anti"), "near-dup-pairs")
-        new = cut(verified(fresh), "near-dup-links")
+        new = cut(verified(pairs), "near-dup-links")
         if new.isEmpty():
             quiet += 1
         else:
             quiet = 0
             stars = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
             found = cut(components(stars.unionByName(new)), "near-dup-components")
-        tested = tested.unionByName(fresh)
 
     # ids that stand on rows with different words join those rows' classes
     by_digest = (signed.where("n_words > 0").join(banded.select("digest", "rep"), "digest")
