@@ -35,6 +35,8 @@ RULES = [
 ]
 #: Unknown sentences that may stand between two sentences of a rule.
 GAP = 3
+#: Known sentences at most: their table is held by every task.
+MAX_SENTENCES = 50_000
 
 
 def sentences(text: Column) -> Column:
@@ -52,6 +54,8 @@ def rule_frames(spark: SparkSession, rules=RULES) -> tuple[DataFrame, DataFrame]
     rules, the key being the rule's identifiers joined by commas."""
     known: dict[str, int] = {}
     keys = [(name, ",".join(str(known.setdefault(s, len(known))) for s in parts), len(parts)) for name, parts in rules]
+    if len(known) > MAX_SENTENCES:
+        raise ValueError(f"{len(known)} known sentences; the scan holds {MAX_SENTENCES} at most")
     sids = spark.createDataFrame([(i, s) for s, i in known.items()], "sid int, raw string")
     sids = sids.select("sid", normalise(F.col("raw")).alias("sentence")).where("sentence != ''")
     return sids, spark.createDataFrame(keys, "licence string, key string, n int")
@@ -75,7 +79,7 @@ def scan(docs: DataFrame, rules=RULES, gap: int = GAP, text: str = "text") -> Da
     rows = docs.select("doc_id", F.col(text).alias("text")).where("text is not null")
     found = (rows.select("doc_id", F.md5("text").alias("digest"), F.posexplode(sentences(F.col("text"))).alias("pos", "raw"))
              .withColumn("sentence", normalise(F.col("raw"))).where("sentence != ''")
-             .join(sids, "sentence").select("doc_id", "digest", "pos", "sid"))
+             .join(F.broadcast(sids), "sentence").select("doc_id", "digest", "pos", "sid"))
     # a document's known sentences: no more than its own text holds
     sequences = found.groupBy("doc_id", "digest").agg(F.sort_array(F.collect_set(F.struct("pos", "sid"))).alias("hits"))
     starts = sequences.select("doc_id", "digest", "hits", F.explode(F.sequence(F.lit(1), F.size("hits"))).alias("k"))
@@ -83,7 +87,7 @@ def scan(docs: DataFrame, rules=RULES, gap: int = GAP, text: str = "text") -> Da
         F.slice("hits", F.col("k"), n) for n in lengths])).alias("part")).distinct()
     parts = parts.select("doc_id", "digest", F.array_join(F.col("part.sid").cast("array<string>"), ",").alias("key"),
                          F.element_at("part", 1).pos.alias("first"), F.element_at("part", -1).pos.alias("last"))
-    matches = (parts.join(rule_keys, "key").where(F.col("last") - F.col("first") <= F.col("n") - 1 + gap)
+    matches = (parts.join(F.broadcast(rule_keys), "key").where(F.col("last") - F.col("first") <= F.col("n") - 1 + gap)
                .select("doc_id", "digest", "licence", "first", "last").distinct())
     earlier = (Window.partitionBy("doc_id", "digest").orderBy("first", F.desc("last"), "licence")
                .rowsBetween(Window.unboundedPreceding, -1))
