@@ -29,11 +29,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import ragged_take, without
+from .common import frugal, ragged_take, without
 
 #: Characters of text that a task holds at a time, words that it keeps encoded.
 CHUNK_CHARS = 3_000_000
-KEEP_WORDS = 600_000
+KEEP_WORDS = 300_000
+#: Texts that are decoded together.
+DECODE_ROWS = 1000
 
 #: A text may be cut between a non-space character and a single space that
 #: stands before another non-space character, and on both sides of a single
@@ -264,7 +266,7 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> Da
             packed = pa.array([r.astype("<u4").tobytes() for r in rows], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns, packed], [*batch.schema.names, ids])
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(frugal(run), schema)
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -275,10 +277,10 @@ def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = tokenizer(path)
-        for batch in batches:
+        for batch in (b.slice(k, DECODE_ROWS) for b in batches for k in range(0, b.num_rows, DECODE_ROWS)):
             rows = batch.column(ids)
             out = [t.decode(np.frombuffer(r.as_buffer(), "<u4")) if r.is_valid else "" for r in rows]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())],
                                              [*batch.schema.names, text])
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(frugal(run), schema)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,6 +40,21 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def frugal(run: Callable) -> Callable:
+    """A function for ``mapInArrow`` that hands freed memory back to the system
+    when its task ends: Python workers live on between tasks, and those of
+    several stages share an executor's memory."""
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+    return wrapped
+
+
 def running_totals(df: DataFrame, keys: Sequence[str], chunk: str, order: Sequence[str],
                    value: str, name: str, super_chunk: int = 4096) -> DataFrame:
     """Add ``name``: the sum of ``value`` over the rows of the same key that

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import without
+from .common import frugal, without
 
 #: Labelled documents of each class, and lines of a document, that the fit takes at most.
 FIT_DOCS = 600
@@ -215,7 +215,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "
                 [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.int32()),
                  pa.array([f[2] for f in found], pa.binary())], ["doc_id", "label", "features"])
 
-    got = rows.mapInArrow(run, "doc_id string, label int, features binary").collect()
+    got = rows.mapInArrow(frugal(run), "doc_id string, label int, features binary").collect()
     got.sort(key=lambda r: (r["doc_id"], bytes(r["features"])))
     return fit_field([(np.frombuffer(bytes(r["features"]), "<f4").reshape(-1, len(FEATURES)).astype(float),
                        r["label"]) for r in got])
@@ -250,4 +250,4 @@ def judge(docs: DataFrame, field: LineField, text: str = "text", min_content: fl
             arrays = [pa.array(c, t) for c, t in zip(out, [pa.int64()] * 5 + [pa.bool_(), pa.float64(), pa.bool_()])]
             yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], [*batch.schema.names, *ADDED])
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(frugal(run), schema)

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, frugal
 from .components import components
 
 #: Words of a shingle, and the least similarity of a link.
@@ -212,7 +212,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", least: float = SIMILARI
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     rows = rows.where("doc_id is not null")
-    signed = cut(rows.mapInArrow(_sign, "doc_id bigint, digest binary, n_words bigint, bands array<bigint>"),
+    signed = cut(rows.mapInArrow(frugal(_sign), "doc_id bigint, digest binary, n_words bigint, bands array<bigint>"),
                  "near-dup-signatures")
     copies = (signed.where("n_words > 0").groupBy("digest")
               .agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")))
@@ -224,12 +224,12 @@ def near_duplicates(docs: DataFrame, text: str = "text", least: float = SIMILARI
     wanted = members.select(F.col("id").alias("doc_id")).distinct()
     # an id on rows with different texts keeps all their shingles' sets; one is enough to compare
     sets = cut(rows.join(wanted, "doc_id").mapInArrow(
-        _shingle_sets, "doc_id bigint, shingles binary, times binary").dropDuplicates(["doc_id"]), "near-dup-sets")
+        frugal(_shingle_sets), "doc_id bigint, shingles binary, times binary").dropDuplicates(["doc_id"]), "near-dup-sets")
 
     def verified(pairs: DataFrame) -> DataFrame:
         a = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("a_set"), F.col("times").alias("a_times"))
         b = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("b_set"), F.col("times").alias("b_times"))
-        return pairs.join(b, "b").join(a, "a").mapInArrow(_linked(least), "a bigint, b bigint")
+        return pairs.join(b, "b").join(a, "a").mapInArrow(frugal(_linked(least)), "a bigint, b bigint")
 
     first = members.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
     links = cut(verified(first), "near-dup-links")

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, without
+from .common import cut, frugal, without
 
 #: Lengths of the stems that words fall back on.
 STEMS = (4, 5)
@@ -99,7 +99,7 @@ class Toxicity:
         got = self._seen.get(word)
         if got is None:
             got = next((self.lexicon[k] for k in reversed(items(word)) if k in self.lexicon), 0.0)
-            if len(self._seen) > 500_000:
+            if len(self._seen) > 200_000:
                 self._seen.clear()
             self._seen[word] = got
         return got
@@ -181,7 +181,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", lexicon: int =
     rows of both labels the model knows no toxic word.
     """
     rows, stands_for = labelled(docs, labels, text, fit_docs)
-    counts = (rows.mapInArrow(_count_items, "item string, clean long, toxic long")
+    counts = (rows.mapInArrow(frugal(_count_items), "item string, clean long, toxic long")
               .groupBy("item").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")))
     # only entries whose share among toxic texts is significantly higher leave
     # the executors, and of these a bounded number
@@ -229,7 +229,7 @@ def calibrate(model: Toxicity, rows: DataFrame, stands_for: dict[int, float]) ->
                 [pa.array([k[0] for k in bins], pa.int32()), pa.array([k[1] for k in bins], pa.int32()),
                  pa.array(list(bins.values()), pa.int64())], ["bin", "toxic", "n"])
 
-    got = (rows.mapInArrow(run, "bin int, toxic int, n long").groupBy("bin", "toxic").agg(F.sum("n").alias("n"))
+    got = (rows.mapInArrow(frugal(run), "bin int, toxic int, n long").groupBy("bin", "toxic").agg(F.sum("n").alias("n"))
            .collect())
     hist = np.zeros((802, 2))
     for r in got:
@@ -273,4 +273,4 @@ def score(docs: DataFrame, model: Toxicity, text: str = "text", threshold: float
                  pa.array([int(s >= threshold) for s in scores], pa.int32()), pa.array(spans, kind)],
                 [*batch.schema.names, *ADDED])
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(frugal(run), schema)

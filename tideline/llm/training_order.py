@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import bpe
-from .common import cut
+from .common import cut, frugal
 
 #: Tokens of a sequence, and sequences of a shard: shards of 1 MB.
 SEQUENCE = 1024
@@ -98,7 +98,7 @@ def tokens(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
                 [pa.array(np.full(len(n), part, np.int32)), pa.array(starts), pa.array(n), pa.array(packed, pa.binary())],
                 ["part", "start", "n", "ids"])
 
-    return docs.select(F.col(text).alias("text")).mapInArrow(run, "part int, start bigint, n bigint, ids binary")
+    return docs.select(F.col(text).alias("text")).mapInArrow(frugal(run), "part int, start bigint, n bigint, ids binary")
 
 
 def filesystem(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
@@ -153,7 +153,7 @@ def write_shards(docs: DataFrame, path: str, folder: str, text: str = "text", se
                 [pa.array(slots), pa.array(places, pa.int32()), pa.array(pieces, pa.binary())], ["slot", "place", "ids"])
 
     pieces = stream.join(F.broadcast(bases), "part").select("base", "start", "ids").mapInArrow(
-        cut_up, "slot bigint, place int, ids binary")
+        frugal(cut_up), "slot bigint, place int, ids binary")
     n_shards = -(-n_sequences // per_shard)
     tasks = -(-n_shards // SHARDS_PER_TASK)
     by_range = (F.col("slot") / (per_shard * SHARDS_PER_TASK)).cast("int")
@@ -188,7 +188,7 @@ def write_shards(docs: DataFrame, path: str, folder: str, text: str = "text", se
         if shard is not None:
             yield finish()
 
-    manifest = ranged.mapInArrow(write, "shard bigint, first_slot bigint, n_sequences bigint, n_bytes bigint, sha256 string")
+    manifest = ranged.mapInArrow(frugal(write), "shard bigint, first_slot bigint, n_sequences bigint, n_bytes bigint, sha256 string")
     return cut(manifest, "order-manifest")
 
 
@@ -210,7 +210,7 @@ def read_shards(spark: SparkSession, folder: str, sequence: int = SEQUENCE, per_
                      pa.array([raw[k:k + stride] for k in range(0, len(raw), stride)], pa.binary())],
                     ["slot", "shard", "ids"])
 
-    return files.mapInArrow(run, "slot bigint, shard bigint, ids binary").where(F.col("slot") >= from_slot)
+    return files.mapInArrow(frugal(run), "slot bigint, shard bigint, ids binary").where(F.col("slot") >= from_slot)
 
 
 def with_sequence(slots: DataFrame, n_sequences: int, key: str = KEY) -> DataFrame:
