@@ -190,12 +190,13 @@ class Tokenizer:
             keys[at] = _BARE + keys[at]
         return keys
 
-    def encode_texts(self, chunks: Iterator[tuple[object, list[str]]]) -> Iterator[tuple[object, list[np.ndarray]]]:
+    def encode_texts(self, chunks: Iterator[tuple[object, list[str]]], keep: int = KEEP_WORDS
+                     ) -> Iterator[tuple[object, list[np.ndarray]]]:
         """Ids of each text of each chunk. Words stay encoded from one chunk to
-        the next until there are more than :data:`KEEP_WORDS`."""
+        the next until there are more than ``keep``."""
         number: defaultdict[str, int] = defaultdict()
         for tag, texts in chunks:
-            if not number or len(number) > KEEP_WORDS:
+            if not number or len(number) > keep:
                 # the special tokens come first, under keys that no text gives
                 number = defaultdict(count(len(self.special)).__next__,
                                      {_SPECIAL + s: k for k, s in enumerate(self.special)})

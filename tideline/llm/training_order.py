@@ -31,6 +31,8 @@ SEQUENCE = 1024
 PER_SHARD = 512
 #: Shards that a range partition writes on average.
 SHARDS_PER_TASK = 16
+#: Words that a task keeps encoded; no second Python stage shares its memory.
+KEEP_WORDS = 1_000_000
 KEY = "training-order"
 ROUNDS = 6
 
@@ -89,7 +91,7 @@ def tokens(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
         t = bpe.tokenizer(path)
         end = _end_token(t)
         part, at = TaskContext.get().partitionId(), 0
-        for _, rows in t.encode_texts(bpe._chunks(batches, "text")):
+        for _, rows in t.encode_texts(bpe._chunks(batches, "text"), KEEP_WORDS):
             packed = [np.append(r, end).astype("<u2").tobytes() for r in rows]
             n = np.array([len(p) // 2 for p in packed], np.int64)
             starts = at + np.cumsum(n) - n
