@@ -227,6 +227,49 @@ def test_near_duplicates_against_all_pairs(spark):
     assert near_dup.near_duplicates(docs.where("false")).count() == 0
 
 
+def plain_classes(texts):
+    hashes = near_dup.WordHashes()
+    sets = [np.unique(near_dup.shingles(near_dup.text_words(t), hashes), return_counts=True) for t in texts]
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if near_dup.similarity(sets[i][0], sets[j][0], sets[i][1], sets[j][1]) >= 0.8:
+                low, high = sorted((root[i], root[j]))
+                root = [low if x == high else x for x in root]
+    return root
+
+
+def test_near_copies_inside_a_template_family(spark):
+    # texts on one template, 0.76 alike, meet in most buckets; every fourth has a near copy just above 0.8
+    template, texts = words(200, 1), []
+    for i in range(240):
+        own = words(23, 100 + i)
+        texts.append(" ".join(template[:90] + own + template[113:]))
+        if i % 4 == 0:
+            texts.append(" ".join(template[:90] + own[:7] + words(16, 5000 + i) + template[113:]))
+    random.Random(3).shuffle(texts)
+    want = plain_classes(texts)
+    assert len(set(want)) == 240
+    got = {r.doc_id: r.class_id for r in near_dup.near_duplicates(docs_of(spark, texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == want
+
+
+def test_linked_sets_share_an_item_of_both_prefixes():
+    rng, linked = np.random.default_rng(4), 0
+    for _ in range(3000):
+        base = rng.choice(400, 40, replace=False)
+        sets = []
+        for _ in range(2):
+            own = np.unique(np.concatenate([base[rng.random(40) < 0.95], rng.choice(400, rng.integers(0, 5))])).astype("<u4")
+            sets.append((own, rng.integers(1, 4, len(own)) if rng.random() < 0.5 else None))
+        (a, wa), (b, wb) = sets
+        if near_dup.similarity(a, b, wa, wb) >= 0.8:
+            linked += 1
+            x, y = (dict(zip(*(v.tolist() for v in near_dup.prefix(s, w, s % 7, 0.8)))) for s, w in sets)
+            assert any(x[k] + y[k] <= 2.25 + 1e-9 for k in x.keys() & y.keys())
+    assert linked > 100
+
+
 # --- training order (2) ---------------------------------------------------------------
 
 @pytest.mark.parametrize("n", [1, 2, 3, 5, 17, 1000, 65_537])

@@ -13,7 +13,10 @@
    compared with one leader of their bucket, never all with all, by the
    exact similarity of their shingles.
 4. Buckets whose members are in several components after that get other
-   leaders, drawn anew each round, until rounds find no further link.
+   leaders, drawn anew.
+5. What is then left in buckets of several components is finished exactly: a
+   prefix filter on the rarest shingles finds every pair that can be a link,
+   and those in different components are compared.
 """
 
 from __future__ import annotations
@@ -38,8 +41,12 @@ SIMILARITY = 0.8
 #: Bands of a signature and components of a band: a pair at the least
 #: similarity shares no bucket with probability (1 - 0.8 ** 5) ** 24 = 7e-5.
 BANDS, ROWS = 24, 5
-#: Rounds without a new link after which bucket leaders aren't drawn again.
-QUIET_ROUNDS = 1
+#: Rounds in which open buckets get other leaders before the exact finish. They
+#: lose nothing and only make components larger, so that fewer pairs are left.
+LEADER_ROUNDS = 1
+#: Slots of the table of shingle counts that orders shingles in the exact
+#: finish. Any order is right; counts that share a slot only cost candidates.
+COUNT_SLOTS = 1 << 20
 #: Bytes of text whose signatures are made together.
 SLICE_BYTES = 4_000_000
 
@@ -196,6 +203,93 @@ def _linked(least: float):
     return run
 
 
+def _slots(shingle_set: np.ndarray) -> np.ndarray:
+    return (mix64(shingle_set.astype(np.uint64)) % np.uint64(COUNT_SLOTS)).astype(np.int64)
+
+
+def _slot_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many sets have a shingle in a slot, for the slots of a task."""
+    counts = np.zeros(COUNT_SLOTS, np.int64)
+    for batch in batches:
+        for cell in batch.column("shingles"):
+            np.add.at(counts, _slots(np.frombuffer(cell.as_buffer(), "<u4")), 1)
+    at = np.flatnonzero(counts)
+    for begin in range(0, len(at), 65_536):
+        part = at[begin:begin + 65_536]
+        yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(counts[part], pa.int64())], ["slot", "n"])
+
+
+def prefix(items: np.ndarray, weights: np.ndarray | None, ranks: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """The first items of a set in the order of (rank, item), each with the
+    inverse of the set's share of weight from it on, as far as that is at most
+    ``1 / least``.
+
+    With P and Q the shares of two sets' weights that their shared items have,
+    the probability Jaccard similarity is at most ``1 / (1 / P + 1 / Q - 1)``:
+    item by item it is at most the harmonic mean of ``p / (2 - P)`` and
+    ``q / (2 - Q)``, which is concave. From its first shared item on a set has
+    at least its shared weight, so two linked sets have an item in both
+    prefixes whose two inverses are at most ``1 + 1 / least`` together."""
+    order = np.lexsort((items, ranks))
+    weight = np.ones(len(items)) if weights is None else weights[order].astype(float)
+    from_here = weight[::-1].cumsum()[::-1]
+    inverse = from_here[0] / from_here
+    n = int(np.searchsorted(inverse, 1 / least + 1e-9, side="right"))
+    return items[order[:n]], inverse[:n]
+
+
+def _prefixes(ranks: bytes, least: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rank = np.frombuffer(ranks, np.uint8)
+        for batch in batches:
+            tokens, inverses = [], []
+            for cell, times in zip(batch.column("shingles"), batch.column("times")):
+                items = np.frombuffer(cell.as_buffer(), "<u4")
+                weights = np.frombuffer(times.as_buffer(), "<u4") if times.is_valid else None
+                token, inverse = prefix(items, weights, rank[_slots(items)], least)
+                tokens.append(token)
+                inverses.append(inverse)
+            of = pa.array(np.repeat(np.arange(len(tokens)), [len(x) for x in tokens]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(tokens).astype(np.int64)), pa.array(np.concatenate(inverses)),
+                 batch.column("id").take(of), batch.column("component").take(of)], ["token", "inverse", "id", "component"])
+
+    return run
+
+
+def _candidates(left: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """``a, b``: all pairs of the documents of ``left`` (``id, component``) in
+    different components that can be similar enough, by :func:`prefix`. Of a
+    shingle's documents only those pairs are formed: one side is in the first
+    half of the inverses' range, and of the shingle's largest component no two
+    meet."""
+    spark = left.sparkSession
+    own = cut(left.join(sets.withColumnRenamed("doc_id", "id"), "id"), "near-dup-open-sets")
+    counts = own.select("shingles").mapInArrow(frugal(_slot_counts), "slot bigint, n bigint").groupBy("slot").agg(
+        F.sum("n").alias("n")).toArrow()  # COUNT_SLOTS rows at most
+    ranks = np.zeros(COUNT_SLOTS, np.uint8)
+    ranks[counts.column("slot").to_numpy()] = np.minimum(255, 6 * np.log2(counts.column("n").to_numpy()))
+    rows = cut(own.mapInArrow(frugal(_prefixes(ranks.tobytes(), least)),
+                              "token bigint, inverse double, id bigint, component bigint"), "near-dup-prefixes")
+    both = 1 + 1 / least + 1e-9
+    tokens = (rows.groupBy("token", "component").agg(F.count(F.lit(1)).alias("n"), F.min("inverse").alias("inverse"))
+              .groupBy("token").agg(F.min("component").alias("__low"), F.max("component").alias("__high"),
+                                    F.max(F.struct("n", "component")).getField("component").alias("hub"),
+                                    F.min("inverse").alias("least"))
+              .where((F.col("__low") < F.col("__high")) & (2 * F.col("least") <= both)).select("token", "hub", "least"))
+    near = cut(rows.join(tokens, "token").where(F.col("inverse") + F.col("least") <= both)
+               .select("token", "inverse", "id", "component", (F.col("component") == F.col("hub")).alias("in_hub")),
+               "near-dup-meeting")
+    a = near.where(2 * F.col("inverse") <= both).select(
+        "token", F.col("inverse").alias("a_inverse"), F.col("id").alias("x"), F.col("component").alias("a_component"),
+        F.explode(F.when(F.col("in_hub"), F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True)))).alias("in_hub"))
+    b = near.select("token", "in_hub", F.col("inverse").alias("b_inverse"), F.col("id").alias("y"),
+                    F.col("component").alias("b_component"))
+    meet = a.join(b, ["token", "in_hub"]).where(
+        (F.col("a_component") != F.col("b_component")) & (F.col("a_inverse") + F.col("b_inverse") <= both))
+    return meet.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, text: str = "text", least: float = SIMILARITY) -> DataFrame:
     """``doc_id, class_id, kept, n_words``: one row per document, the class
     being the smallest id that links lead to. A link joins two documents whose
@@ -234,22 +328,24 @@ def near_duplicates(docs: DataFrame, text: str = "text", least: float = SIMILARI
     first = members.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
     links = cut(verified(first), "near-dup-links")
     found = cut(components(links), "near-dup-components")
-    quiet, turn = 0, 0
-    while quiet < QUIET_ROUNDS:
-        turn += 1
+    for turn in range(1, LEADER_ROUNDS + 2):
         now = members.select("bucket", "id").join(
             found.select(F.col("node").alias("id"), "component"), "id", "left").select(
             "bucket", "id", F.coalesce("component", "id").alias("component"))
         open_ = now.groupBy("bucket").agg(
             F.min("component").alias("__low"), F.max("component").alias("__high"),
             F.min_by(F.struct("id", "component"), F.xxhash64("id", "bucket", F.lit(turn))).alias("leader"))
-        pairs = (now.join(open_.where("__low < __high"), "bucket").where("component <> leader.component")
-                 .select(F.least("id", "leader.id").alias("a"), F.greatest("id", "leader.id").alias("b")).distinct())
-        new = cut(verified(pairs), "near-dup-links")
-        if new.isEmpty():
-            quiet += 1
+        still = now.join(open_.where("__low < __high"), "bucket")
+        if turn > LEADER_ROUNDS:
+            left = cut(still.select("id", "component").distinct(), "near-dup-open")
+            pairs = None if left.isEmpty() else _candidates(left, sets, least)
         else:
-            quiet = 0
+            pairs = (still.where("component <> leader.component")
+                     .select(F.least("id", "leader.id").alias("a"), F.greatest("id", "leader.id").alias("b")).distinct())
+        if pairs is None:
+            break
+        new = cut(verified(pairs), "near-dup-links")
+        if not new.isEmpty():
             stars = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
             found = cut(components(stars.unionByName(new)), "near-dup-components")
 
