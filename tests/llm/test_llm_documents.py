@@ -315,3 +315,18 @@ def test_license_rules(spark):
     assert got == [(2, "MIT", 1, 1), (3, "MIT-with-rights", 1, 2), (4, "All-rights-reserved", 0, 0), (4, "MIT", 1, 1),
                    (5, "BSD-text", 0, 3), (7, "MIT", 0, 0), (8, "MIT", 0, 0), (8, "MIT", 1, 1)]
     assert licenses.scan(docs.where("false")).count() == 0
+
+
+def test_license_sentences_wrapped_over_lines(spark):
+    rules = dict(licenses.RULES)
+    apache, bsd, mit = rules["Apache-2.0-notice"], rules["BSD-text"], rules["MIT-text"][0]
+
+    def wrapped(sentence, mark=""):
+        ws = sentence.split()
+        return "\n".join(mark + " ".join(ws[i:i + 8]) for i in range(0, len(ws), 8))
+
+    texts = [f"# Title\n#\n{wrapped(' '.join(apache), '# ')}\n#\n#   http://x", f"Header\n\n{wrapped(mit, ' * ')}\n",
+             f"1. {wrapped(bsd[0])}\n2. {wrapped(bsd[1])}\n", f"{bsd[0]} All rights reserved. {bsd[1]}",
+             wrapped(mit).replace("\n", "\n\n")]
+    got = {(r.doc_id, r.licence) for r in licenses.scan(docs_of(spark, texts)).collect()}
+    assert got == {(0, "Apache-2.0-notice"), (1, "MIT-text"), (2, "BSD-text"), (3, "BSD-text")}
