@@ -157,6 +157,16 @@ def test_segments_are_the_maximal_ones():
         assert all(s == pytest.approx(sum(scores[b:e])) for b, e, s in got)
 
 
+def test_toxicity_sample_is_drawn_from_documents_with_a_text(spark):
+    docs = docs_of(spark, [f"text number {i}" for i in range(80)] + [None] * 40)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(3000)], "doc_id bigint, toxic int")
+    there = labels.where("doc_id < 80").where(~toxicity.held_out(F.col("doc_id")))
+    totals = {r.toxic: r["count"] for r in there.groupBy("toxic").count().collect()}
+    rows, stands_for = toxicity.labelled(docs, labels, fit_docs=10)
+    assert {r.toxic: r["count"] for r in rows.groupBy("toxic").count().collect()} == {0: 10, 1: 10}
+    assert stands_for == {k: n / 10 for k, n in totals.items()}
+
+
 def test_toxicity_held_out_and_edges(spark):
     sf = "/root/testdata/sf0.1"
     docs = queries.table(spark, sf, "documents").select("doc_id", "text")

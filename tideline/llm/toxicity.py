@@ -146,6 +146,9 @@ def labelled(docs: DataFrame, labels: DataFrame, text: str = "text", fit_docs: i
     toxic; exact copies count once."""
     marks = (labels.where(F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
              .where(~held_out(F.col("doc_id"))))
+    # only ids are shuffled, no texts
+    with_text = docs.where(F.col(text).isNotNull()).select("doc_id").distinct()
+    marks = cut(marks.join(with_text, "doc_id", "left_semi"), "toxicity-marks")
     totals = {r["toxic"]: r["count"] for r in marks.groupBy("toxic").count().collect()}
     ids = None
     for value in (0, 1):
