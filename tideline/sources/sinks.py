@@ -9,12 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-# The reference's file sink settings (bucket pattern, part
-# suffix, 1 MiB / 60 ms roll) and JDBC batching (100 rows, 3 s, 3 retries).
+# The reference's file sink bucket pattern and JDBC batching (100 rows, 3 s, 3 retries).
 BUCKET_PATTERN = "yyyy-MM-dd HH"
-PART_SUFFIX = ".log"
-ROLL_BYTES = 1024 * 1024
-ROLL_INTERVAL = "60 milliseconds"
 CHECKPOINT_INTERVAL = "2 seconds"
 JDBC_BATCH_ROWS = 100
 JDBC_MAX_RETRIES = 3
