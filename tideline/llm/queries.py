@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import (bpe, chat, embedding_dedup, licenses, line_quality, mixing, near_dup, toxicity, training_order,
-               url_filter)
+from . import (bpe, chat, embedding_dedup, exact_dedup, licenses, line_quality, mixing, near_dup, toxicity,
+               training_order, url_filter)
 
 #: Folder of the public tokenizers' vocabulary files.
 TOKENIZERS = "/opt/tokenizers"
@@ -192,6 +192,22 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the row that stays for its text."""
+    return exact_dedup.deduplicate(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+OP12_SQL = """
+WITH t AS (
+  SELECT doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g') AS norm FROM documents)
+SELECT doc_id, min(doc_id) OVER (PARTITION BY norm) AS keep_id,
+       count(*) OVER (PARTITION BY norm) AS group_size,
+       row_number() OVER (PARTITION BY norm ORDER BY doc_id NULLS LAST) = 1 AS kept,
+       sha256(norm) AS text_sha256
+FROM t
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dup": op1_near_dup,
     "op2_training_order": op2_training_order,
@@ -203,10 +219,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_mixing": op9_mixing,
     "op10_bpe": op10_bpe,
+    "op12_exact_dedup": op12_exact_dedup,
 }
 
 ORACLES: dict[str, str] = {
     "op4_license_scan": _op4_sql(),
     "op8_url_filter": OP8_SQL,
     "op9_mixing": OP9_SQL,
+    "op12_exact_dedup": OP12_SQL,
 }
