@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import (bpe, chat, embedding_dedup, exact_dedup, licenses, line_quality, mixing, near_dup, toxicity,
-               training_order, url_filter)
+from . import (bpe, chat, chat_repair, embedding_dedup, exact_dedup, licenses, line_quality, mixing, near_dup,
+               toxicity, training_order, url_filter)
 
 #: Folder of the public tokenizers' vocabulary files.
 TOKENIZERS = "/opt/tokenizers"
@@ -208,6 +208,89 @@ FROM t
 """
 
 
+def op13_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations damaged and repaired."""
+    return chat_repair.repair_damaged(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+
+
+def _op13_sql() -> str:
+    """The same cheapest edits by a walk over the rows: a state's best is its
+    cost in ten digits and its audit, so the least string is the least of both."""
+    def edit(state: str, cost: str, letter: str) -> str:
+        return f"(printf('%010d', substr({state}, 1, 10)::BIGINT + {cost}) || substr({state}, 11) || '{letter}')"
+
+    def least(state: str, *options: str) -> str:
+        return f"least({', '.join([state, *options])})"
+
+    def stays(option: str, initial: str = "") -> str:
+        return "CASE WHEN fault NOT IN ('blank', 'duplicate')" + (f" AND initial = '{initial}'" if initial else "") + f" THEN {option} END"
+
+    late = "(CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END)"
+    to_user = [x for q in ("q0", "q1", "c3") for x in (stays(edit(q, late, "K"), "u"), stays(edit(q, f"1 + {late}", "R")))]
+    return f"""
+WITH RECURSIVE crc_table AS (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, x: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384)
+                                                                        ELSE a >> 1 END) ORDER BY i) AS t
+  FROM range(256) AS r(i)),
+raw AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+           string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''),
+           lambda x: ord(x)::BIGINT)), lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]))) % 20 AS kind
+  FROM conversations, crc_table),
+damaged AS (
+  SELECT conv_id, turn, copy, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM raw, range(2) AS c(copy) WHERE kind <> 0 AND (copy = 0 OR kind = 3)),
+placed AS (
+  SELECT *, left(role, 1) AS initial, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS ends,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS pos
+  FROM damaged),
+faults AS (
+  SELECT conv_id, turn, role, text, pos, initial, lag(initial) OVER (PARTITION BY conv_id ORDER BY pos) AS before,
+         CASE WHEN ends = '' THEN 'blank'
+              WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'duplicate'
+              WHEN right(ends, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE 'none' END AS fault
+  FROM placed),
+counts AS (
+  SELECT c.conv_id, count(pos) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM (SELECT DISTINCT conv_id FROM conversations) AS c LEFT JOIN faults AS f ON f.conv_id IS NOT DISTINCT FROM c.conv_id
+  GROUP BY c.conv_id),
+walk AS (
+  SELECT conv_id, n, 0::BIGINT AS pos, '0000000000' AS q0, NULL::VARCHAR AS q1, NULL::VARCHAR AS q2, NULL::VARCHAR AS q3
+  FROM counts
+  UNION ALL
+  SELECT conv_id, n, pos + 1, {edit("q0", "2", "D")},
+         {least(edit("q1", "2", "D"), stays(edit("q0", late, "K"), "s"))},
+         {least(edit("c2", "2", "D"), *to_user)},
+         {least(edit("c3", "2", "D"), stays(edit("c2", late, "K"), "a"), stays(edit("c2", f"1 + {late}", "R")))}
+  FROM (SELECT *, {least("q3", edit("c2", "5", "I"))} AS c3
+        FROM (SELECT w.*, f.fault, f.initial, {least("q2", *[edit(q, "5", "I") for q in ("q0", "q1", "q3")])} AS c2
+              FROM walk AS w JOIN faults AS f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.pos = w.pos + 1))),
+solved AS (
+  SELECT conv_id, least(q0, q3, {edit("c2", "5", "I")}) AS best
+  FROM (SELECT *, {least("q2", *[edit(q, "5", "I") for q in ("q0", "q1", "q3")])} AS c2 FROM walk WHERE pos = n)),
+edits AS (SELECT conv_id, substr(best, 1, 10)::BIGINT AS cost, substr(best, 11) AS audit FROM solved),
+replay AS (
+  SELECT conv_id, audit, 0::BIGINT AS k, 0::BIGINT AS pos, '' AS state, []::VARCHAR[] AS lines FROM edits
+  UNION ALL
+  SELECT r.conv_id, audit, k + 1, r.pos + CASE WHEN letter = 'I' THEN 0 ELSE 1 END,
+         CASE WHEN letter = 'D' THEN state ELSE left(new_role, 1) END,
+         CASE WHEN letter = 'D' THEN lines ELSE list_append(lines, new_role || ':' || new_text) END
+  FROM (SELECT r.*, letter, CASE WHEN letter = 'K' THEN f.role WHEN state = 'u' THEN 'assistant' ELSE 'user' END AS new_role,
+               CASE WHEN letter = 'I' THEN '' ELSE f.text END AS new_text
+        FROM (SELECT *, audit[k + 1] AS letter FROM replay WHERE k < length(audit)) AS r
+        LEFT JOIN faults AS f ON f.conv_id IS NOT DISTINCT FROM r.conv_id AND f.pos = r.pos + 1) AS r)
+SELECT c.conv_id, c.gaps::BIGINT AS gaps, c.blank, c.duplicate, c.truncated, c.illegal, e.cost, e.audit,
+       sha256(array_to_string(r.lines, chr(10))) AS repaired_sha256
+FROM counts AS c JOIN edits AS e ON e.conv_id IS NOT DISTINCT FROM c.conv_id
+JOIN replay AS r ON r.conv_id IS NOT DISTINCT FROM c.conv_id AND r.k = length(r.audit)
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dup": op1_near_dup,
     "op2_training_order": op2_training_order,
@@ -220,6 +303,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": op9_mixing,
     "op10_bpe": op10_bpe,
     "op12_exact_dedup": op12_exact_dedup,
+    "op13_chat_repair": op13_chat_repair,
 }
 
 ORACLES: dict[str, str] = {
@@ -227,4 +311,5 @@ ORACLES: dict[str, str] = {
     "op8_url_filter": OP8_SQL,
     "op9_mixing": OP9_SQL,
     "op12_exact_dedup": OP12_SQL,
+    "op13_chat_repair": _op13_sql(),
 }
