@@ -30,13 +30,13 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in low])
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
+def cut(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write a frame as Parquet into the shared checkpoint folder and read it
     back: later stages start from files that every executor sees, so a lost
     executor costs its own tasks and nothing before them."""
     spark = df.sparkSession
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

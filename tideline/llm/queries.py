@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from . import (bpe, chat, chat_repair, embedding_dedup, exact_dedup, licenses, line_quality, mixing, near_dup,
-               toxicity, training_order, url_filter)
+               token_alignment, toxicity, training_order, url_filter)
 
 #: Folder of the public tokenizers' vocabulary files.
 TOKENIZERS = "/opt/tokenizers"
 BPE_FILE = f"{TOKENIZERS}/byte_bpe_50k.json"
+PIECE_FILE = f"{TOKENIZERS}/piece_bpe_32k.model"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -192,6 +193,11 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text's tokens in two vocabularies, aligned."""
+    return token_alignment.align(table(spark, sf_dir, "documents").select("doc_id", "text"), BPE_FILE, PIECE_FILE)
+
+
 def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the row that stays for its text."""
     return exact_dedup.deduplicate(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -302,6 +308,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_mixing": op9_mixing,
     "op10_bpe": op10_bpe,
+    "op11_token_alignment": op11_token_alignment,
     "op12_exact_dedup": op12_exact_dedup,
     "op13_chat_repair": op13_chat_repair,
 }
