@@ -20,7 +20,7 @@ import re
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import count, islice
+from itertools import chain, count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +32,7 @@ from . import bpe
 from .common import cut, frugal, ragged_take
 
 #: Words that a task keeps aligned.
-KEEP_WORDS = 200_000
+KEEP_WORDS = 400_000
 #: Ids of A in a slice of the vector, and tasks whose slices are summed at once.
 SLICE, FAN_IN = 1024, 1024
 #: Distinct pairs that a task counts before it hands them on.
@@ -48,6 +48,11 @@ _ALIGNED = ("row bigint, doc_id {id}, n_a bigint, n_b bigint, n_groups bigint, n
             "same binary, same_times binary, other binary, other_times binary")
 
 
+def _ragged(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Byte strings as one array and the offsets of each."""
+    return np.frombuffer(b"".join(parts), np.uint8), np.concatenate([[0], np.cumsum([len(p) for p in parts])])
+
+
 class Aligner:
     """A byte-level BPE vocabulary (A) and a piece model with byte fallback (B)."""
 
@@ -67,8 +72,11 @@ class Aligner:
                 if not (self.b.is_byte(i) or self.b.is_control(i) or self.b.is_unknown(i) or self.b.is_unused(i))}
         #: B id of the same bytes for each A id, or -1.
         self.same = np.array([own.get(raw, -1) for raw in self.a.bytes_of], np.int64)
-        self.len_a = np.array([len(x) for x in self.a.bytes_of], np.int64)
-        self.len_b = np.array([len(x) for x in self.bytes_b], np.int64)
+        self.flat_a, self.off_a = _ragged(self.a.bytes_of)
+        self.flat_b, self.off_b = _ragged(self.bytes_b)
+        # each id in decimal digits with each of the three marks behind it
+        ids = range(max(len(self.a.bytes_of), len(pieces)))
+        self.marked, self.off_marked = _ragged([f"{i}{mark}".encode() for i in ids for mark in ",|;"])
 
     def word_keys(self, text: str) -> list[str]:
         """The words of a space and the text: runs of white space with what
@@ -83,46 +91,68 @@ class Aligner:
             keys[at] = f"{_BARE}\n{keys[at]}"
         return keys
 
-    def align(self, keys: list[str]) -> dict[str, object]:
+    def align(self, keys: list[str]) -> dict[str, np.ndarray]:
         """Of each word: whether both encodings give its bytes, its numbers of
         tokens and groups, its links' codes (A id << 16 | B id) and its groups
-        as text. Two ways to cut the same bytes overlap in as many pairs as
-        there are places where either cuts."""
+        as text (``text``, ``n_text`` bytes a word), each group followed by
+        ``;``. Two ways to cut the same bytes overlap in as many pairs as there
+        are places where either cuts."""
         words = [k[len(_BARE):] if k.startswith(_BARE) else " " + k for k in keys]
+        n = len(words)
         raw = [w.encode() for w in words]
+        lens = np.fromiter(map(len, raw), np.int64, n)
         ids_a, off_a = self.a.encode_words(words)
         lists_b = self.b.encode([w[1:] if w[0] == " " else w for w in words], num_threads=1)
-        for i, w in enumerate(words):
-            if w == " ":
-                lists_b[i] = [self.space]
-            elif w[0] != " ":  # the model has put a space in front
-                lists_b[i] = lists_b[i][1:]
-        list_a, ends = ids_a.tolist(), off_a.tolist()
-        good = np.array([b"".join([self.a.bytes_of[i] for i in list_a[ends[k]:ends[k + 1]]]) == r
-                         and b"".join([self.bytes_b[i] for i in lists_b[k]]) == r for k, r in enumerate(raw)], bool)
-        n = len(words)
-        ids_a = ids_a[np.repeat(good, np.diff(off_a))].astype(np.int64)
-        ids_b = np.array([i for k in np.flatnonzero(good).tolist() for i in lists_b[k]], np.int64)
-        ends_a, ends_b = np.cumsum(self.len_a[ids_a]), np.cumsum(self.len_b[ids_b])
-        word_ends = np.cumsum(np.where(good, [len(r) for r in raw], 0)) if n else np.zeros(0, np.int64)
-
-        bounds, cuts = np.union1d(ends_a, ends_b), np.intersect1d(ends_a, ends_b)
-        codes = (ids_a[np.searchsorted(ends_a, bounds)] << 16) | ids_b[np.searchsorted(ends_b, bounds)]
-        # a bad word has no bytes here, so nothing ends in it
-        of_link, of_group = np.searchsorted(word_ends, bounds), np.searchsorted(word_ends, cuts)
-
-        to_a, to_b = (np.searchsorted(ends_a, cuts) + 1).tolist(), (np.searchsorted(ends_b, cuts) + 1).tolist()
-        text_a, text_b = list(map(str, ids_a.tolist())), list(map(str, ids_b.tolist()))
-        groups, p, q = [], 0, 0
-        for i, j in zip(to_a, to_b):
-            groups.append(",".join(text_a[p:i]) + "|" + ",".join(text_b[q:j]))
-            p, q = i, j
-        n_groups = np.bincount(of_group, minlength=n)
-        upto = np.concatenate([[0], np.cumsum(n_groups)]).tolist()
-        return {"good": good, "n_a": np.where(good, np.diff(off_a), 0), "n_groups": n_groups,
-                "n_b": np.where(good, list(map(len, lists_b)), 0) if n else np.zeros(0, np.int64),
-                "n_links": np.bincount(of_link, minlength=n), "codes": codes,
-                "text": [";".join(groups[upto[k]:upto[k + 1]]).encode() for k in range(n)]}
+        for i in [i for i, w in enumerate(words) if w == " " or w[0] != " "]:
+            # the model puts a space in front of what isn't empty
+            lists_b[i] = [self.space] if words[i] == " " else lists_b[i][1:]
+        n_a, n_b = np.diff(off_a), np.fromiter(map(len, lists_b), np.int64, n)
+        ids_a = ids_a.astype(np.int64)
+        ids_b = np.fromiter(chain.from_iterable(lists_b), np.int64, int(n_b.sum()))
+
+        whole = np.frombuffer(b"".join(raw), np.uint8)
+        good = self._gives(self.flat_a, self.off_a, ids_a, n_a, whole, lens) & self._gives(
+            self.flat_b, self.off_b, ids_b, n_b, whole, lens)
+        if not good.all():
+            ids_a, ids_b = ids_a[np.repeat(good, n_a)], ids_b[np.repeat(good, n_b)]
+            n_a, n_b, lens = n_a * good, n_b * good, lens * good
+        # a mark at the last byte of each token; how many tokens have ended before each byte
+        ends_a, ends_b = np.cumsum(np.diff(self.off_a)[ids_a]) - 1, np.cumsum(np.diff(self.off_b)[ids_b]) - 1
+        total = int(lens.sum())
+        in_a, in_b = np.zeros(total, bool), np.zeros(total, bool)
+        in_a[ends_a], in_b[ends_b] = True, True
+        before_a, before_b = np.cumsum(in_a) - in_a, np.cumsum(in_b) - in_b
+        bounds, cuts = np.flatnonzero(in_a | in_b), np.flatnonzero(in_a & in_b)
+        codes = (ids_a[before_a[bounds]] << 16) | ids_b[before_b[bounds]]
+
+        of_byte = np.repeat(np.arange(n), lens)
+        n_groups, n_links = (np.bincount(of_byte[x], minlength=n) for x in (cuts, bounds))
+
+        # texts: every token with the mark behind it, a group's A tokens before its B tokens
+        last_a, last_b = in_b[ends_a], in_a[ends_b]
+        upto_a, upto_b = before_a[cuts] + 1, before_b[cuts] + 1
+        group_a, group_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
+        elements = np.zeros(len(ids_a) + len(ids_b), np.int64)
+        elements[np.arange(len(ids_a)) + np.concatenate([[0], upto_b])[group_a]] = ids_a * 3 + last_a
+        elements[np.arange(len(ids_b)) + upto_a[group_b]] = ids_b * 3 + 2 * last_b
+        text, sizes = ragged_take(self.marked, self.off_marked, elements)
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        upto = np.concatenate([[0], np.cumsum(n_a + n_b)])
+        return {"good": good, "n_a": n_a, "n_b": n_b, "n_groups": n_groups, "n_links": n_links, "codes": codes,
+                "text": text, "n_text": np.diff(ends[upto])}
+
+    @staticmethod
+    def _gives(flat: np.ndarray, offsets: np.ndarray, ids: np.ndarray, counts: np.ndarray, whole: np.ndarray,
+               lens: np.ndarray) -> np.ndarray:
+        """Which words' tokens join up to the word's bytes."""
+        raw, sizes = ragged_take(flat, offsets, ids)
+        n = len(lens)
+        got = np.bincount(np.repeat(np.arange(n), counts), sizes, minlength=n).astype(np.int64)
+        good = got == lens
+        same = raw[np.repeat(good, got)] == whole[np.repeat(good, lens)]
+        if not same.all():
+            good[np.repeat(np.flatnonzero(good), lens[good])[~same]] = False
+        return good
 
     def documents(self, chunks: Iterator[tuple[pa.RecordBatch, list[str]]], keep: int = KEEP_WORDS) -> Iterator[pa.RecordBatch]:
         """Rows of :data:`_ALIGNED` for each chunk of documents."""
@@ -130,15 +160,14 @@ class Aligner:
         for batch, texts in chunks:
             if not number or len(number) > keep:
                 number = defaultdict(count().__next__)
-                known = {c: np.zeros(0, np.int64) for c in ("n_a", "n_b", "n_groups", "n_links", "codes")}
-                known["good"], strings = np.zeros(0, bool), []
+                known = {c: np.zeros(0, np.int64) for c in ("n_a", "n_b", "n_groups", "n_links", "codes", "n_text")}
+                known |= {"good": np.zeros(0, bool), "text": np.zeros(0, np.uint8)}
             before = len(number)
             rows = [np.fromiter(map(number.__getitem__, keys), np.int64, len(keys))
                     for keys in (self.word_keys(t) if t else [] for t in texts)]
             fresh = self.align(list(islice(number, before, None)))
-            strings += fresh.pop("text")
             known = {c: np.concatenate([v, fresh[c]]) for c, v in known.items()}
-            links_upto = np.concatenate([[0], np.cumsum(known["n_links"])])
+            links_upto, text_upto = (np.concatenate([[0], np.cumsum(known[c])]) for c in ("n_links", "n_text"))
 
             usable = [bool(len(r)) and bool(known["good"][r].all()) for r in rows]
             rows = [r if ok else r[:0] for r, ok in zip(rows, usable)]
@@ -157,7 +186,8 @@ class Aligner:
 
             times = times.astype("<u4")
             sums = {c: pa.array([int(known[c][r].sum()) for r in rows], pa.int64()) for c in ("n_a", "n_b", "n_groups", "n_links")}
-            digests = [hashlib.sha256(b";".join([strings[w] for w in r.tolist()])).hexdigest() if ok else ""
+            # the last group's mark is left out
+            digests = [hashlib.sha256(ragged_take(known["text"], text_upto, r)[0][:-1]).hexdigest() if ok else ""
                        for r, ok in zip(rows, usable)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), batch.column("doc_id"), *sums.values(), pa.array(digests, pa.string()),
