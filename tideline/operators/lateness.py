@@ -5,7 +5,7 @@ A streaming engine decides lateness against the watermark *at the moment a
 row arrives*. Replaying that on a table needs, for every row, the maximum
 event time of all rows that arrived before it -- an un-partitioned running
 max, which as a plain window would pull the whole table into one task. Here
-it is the two-level :func:`~tideline.operators.scan.prefix_scan` (chunks by
+it is the chunked :func:`~tideline.operators.scan.prefix_scan` (chunks by
 arrival order, prefix over chunk maxima, broadcast-or-shuffle join back).
 
 Rules (event time in whole seconds, watermark = max seen - delay):
@@ -95,10 +95,12 @@ def allowed_lateness(df: DataFrame, size_s: int = 10, delay_s: int = 3, lateness
     """
     c = classify_lateness(df, size_s, delay_s, lateness_s, order, chunk_width)
     # the watermark only rises, so a window's on-time rows come before its
-    # allowed ones: one running pass gives every firing's count and sum
+    # allowed ones: one running pass gives every firing's count and sum. Hot
+    # windows are found in the input: the watermark isn't needed for that
     run = prefix_scan(c.where(F.col("status") != LATE), order, [
         Scan("cnt", F.lit(1), "count"), Scan("__run_vc", F.col("vc").cast("bigint"), "sum"),
-        Scan("firing", F.when(F.col("status") == ALLOWED, 1), "count")], [key, "window_start"], chunk_width=chunk_width)
+        Scan("firing", F.when(F.col("status") == ALLOWED, 1), "count")], [key, "window_start"], chunk_width=chunk_width,
+        seen=assign_tumbling(df, size_s))
     return (run.groupBy(key, "window_start", "window_end", "firing")
             .agg(F.max("cnt").alias("cnt"), F.max_by("__run_vc", order).alias("vc")))
 
@@ -162,20 +164,30 @@ def interval_join_on_time(left: DataFrame, right: DataFrame, lower_s: int, upper
 
     rows = two_input_lateness(left, right, delay_s, order, chunk_width).where("not late")
     sides = [rows.where(F.col("side") == s).select("id", "ts", "vc") for s in ("left", "right")]
-    return interval_join(*sides, lower_s, upper_s)
+    return interval_join(*sides, lower_s, upper_s, seen=(left.select("id", "ts", "vc"), right.select("id", "ts", "vc")))
 
 
 def event_timer(df: DataFrame, timer_s: int, delay_s: int, key: str = "id", order: str = "seq",
-                ts_col: str = "ts") -> DataFrame:
-    """Every key's event-time timer at the fixed time ``timer_s``: registered
-    by each of its rows, collapsed to one, fired when the watermark (max ts
-    seen - delay) passes it. One row per key that registered by then: the
-    rows that did, and the arrival that made it fire."""
-    passed = df.where(F.col(ts_col) > F.lit(timer_s + delay_s)).agg(F.min(order).alias("at")).first()["at"]
-    if passed is None:  # the watermark never gets there
-        return df.where(F.lit(False)).select(key, F.lit(timer_s).cast("bigint").alias("timer"),
-                                             F.lit(0).cast("bigint").alias("registered"), F.col(order).alias("fired_at"))
-    return (df.where(F.col(order) <= passed).groupBy(key)
-            .agg(F.count(F.lit(1)).alias("registered"))
-            .select(key, F.lit(timer_s).cast("bigint").alias("timer"), "registered",
-                    F.lit(passed).cast("bigint").alias("fired_at")))
+                ts_col: str = "ts", chunk_width: int = DEFAULT_CHUNK_WIDTH) -> DataFrame:
+    """Every firing of every key's event-time timer at the fixed time
+    ``timer_s``, which each row of the key registers.
+
+    Registrations of one key collapse until they fire: at the first arrival,
+    the row's own included, that raises the watermark (max ts seen - delay) and
+    leaves it beyond ``timer_s``. So rows up to the arrival that first passes
+    the time fire there, and a timer registered again later fires at the next
+    rise. One row per key and firing: the rows that registered it
+    (``registered``) and the arrival that made it fire (``fired_at``). Rows
+    behind the last rise don't fire.
+
+    "The next rise at or after a row" is a running minimum over the rows in
+    reverse order, so no arrival sequence goes through one task.
+    """
+    rows = df.select(key, F.col(ts_col).alias("__ts"), F.col(order).cast("bigint").alias("__at"))
+    ahead = prefix_scan(rows, "__at", [Scan("__max", "__ts", "max", inclusive=False)], chunk_width=chunk_width)
+    rises = (F.col("__ts") > F.lit(timer_s + delay_s)) & (F.col("__max").isNull() | (F.col("__ts") > F.col("__max")))
+    back = ahead.select(key, F.when(rises, F.col("__at")).alias("__rise"), (-F.col("__at")).alias("__back"))
+    fired = prefix_scan(back, "__back", [Scan("fired_at", "__rise", "min")], chunk_width=chunk_width,
+                        seen=rows.select((-F.col("__at")).alias("__back")))
+    return (fired.where(F.col("fired_at").isNotNull()).groupBy(key, "fired_at").agg(F.count(F.lit(1)).alias("registered"))
+            .select(key, F.lit(timer_s).cast("bigint").alias("timer"), "registered", "fired_at"))

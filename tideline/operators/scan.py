@@ -6,18 +6,20 @@ the arrival-order operators of this library (running sums, last value,
 per-record watermarks, row numbers) that is the hot-key failure mode, so they
 all go through :func:`prefix_scan`:
 
-1. count the rows per key (partial aggregation map-side) and keep the keys
-   with more rows than a chunk may hold: a list of at most ``rows /
-   chunk_width`` entries, which every task can hold;
-2. cut these hot keys into *chunks* by quantiles of the order column, so a
-   burst is split as well as an even sequence; every other key is one chunk.
-   The window runs inside each ``(key, chunk)``: one shuffle of the input;
+1. look at a fixed share of the rows, chosen by the hash of their position in
+   the order: the keys with about more rows than a chunk may hold are *hot*.
+   Their list is bounded (:data:`HOT_KEYS`), so every task can hold it, and
+   needs no shuffle of the input;
+2. cut hot keys into *chunks* by quantiles of the order column, taken from the
+   same share in the same pass, so a burst is split as well as an even
+   sequence; every other key is one chunk. The window runs inside each
+   ``(key, chunk)``: one shuffle of the input;
 3. for hot keys only, aggregate every chunk to one row and run the exclusive
-   prefix over the chunk rows, in two levels, so that not even the chunks of
-   one key meet in a task that grows with the rows;
+   prefix over the chunk rows, ``rows / chunk_width`` of them for a key;
 4. join the prefix back on ``(key, chunk)`` and combine. Without hot keys the
    chunk table is empty and adaptive execution drops the join.
 
+What the share misses changes the size of a window, never a result.
 The result equals the single window row for row; only the plan differs.
 """
 
@@ -36,8 +38,11 @@ DEFAULT_CHUNK_WIDTH = 1 << 20
 
 # Quantiles by which a hot key is cut first; each bracket is then cut evenly.
 QUANTILES = 64
-# Chunks that are summed up together before the second level.
-SUPER_CHUNK = 1024
+# Rows of a key that just fills a chunk which the first pass looks at.
+SAMPLED = 128
+# Hot keys at most, the largest ones. A key beyond them has fewer rows than the
+# table's rows / HOT_KEYS.
+HOT_KEYS = 1 << 14
 
 KINDS = ("sum", "count", "max", "min", "last")
 PREFIX = "__scan_"
@@ -130,19 +135,25 @@ def key_columns(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str
     return df, names
 
 
-def hot_chunks(base: DataFrame, kcols: Sequence[str], position: str,
-               chunk_width: int = DEFAULT_CHUNK_WIDTH) -> tuple[DataFrame, DataFrame]:
+def hot_chunks(base: DataFrame, kcols: Sequence[str], position: str, chunk_width: int = DEFAULT_CHUNK_WIDTH,
+               seen: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Two frames: ``base`` with the column :data:`CHUNK`, and of it the rows
-    of hot keys alone. A key with more than ``chunk_width`` rows is hot; its
-    chunk grows along ``position`` (a bigint, rows of equal position share a
-    chunk, null comes first). All other keys are the one chunk 0."""
+    of hot keys alone. A key with more than about ``chunk_width`` rows is hot;
+    its chunk grows along ``position`` (a bigint, rows of equal position share
+    a chunk, null comes first). All other keys are the one chunk 0.
+
+    ``seen`` is a cheaper frame with the same keys and positions to find hot
+    keys in, if ``base`` is dear to compute.
+    """
     n, bounds, top, parts = (PREFIX + c for c in ("rows", "bounds", "top", "parts"))
-    # at most rows / chunk_width keys: small enough for every task at any size
-    counts = base.groupBy(*kcols).agg(F.count(F.lit(1)).alias(n)).where(F.col(n) > int(chunk_width))
     quantiles = F.array(*[F.lit(i / QUANTILES) for i in range(QUANTILES)])
-    hot = (base.select(*kcols, F.col(position).alias(top)).join(F.broadcast(counts), list(kcols))
-           .groupBy(*kcols).agg(F.percentile_approx(top, quantiles, 10_000).alias(bounds), F.max(top).alias(top),
-                                F.first(n).alias(n))
+    rate = max(1, int(chunk_width) // SAMPLED)
+    share = (base if seen is None else seen).select(*kcols, F.col(position).alias(top))
+    if rate > 1:
+        share = share.where(F.pmod(F.xxhash64(top), F.lit(rate)) == 0)
+    hot = (share.groupBy(*kcols).agg((F.count(F.lit(1)) * rate).alias(n),
+                                     F.percentile_approx(top, quantiles, 10_000).alias(bounds), F.max(top).alias(top))
+           .where(F.col(n) > int(chunk_width)).orderBy(F.desc(n)).limit(HOT_KEYS)
            .select(*kcols, F.array_distinct(bounds).alias(bounds), top,
                    F.ceil(F.col(n) / (QUANTILES * int(chunk_width))).cast("bigint").alias(parts)))
     p = F.col(position)
@@ -160,25 +171,17 @@ def hot_chunks(base: DataFrame, kcols: Sequence[str], position: str,
 
 
 def _chunk_prefix(totals: DataFrame, kcols: list[str], scans: list[Scan]) -> DataFrame:
-    """``kcols, CHUNK`` and, for every scan, the aggregate of all earlier chunks."""
-    sup = PREFIX + "super"
-    t = totals.withColumn(sup, F.expr(f"`{CHUNK}` div {SUPER_CHUNK}"))
-    inner = Window.partitionBy(*kcols, sup).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    supers = t.groupBy(*kcols, sup).agg(
-        *[_total(_of_totals(s.kind), F.col(f"{PREFIX}t_{s.name}"), [CHUNK]).alias(f"{PREFIX}s_{s.name}") for s in scans])
-    outer = Window.partitionBy(*kcols).orderBy(sup).rowsBetween(Window.unboundedPreceding, -1)
-    supers = supers.select(*kcols, sup, *[
-        _running(_of_totals(s.kind), F.col(f"{PREFIX}s_{s.name}"), outer).alias(f"{PREFIX}s_{s.name}") for s in scans])
-    t = t.select(*kcols, sup, CHUNK, *[
-        _running(_of_totals(s.kind), F.col(f"{PREFIX}t_{s.name}"), inner).alias(f"{PREFIX}t_{s.name}") for s in scans])
-    return t.join(supers, [*kcols, sup]).select(*kcols, CHUNK, *[
-        _combine(_of_totals(s.kind), F.col(f"{PREFIX}s_{s.name}"), F.col(f"{PREFIX}t_{s.name}")).alias(f"{PREFIX}p_{s.name}")
-        for s in scans])
+    """``kcols, CHUNK`` and, for every scan, the aggregate of all earlier
+    chunks. One task orders the chunk rows of a key: a million of them for a
+    key of 2^40 rows."""
+    w = Window.partitionBy(*kcols).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    return totals.select(*kcols, CHUNK, *[
+        _running(_of_totals(s.kind), F.col(f"{PREFIX}t_{s.name}"), w).alias(f"{PREFIX}p_{s.name}") for s in scans])
 
 
 def prefix_scan(df: DataFrame, order_by: Sequence[str] | str, scans: Iterable[Scan],
                 partition_by: Sequence[str] | str = (), chunk_width: int = DEFAULT_CHUNK_WIDTH,
-                totals_from: str = "input") -> DataFrame:
+                totals_from: str = "input", seen: DataFrame | None = None) -> DataFrame:
     """Add one column per :class:`Scan`: a running aggregate over the rows of
     the same ``partition_by`` key that come before (and, if inclusive, at)
     each row in ``order_by`` order, null first.
@@ -186,7 +189,8 @@ def prefix_scan(df: DataFrame, order_by: Sequence[str] | str, scans: Iterable[Sc
     ``order_by`` must be unique within a key for the result to be
     deterministic, as with any ROWS frame, and begin with an integer column.
     ``totals_from`` says whether hot keys' chunks are summed up from the input
-    again or from the windows' output.
+    again or from the windows' output. ``seen``: see :func:`hot_chunks`; a
+    frame with at least the keys and the first order column of every row.
     """
     order = [order_by] if isinstance(order_by, str) else list(order_by)
     keys = [partition_by] if isinstance(partition_by, str) else list(partition_by)
@@ -195,7 +199,13 @@ def prefix_scan(df: DataFrame, order_by: Sequence[str] | str, scans: Iterable[Sc
         if s.kind not in KINDS:
             raise ValueError(f"unknown scan kind {s.kind!r}")
     base, kcols = key_columns(df, keys)
-    every, hot = hot_chunks(base, kcols, order[0], chunk_width)
+    if seen is not None:
+        seen = seen.select(*[F.col(c) for c in dict.fromkeys([*keys, order[0]])])
+        for k in keys:  # the key columns must come out alike
+            if df.schema[k].nullable != seen.schema[k].nullable:
+                raise ValueError(f"key {k} is nullable in one of both frames only")
+        seen, _ = key_columns(seen, keys)
+    every, hot = hot_chunks(base, kcols, order[0], chunk_width, seen)
 
     def windows(rows: DataFrame) -> DataFrame:
         w = Window.partitionBy(*kcols, CHUNK).orderBy(*order)

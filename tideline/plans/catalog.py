@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import accumulators as acc
 from ..functions.aggregate import weighted_avg
 from ..functions.scalar import java_hash, java_string_hash
 from ..functions.table import register_split_words_sql, split_words
@@ -232,9 +233,12 @@ def q_interval_join_on_time(spark, sf):
 
 
 @register("event_timer", with_ctes(f"""
-SELECT id, CAST({FILTER_TS} AS BIGINT) AS timer, count(*) AS registered, any_value(passed) AS fired_at
-FROM (SELECT *, (SELECT min(seq) FROM arrivals WHERE ts > {FILTER_TS + LATE_DELAY}) AS passed FROM arrivals)
-WHERE seq <= passed GROUP BY id""", "arrivals"))
+SELECT id, CAST({FILTER_TS} AS BIGINT) AS timer, count(*) AS registered, fired_at
+FROM (SELECT id, min(CASE WHEN ts > {FILTER_TS + LATE_DELAY} AND (top IS NULL OR ts > top) THEN seq END)
+               OVER (ORDER BY seq ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS fired_at
+      FROM (SELECT id, ts, seq, max(ts) OVER (ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top
+            FROM arrivals))
+WHERE fired_at IS NOT NULL GROUP BY id, fired_at""", "arrivals"))
 def q_event_timer(spark, sf):
     return lateness.event_timer(I.arrivals(spark, sf), FILTER_TS, LATE_DELAY)
 
@@ -635,6 +639,38 @@ def q_java_hash(spark, sf):
                     java_hash(F.col("vc") % 2 == 0, T.BooleanType()).alias("boolean_hash"))
 
 
+def _int32(expr: str) -> str:
+    """What Java's int arithmetic keeps of a BIGINT."""
+    return f"CAST((({expr}) % 4294967296 + 4294967296 + 2147483648) % 4294967296 - 2147483648 AS INTEGER)"
+
+
+_DATE_HASH = ("xor(y & 4294965248, ((y << 11) + (month(d) << 6) + day(d)))")
+
+
+@register("java_hash_types", with_ctes(f"""
+SELECT seq, {_int32("bits")} AS double_hash, {_int32("31 * (vc::BIGINT * 100) + 2")} AS decimal_hash,
+       {_int32(_DATE_HASH)} AS date_hash, {_int32("xor(ts, ts >> 32)")} AS timestamp_hash,
+       {_int32(f"xor({_DATE_HASH}, xor(nano, nano >> 32) % 4294967296)")} AS timestamp_ntz_hash,
+       {_int32("31 * (31 + vc) + seq % 7")} AS array_hash,
+       {_int32("31 * (31 + vc) + CASE WHEN vc % 2 = 0 THEN 1231 ELSE 1237 END")} AS struct_hash,
+       {_int32("31 * (31 + ((vc % 100 + 256) % 256 + 128) % 256 - 128) + 7")} AS binary_hash
+FROM (SELECT *, year(d)::BIGINT AS y, (ts % 86400) * 1000000000 AS nano,
+             CASE WHEN vc = 0 THEN 0 ELSE (CASE WHEN vc < 0 THEN 2147483648 ELSE 0 END)
+               + ((floor(log2(abs(vc) / 4.0))::BIGINT + 1023) << 20)
+               + ((abs(vc) / 4.0 / pow(2, floor(log2(abs(vc) / 4.0))) - 1) * 1048576)::BIGINT END AS bits
+      FROM (SELECT *, (make_timestamp(ts * 1000000))::DATE AS d FROM sensor WHERE vc IS NOT NULL))""", "sensor"))
+def q_java_hash_types(spark, sf):
+    """``java_hash`` of one column per further type."""
+    s = I.sensor(spark, sf).where("vc is not null").select(
+        "seq", (F.col("vc") / F.lit(4.0)).alias("double"), F.col("vc").cast("decimal(12,2)").alias("decimal"),
+        F.timestamp_seconds("ts").cast("date").alias("date"), F.timestamp_seconds("ts").alias("timestamp"),
+        F.timestamp_seconds("ts").cast("timestamp_ntz").alias("timestamp_ntz"),
+        F.array(F.col("vc").cast("bigint"), F.col("seq") % 7).alias("array"),
+        F.struct(F.col("vc").alias("vc"), (F.col("vc") % 2 == 0).alias("even")).alias("struct"),
+        F.unhex(F.concat(F.lpad(F.hex(F.pmod(F.col("vc") % 100, F.lit(256))), 2, "0"), F.lit("07"))).alias("binary"))
+    return s.select("seq", *[java_hash(F.col(f.name), f.dataType).alias(f"{f.name}_hash") for f in s.schema if f.name != "seq"])
+
+
 @register("weighted_avg", """
 SELECT l_returnflag, l_linestatus,
        CASE WHEN sum(l_linenumber) = 0 THEN NULL
@@ -659,6 +695,27 @@ def q_weighted_avg_retract(spark, sf):
     return changes.groupBy("id").agg(weighted_avg("sumVc", F.lit(1), F.col("op")).alias("wavg"))
 
 
+@register("weighted_avg_accumulated", ORACLE["weighted_avg"])
+def q_weighted_avg_accumulated(spark, sf):
+    """:func:`q_weighted_avg` as a user-defined aggregate."""
+    from ..schema import table
+    li = table(spark, sf, "lineitem").withColumn("v", F.col("l_quantity").cast("bigint"))
+    return acc.aggregate(li, ["l_returnflag", "l_linestatus"], ["v", "l_linenumber"], acc.WeightedAvg())
+
+
+@register("weighted_avg_retracted", ORACLE["weighted_avg_retract"])
+def q_weighted_avg_retracted(spark, sf):
+    """:func:`q_weighted_avg_retract` as a user-defined aggregate that retracts."""
+    changes = changelog.group_sum_changelog(I.arrivals(spark, sf)).withColumn("weight", F.lit(1))
+    return acc.aggregate(changes, "id", ["sumVc", "weight"], acc.WeightedAvg(), op="op")
+
+
+@register("top2_accumulated", ORACLE["top2_by_key"])
+def q_top2_accumulated(spark, sf):
+    """:func:`q_top2_by_key` as a user-defined table aggregate."""
+    return acc.aggregate(I.sensor(spark, sf), "id", ["vc"], acc.TopN(2))
+
+
 @register("format_window_time", with_ctes(
     f"SELECT seq, {sql_fmt_ms('ts * 1000')} AS text FROM sensor", "sensor"))
 def q_format_window_time(spark, sf):
