@@ -264,6 +264,51 @@ def test_near_copies_inside_a_template_family(spark):
     assert [got[i] for i in range(len(texts))] == want
 
 
+@pytest.mark.parametrize("turned", [False, True])
+def test_an_id_on_two_texts_is_one_class_in_any_row_order(spark, turned):
+    r = random.Random(21)
+    a, b = ([f"w{r.randrange(10 ** 6)}" for _ in range(80)] for _ in range(2))
+    near = lambda w: [*w[:40], "other", *w[41:]]
+    rows = [(1, " ".join(a)), (1, " ".join(b)), (2, " ".join(near(a))), (3, " ".join(near(b))), (4, "alone " * 9),
+            (7, " ".join(a)), (9, " ".join(b).upper())]
+    docs = spark.createDataFrame(rows[::-1] if turned else rows, "doc_id bigint, text string").coalesce(1)
+    got = {x.doc_id: x.class_id for x in near_dup.near_duplicates(docs).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 4: 4, 7: 1, 9: 1}
+    kept = sorted((x.doc_id, x.text) for x in near_dup.keep_one(docs).collect())
+    assert kept == sorted([rows[0], rows[1], rows[4]])   # no text that is like no other is lost
+
+
+def test_an_id_links_the_classes_of_its_texts(spark):
+    r = random.Random(22)
+    a, b = (" ".join(f"w{r.randrange(10 ** 6)}" for _ in range(60)) for _ in range(2))
+    docs = spark.createDataFrame([(1, a), (2, b), (5, b), (5, a), (6, b)], "doc_id bigint, text string")
+    assert {x.doc_id: x.class_id for x in near_dup.near_duplicates(docs).collect()} == {1: 1, 2: 1, 5: 1, 6: 1}
+
+
+def test_candidates_meet_once(spark):
+    """Of texts that share many rare shingles each pair is formed once, also
+    when the shingles' rows are spread over a grid of tasks."""
+    r = random.Random(23)
+    base = r.sample(range(10 ** 6), 60)
+    sets = {u: np.array(sorted({*r.sample(base, 58 if u % 2 else 53), *r.sample(range(10 ** 6, 2 * 10 ** 6), 2)}), "<u4")
+            for u in range(40)}
+    left = spark.createDataFrame([(u, u + 100, u) for u in sets], "unit bigint, rep bigint, component bigint")
+    shingle = spark.createDataFrame([(u, bytearray(x.tobytes()), None) for u, x in sets.items()],
+                                    "unit bigint, shingles binary, times binary")
+    real = near_dup.SHINGLE_ROWS
+    found = []
+    try:
+        for near_dup.SHINGLE_ROWS in (real, 10):
+            found.append(sorted((x.a, x.b, x.a_rep, x.b_rep) for x in near_dup._candidates(left, shingle, 0.8).collect()))
+    finally:
+        near_dup.SHINGLE_ROWS = real
+    pairs = [tuple(sorted(x[:2])) for x in found[0]]
+    assert len(pairs) == len(set(pairs)) and {tuple(sorted(x[:2])) for x in found[1]} == set(pairs)
+    assert all(x[2:] == (x[0] + 100, x[1] + 100) for f in found for x in f)
+    links = {(i, j) for i in sets for j in sets if i < j and near_dup.similarity(sets[i], sets[j]) >= 0.8}
+    assert links and links <= set(pairs)
+
+
 def test_linked_sets_share_an_item_of_both_prefixes():
     rng, linked = np.random.default_rng(4), 0
     for _ in range(3000):
@@ -292,6 +337,29 @@ def test_feistel_is_a_keyed_permutation(n):
         assert (slots != training_order.Feistel(n, "b").slot(np.arange(n))).mean() > 0.9
 
 
+def test_shards_do_not_follow_the_splits_of_the_scan(spark, tmp_path):
+    """The same two files give the same shards however the scan cuts and deals them."""
+    folder = str(tmp_path / "docs")
+    texts = [" ".join(words(60, i)) for i in range(400)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartitionByRange(2, "doc_id")
+    rows.sortWithinPartitions("doc_id").write.option("parquet.block.size", 8192).parquet(folder)
+    found = set()
+    sizes = {"spark.sql.files.minPartitionNum": ("1", "4", "16"), "spark.sql.files.maxPartitionBytes": ("134217728", "16384", "9000"),
+             "spark.sql.files.openCostInBytes": ("4194304", "1", "1")}
+    try:
+        for k in range(3):
+            for name, values in sizes.items():
+                spark.conf.set(name, values[k])
+            docs = spark.read.parquet(folder).select("text", "_metadata.file_path", "_metadata.file_block_start")
+            manifest = training_order.write_shards(docs, queries.BPE_FILE, str(tmp_path / f"out{k}"), sequence=64, per_shard=16,
+                                                   place=("file_path", "file_block_start"))
+            found.add((docs.rdd.getNumPartitions(), tuple(sorted((r.shard, r.sha256) for r in manifest.collect()))))
+    finally:
+        for name in sizes:
+            spark.conf.unset(name)
+    assert len({n for n, _ in found}) == 3 and len({shards for _, shards in found}) == 1
+
+
 def test_shards_hold_the_stream_in_slot_order(spark, tmp_path):
     texts = [None, "", "hello world. " * 30, "x", "x"] + [" ".join(words(40, i)) for i in range(30)]
     docs = docs_of(spark, texts).coalesce(1).select(F.lit(1).alias("slot"), "text")

@@ -16,7 +16,12 @@
    leaders, drawn anew.
 5. What is then left in buckets of several components is finished exactly: a
    prefix filter on the rarest shingles finds every pair that can be a link,
-   and those in different components are compared.
+   once, at the first shingle that both prefixes hold, and those in different
+   components are compared. A shingle of very many documents is spread over a
+   grid of tasks.
+
+What is compared are distinct texts (a number per digest); what links join are
+document ids. An id on several texts links them.
 """
 
 from __future__ import annotations
@@ -29,9 +34,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import grid_join
 from .common import cut, frugal
 from .components import components
 
@@ -47,6 +53,8 @@ LEADER_ROUNDS = 1
 #: Slots of the table of shingle counts that orders shingles in the exact
 #: finish. Any order is right; counts that share a slot only cost candidates.
 COUNT_SLOTS = 1 << 20
+#: Rows of one shingle that a task of the exact finish meets.
+SHINGLE_ROWS = 8192
 #: Bytes of text whose signatures are made together.
 SLICE_BYTES = 4_000_000
 
@@ -65,6 +73,10 @@ def text_words(text: str | None) -> list[bytes]:
     return [] if text is None else text.lower().encode("utf-8", "surrogatepass").split()
 
 
+def text_digest(words: list[bytes]) -> bytes:
+    return hashlib.blake2b(b" ".join(words), digest_size=16).digest()
+
+
 class WordHashes(defaultdict):
     """Word -> 64-bit hash, kept for the words of one slice."""
 
@@ -137,7 +149,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text in part.column("text").to_pylist():
             words = text_words(text)
             n_words.append(len(words))
-            digest = hashlib.blake2b(b" ".join(words), digest_size=16).digest()
+            digest = text_digest(words)
             digests.append(digest)
             if digest not in seen:
                 seen[digest] = len(seen)
@@ -149,23 +161,28 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sign = signatures(np.concatenate(items), np.concatenate(weights).astype(float), doc, len(items), BANDS * ROWS)
         bands = band_hashes(sign)[which]
         yield pa.RecordBatch.from_arrays(
-            [part.column("doc_id"), pa.array(digests, pa.binary()), pa.array(n_words, pa.int64()),
+            [part.column("doc_id"), part.column("text_hash"), pa.array(digests, pa.binary()), pa.array(n_words, pa.int64()),
              pa.ListArray.from_arrays(np.arange(len(which) + 1, dtype=np.int32) * BANDS, bands.ravel())],
-            ["doc_id", "digest", "n_words", "bands"])
+            ["doc_id", "text_hash", "digest", "n_words", "bands"])
 
 
 def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted 32-bit shingle hashes, and their counts where one is over 1."""
+    """Sorted 32-bit shingle hashes, and their counts where one is over 1, of
+    the rows whose text has the wanted digest."""
     for part in _slices(batches, "text"):
         hashes = WordHashes()
-        sets, times = [], []
-        for text in part.column("text").to_pylist():
-            s, n = np.unique((shingles(text_words(text), hashes) >> np.uint64(32)).astype("<u4"), return_counts=True)
+        units, sets, times = [], [], []
+        for unit, digest, text in zip(*(part.column(c).to_pylist() for c in ("unit", "digest", "text"))):
+            words = text_words(text)
+            if text_digest(words) != digest:
+                continue  # another text with the same id and hash
+            s, n = np.unique((shingles(words, hashes) >> np.uint64(32)).astype("<u4"), return_counts=True)
+            units.append(unit)
             sets.append(s.tobytes())
             times.append(n.astype("<u4").tobytes() if len(n) and n.max() > 1 else None)
         yield pa.RecordBatch.from_arrays(
-            [part.column("doc_id"), pa.array(sets, pa.binary()), pa.array(times, pa.binary())],
-            ["doc_id", "shingles", "times"])
+            [pa.array(units, pa.int64()), pa.array(sets, pa.binary()), pa.array(times, pa.binary())],
+            ["unit", "shingles", "times"])
 
 
 def similarity(a: np.ndarray, b: np.ndarray, wa: np.ndarray | None = None, wb: np.ndarray | None = None) -> float:
@@ -198,7 +215,8 @@ def _linked(least: float):
             keep = []
             for row in zip(*(batch.column(c) for c in ("a_set", "b_set", "a_times", "b_times"))):
                 keep.append(similarity(*map(array, row)) >= least)
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep))
+            yield pa.RecordBatch.from_arrays([batch.column("a_rep"), batch.column("b_rep")], ["a", "b"]).filter(
+                pa.array(keep, pa.bool_()))
 
     return run
 
@@ -239,6 +257,7 @@ def prefix(items: np.ndarray, weights: np.ndarray | None, ranks: np.ndarray, lea
 
 
 def _prefixes(ranks: bytes, least: float):
+    """A row per item of each set's prefix, with the items before it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank = np.frombuffer(ranks, np.uint8)
         for batch in batches:
@@ -247,30 +266,34 @@ def _prefixes(ranks: bytes, least: float):
                 items = np.frombuffer(cell.as_buffer(), "<u4")
                 weights = np.frombuffer(times.as_buffer(), "<u4") if times.is_valid else None
                 token, inverse = prefix(items, weights, rank[_slots(items)], least)
-                tokens.append(token)
+                tokens.append(token.astype(np.int64))
                 inverses.append(inverse)
             of = pa.array(np.repeat(np.arange(len(tokens)), [len(x) for x in tokens]))
+            before = pa.array([t[:k] for t in tokens for k in range(len(t))], pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(tokens).astype(np.int64)), pa.array(np.concatenate(inverses)),
-                 batch.column("id").take(of), batch.column("component").take(of)], ["token", "inverse", "id", "component"])
+                [pa.array(np.concatenate(tokens)), pa.array(np.concatenate(inverses)), before,
+                 *(batch.column(c).take(of) for c in ("unit", "rep", "component"))],
+                ["token", "inverse", "before", "unit", "rep", "component"])
 
     return run
 
 
 def _candidates(left: DataFrame, sets: DataFrame, least: float) -> DataFrame:
-    """``a, b``: all pairs of the documents of ``left`` (``id, component``) in
-    different components that can be similar enough, by :func:`prefix`. Of a
-    shingle's documents only those pairs are formed: one side is in the first
-    half of the inverses' range, and of the shingle's largest component no two
-    meet."""
+    """``a, b, a_rep, b_rep``: all pairs of the texts of ``left`` (``unit, rep,
+    component``) in different components that can be similar enough, by
+    :func:`prefix`, each once. Of a shingle's texts only those pairs are
+    formed: one side is in the first half of the inverses' range, of the
+    shingle's largest component no two meet, and no shingle before it is in
+    both prefixes -- there the pair has met already, as the inverses only grow."""
     spark = left.sparkSession
-    own = cut(left.join(sets.withColumnRenamed("doc_id", "id"), "id"), "near-dup-open-sets")
+    own = cut(left.join(sets, "unit"), "near-dup-open-sets")
     counts = own.select("shingles").mapInArrow(frugal(_slot_counts), "slot bigint, n bigint").groupBy("slot").agg(
         F.sum("n").alias("n")).toArrow()  # COUNT_SLOTS rows at most
     ranks = np.zeros(COUNT_SLOTS, np.uint8)
     ranks[counts.column("slot").to_numpy()] = np.minimum(255, 6 * np.log2(counts.column("n").to_numpy()))
     rows = cut(own.mapInArrow(frugal(_prefixes(ranks.tobytes(), least)),
-                              "token bigint, inverse double, id bigint, component bigint"), "near-dup-prefixes")
+                              "token bigint, inverse double, before array<bigint>, unit bigint, rep bigint, component bigint"),
+               "near-dup-prefixes")
     both = 1 + 1 / least + 1e-9
     tokens = (rows.groupBy("token", "component").agg(F.count(F.lit(1)).alias("n"), F.min("inverse").alias("inverse"))
               .groupBy("token").agg(F.min("component").alias("__low"), F.max("component").alias("__high"),
@@ -278,16 +301,17 @@ def _candidates(left: DataFrame, sets: DataFrame, least: float) -> DataFrame:
                                     F.min("inverse").alias("least"))
               .where((F.col("__low") < F.col("__high")) & (2 * F.col("least") <= both)).select("token", "hub", "least"))
     near = cut(rows.join(tokens, "token").where(F.col("inverse") + F.col("least") <= both)
-               .select("token", "inverse", "id", "component", (F.col("component") == F.col("hub")).alias("in_hub")),
-               "near-dup-meeting")
+               .withColumn("in_hub", F.col("component") == F.col("hub")).drop("hub", "least"), "near-dup-meeting")
+    own_names = ["unit", "rep", "component", "inverse", "before"]
     a = near.where(2 * F.col("inverse") <= both).select(
-        "token", F.col("inverse").alias("a_inverse"), F.col("id").alias("x"), F.col("component").alias("a_component"),
+        "token", *[F.col(c).alias(f"a_{c}") for c in own_names],
         F.explode(F.when(F.col("in_hub"), F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True)))).alias("in_hub"))
-    b = near.select("token", "in_hub", F.col("inverse").alias("b_inverse"), F.col("id").alias("y"),
-                    F.col("component").alias("b_component"))
-    meet = a.join(b, ["token", "in_hub"]).where(
-        (F.col("a_component") != F.col("b_component")) & (F.col("a_inverse") + F.col("b_inverse") <= both))
-    return meet.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    b = near.select("token", "in_hub", *[F.col(c).alias(f"b_{c}") for c in own_names])
+    meet = grid_join(a, b, ["token", "in_hub"], SHINGLE_ROWS).where(
+        (F.col("a_component") != F.col("b_component")) & (F.col("a_inverse") + F.col("b_inverse") <= both)
+        & ((2 * F.col("b_inverse") > both) | (F.col("a_unit") < F.col("b_unit")))   # both in the first half: one way round
+        & ~F.arrays_overlap("a_before", "b_before"))
+    return meet.select(F.col("a_unit").alias("a"), F.col("b_unit").alias("b"), "a_rep", "b_rep")
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", least: float = SIMILARITY) -> DataFrame:
@@ -304,44 +328,62 @@ def near_duplicates(docs: DataFrame, text: str = "text", least: float = SIMILARI
     Extra columns are not looked at; an empty table gives no rows. Ids are
     longs.
     """
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    rows = rows.where("doc_id is not null")
-    signed = cut(rows.mapInArrow(frugal(_sign), "doc_id bigint, digest binary, n_words bigint, bands array<bigint>"),
-                 "near-dup-signatures")
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(text).alias("text"),
+                       F.xxhash64(text).alias("text_hash")).where("doc_id is not null")
+    signed = cut(rows.mapInArrow(
+        frugal(_sign), "doc_id bigint, text_hash bigint, digest binary, n_words bigint, bands array<bigint>"),
+        "near-dup-signatures")
     copies = (signed.where("n_words > 0").groupBy("digest")
-              .agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")))
-    banded = cut(copies, "near-dup-copies")
-
-    in_bands = banded.select(F.col("rep").alias("id"), F.explode("bands").alias("bucket"))
-    shared = in_bands.groupBy("bucket").agg(F.min("id").alias("leader"), F.max("id").alias("__top"))
+              .agg(F.min(F.struct("doc_id", "text_hash")).alias("r"), F.first("bands").alias("bands")))
+    # a text's number is written with it, so it is the same wherever it is read
+    banded = cut(copies.select(F.monotonically_increasing_id().alias("unit"), "digest", F.col("r.doc_id").alias("rep"),
+                               F.col("r.text_hash").alias("text_hash"), "bands"), "near-dup-copies")
+    # every row of an id points to its text's smallest id; an id that does so to several links them
+    pointers = cut(signed.where("n_words > 0").select("doc_id", "digest").join(banded.select("digest", "rep"), "digest")
+                   .select("doc_id", "rep"), "near-dup-pointers")
+    several = (pointers.groupBy("doc_id").agg(F.min("rep").alias("__low"), F.max("rep").alias("__high"))
+               .where("__low < __high").select("doc_id"))
+    own_links = pointers.join(several, "doc_id").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).distinct()
+
+    in_bands = banded.select("unit", "rep", F.explode("bands").alias("bucket"))
+    shared = in_bands.groupBy("bucket").agg(F.min("unit").alias("leader"), F.max("unit").alias("__top"),
+                                            F.min_by("rep", "unit").alias("leader_rep"))
     members = cut(in_bands.join(shared.where("leader < __top").drop("__top"), "bucket"), "near-dup-members")
-    wanted = members.select(F.col("id").alias("doc_id")).distinct()
-    # an id on rows with different texts keeps all their shingles' sets; one is enough to compare
-    sets = cut(rows.join(wanted, "doc_id").mapInArrow(
-        frugal(_shingle_sets), "doc_id bigint, shingles binary, times binary").dropDuplicates(["doc_id"]), "near-dup-sets")
+    wanted = (banded.join(members.select("unit").distinct(), "unit", "left_semi")
+              .select(F.col("rep").alias("doc_id"), "text_hash", "unit", "digest"))
+    sets = cut(rows.join(wanted, ["doc_id", "text_hash"]).mapInArrow(
+        frugal(_shingle_sets), "unit bigint, shingles binary, times binary").dropDuplicates(["unit"]), "near-dup-sets")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        a = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("a_set"), F.col("times").alias("a_times"))
-        b = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("b_set"), F.col("times").alias("b_times"))
+        a, b = (sets.select(F.col("unit").alias(s), F.col("shingles").alias(f"{s}_set"), F.col("times").alias(f"{s}_times"))
+                for s in "ab")
         return pairs.join(b, "b").join(a, "a").mapInArrow(frugal(_linked(least)), "a bigint, b bigint")
 
-    first = members.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
-    links = cut(verified(first), "near-dup-links")
+    def ordered(x: str, x_rep: str, y: str, y_rep: str) -> list[Column]:
+        """Two texts as one pair, whichever way round they were met."""
+        swap = F.col(x) > F.col(y)
+        return [F.when(swap, F.col(q)).otherwise(F.col(p)).alias(n) for p, q, n in (
+            (x, y, "a"), (y, x, "b"), (x_rep, y_rep, "a_rep"), (y_rep, x_rep, "b_rep"))]
+
+    # texts of one id are linked by it
+    first = (members.where("unit <> leader and rep <> leader_rep")
+             .select(*ordered("unit", "rep", "leader", "leader_rep")).distinct())
+    links = cut(verified(first).unionByName(own_links), "near-dup-links")
     found = cut(components(links), "near-dup-components")
     for turn in range(1, LEADER_ROUNDS + 2):
-        now = members.select("bucket", "id").join(
-            found.select(F.col("node").alias("id"), "component"), "id", "left").select(
-            "bucket", "id", F.coalesce("component", "id").alias("component"))
+        now = members.select("bucket", "unit", "rep").join(
+            found.select(F.col("node").alias("rep"), "component"), "rep", "left").select(
+            "bucket", "unit", "rep", F.coalesce("component", "rep").alias("component"))
         open_ = now.groupBy("bucket").agg(
             F.min("component").alias("__low"), F.max("component").alias("__high"),
-            F.min_by(F.struct("id", "component"), F.xxhash64("id", "bucket", F.lit(turn))).alias("leader"))
+            F.min_by(F.struct("unit", "rep", "component"), F.xxhash64("unit", "bucket", F.lit(turn))).alias("leader"))
         still = now.join(open_.where("__low < __high"), "bucket")
         if turn > LEADER_ROUNDS:
-            left = cut(still.select("id", "component").distinct(), "near-dup-open")
+            left = cut(still.select("unit", "rep", "component").distinct(), "near-dup-open")
             pairs = None if left.isEmpty() else _candidates(left, sets, least)
         else:
             pairs = (still.where("component <> leader.component")
-                     .select(F.least("id", "leader.id").alias("a"), F.greatest("id", "leader.id").alias("b")).distinct())
+                     .select(*ordered("unit", "rep", "leader.unit", "leader.rep")).distinct())
         if pairs is None:
             break
         new = cut(verified(pairs), "near-dup-links")
@@ -349,20 +391,21 @@ def near_duplicates(docs: DataFrame, text: str = "text", least: float = SIMILARI
             stars = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
             found = cut(components(stars.unionByName(new)), "near-dup-components")
 
-    # ids that stand on rows with different words join those rows' classes
-    by_digest = (signed.where("n_words > 0").join(banded.select("digest", "rep"), "digest")
-                 .join(found.withColumnRenamed("node", "rep"), "rep", "left")
-                 .groupBy("doc_id").agg(F.min(F.coalesce("component", "rep")).alias("class_id")))
+    classes = (pointers.join(found.withColumnRenamed("node", "rep"), "rep", "left")
+               .groupBy("doc_id").agg(F.min(F.coalesce("component", "rep")).alias("class_id")))
     ids = signed.groupBy("doc_id").agg(F.max("n_words").alias("n_words"))
-    return (ids.join(by_digest, "doc_id", "left")
+    return (ids.join(classes, "doc_id", "left")
             .select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"),
                     (F.coalesce("class_id", "doc_id") == F.col("doc_id")).alias("kept"), "n_words"))
 
 
 def keep_one(docs: DataFrame, text: str = "text", least: float = SIMILARITY) -> DataFrame:
     """The documents of which :func:`near_duplicates` keeps one per class, all
-    columns of ``docs``. Of several rows of a kept id one stays. Rows without
-    an id, which no class can name, stay."""
+    columns of ``docs``. Of a kept id one row stays for each of its texts
+    (equal up to case and white space). Rows without an id, which no class can
+    name, stay."""
     kept = near_duplicates(docs, text, least).where("kept").select(F.col("doc_id").alias("__kept"))
     same = docs.join(kept, F.col("doc_id").cast("bigint") == F.col("__kept"))
-    return same.dropDuplicates(["__kept"]).drop("__kept").unionByName(docs.where("doc_id is null"))
+    words = F.xxhash64(F.trim(F.regexp_replace(F.lower(F.coalesce(F.col(text), F.lit(""))), "[\\x20\\x09-\\x0D]+", " ")))
+    return (same.withColumn("__words", words).dropDuplicates(["__kept", "__words"]).drop("__kept", "__words")
+            .unionByName(docs.where("doc_id is null")))
