@@ -37,7 +37,8 @@ SYSTEM, TARGET = "system", "assistant"
 _CONTROL = re.compile(r"\\|###|</turn>")
 _ROLE_CONTROL = re.compile(r"\\|###|</turn>|:")
 _ESCAPED = re.compile(r"\\(\\|###|</turn>|:)")
-_TURN = re.compile(r"### ((?:[^\\:]|\\(?:\\|###|</turn>|:))*): ((?:[^\\<]|<(?!/turn>)|\\(?:\\|###|</turn>))*)</turn>\n",
+# Possessive repeats: the parts can't match in two ways, and the matcher keeps no place to return to per character.
+_TURN = re.compile(r"### ((?:[^\\:]++|\\(?:\\|###|</turn>|:))*+): ((?:[^\\<]++|<(?!/turn>)|\\(?:\\|###|</turn>))*+)</turn>\n",
                    re.S)
 
 
@@ -88,7 +89,9 @@ def windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> D
 
     Turns stand in the order of ``turn``, null first; ties go by role, then
     text; repeated rows are turns of their own. Null roles and texts count as
-    empty. Rows with a null ``conv_id`` form one conversation. The system turn
+    empty. Rows with a null ``conv_id`` form one conversation, which is none
+    that a string id could name. A turn of any length is formatted and read
+    back whole, with a small multiple of its memory. The system turn
     is a conversation's first turn with that role: it keeps its place and is
     repeated in every later window; it counts against the budget only as far
     as half of it. Extra columns are not looked at; an empty table gives no
@@ -96,7 +99,7 @@ def windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> D
     :data:`TURNS_PER_CHUNK` turn numbers, which bound what meets in one task.
     """
     rows = turns.select(
-        "conv_id", F.coalesce(F.col("conv_id").cast("string"), F.lit("null")).alias("__conv"),
+        "conv_id", F.coalesce(F.concat(F.lit("c"), F.col("conv_id").cast("string")), F.lit("null")).alias("__conv"),
         F.col("turn").cast("bigint").alias("turn"), F.coalesce("role", F.lit("")).alias("role"),
         F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.withColumn("n", turn_tokens(F.col("text")))
