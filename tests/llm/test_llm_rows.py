@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -28,6 +29,23 @@ def test_format_and_parse_are_inverse():
             t for role, t, again in turns if role == "assistant" and not again]
 
 
+def test_a_very_long_turn_is_parsed_in_linear_memory():
+    import resource
+
+    text = "long words \\ < </turn> ### é " * 500_000   # 16 million characters with marks to escape
+    formatted, _ = chat.format_turns([("user", text, False)])
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    assert chat.parse_turns(formatted) == [("user", text)]
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 400_000   # kB
+
+
+def test_a_string_id_is_not_the_missing_id(spark):
+    rows = [("null", 0, "user", "a"), (None, 0, "user", "b"), ("", 0, "user", "c")]
+    df = spark.createDataFrame(rows, "conv_id string, turn bigint, role string, text string")
+    back = {r.conv_id: r.turns_sha256 for r in chat.read_back(chat.windows(df)).collect()}
+    assert back == {c: digest([(role, t)])[1] for c, _, role, t in rows}
+
+
 def conversation(n, length=40, system=True):
     turns = [("system", "be kind " * 5)] if system else []
     turns += [("user" if i % 2 == 0 else "assistant", f"t{i} " + "w " * length) for i in range(n)]
@@ -219,16 +237,33 @@ def test_mix_meets_its_targets(spark):
 
 
 def test_mixed_documents(spark):
+    """Documents come whole, once per turn of which the mix takes at least half."""
     rows = [(i, f"a{i}  b c\td", s, 9) for i, s in enumerate("xxxxyyyyz")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, n_chars bigint")
-    took = {r.doc_id: r.taken for r in mixing.taken(docs).collect()}
+    entries, _ = mixing.mix(docs)
+    want = Counter(r.doc_id for r in entries.collect() if 2 * r.words >= r.size)
     out = mixing.apply_mix(docs)
     assert out.columns == docs.columns
-    seen = {}
-    for r in out.collect():
-        assert rows[r.doc_id][1].startswith(r.text) and r.n_chars in (len(r.text), 9)
-        seen[r.doc_id] = seen.get(r.doc_id, 0) + len(r.text.split())
-    assert seen == {d: n for d, n in took.items() if n}
+    got = out.collect()
+    assert all(tuple(r) == rows[r.doc_id] for r in got) and Counter(r.doc_id for r in got) == want
+    assert mixing.apply_mix(docs.where("false")).count() == 0
+
+
+def test_mix_of_many_tiny_sources_keeps_documents_whole(spark):
+    r = random.Random(12)
+    rows = [(i, " ".join(["w"] * r.randrange(1, 30)), f"s{i // 3:02d}" if i < 180 else None) for i in range(186)]
+    rows += [(5, rows[5][1], rows[5][2])] * 2 + [(None, "no id here", "s01"), (900, None, "s01"), (901, "", "s01")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(4)
+    got = mixing.apply_mix(docs).collect()
+    texts = Counter(rows)
+    assert all(tuple(x) in texts for x in got) and max((Counter(map(tuple, got)) - texts - texts).values(), default=0) == 0
+    sizes = Counter()
+    for _, t, s in rows:
+        sizes[s] += len((t or "").split())
+    want, took = plain_targets(sizes), Counter()
+    for x in got:
+        took[x.source] += len(x.text.split())
+    assert all(abs(took[s] - want[s]) <= 15 for s in sizes)   # half of the longest document
 
 
 def test_running_totals_cross_chunks(spark):
@@ -256,7 +291,7 @@ def test_oracles(spark, name):
 
 
 def test_every_operator_is_registered():
-    assert {q.split("_")[0] for q in queries.QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {q.split("_")[0] for q in queries.QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(queries.QUERIES) | {"pipeline"} <= set(E.queries())
 
 

@@ -14,13 +14,10 @@ neither a hot source nor the whole sequence meets in one task.
 
 from __future__ import annotations
 
-import re
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD_PATTERN, cut, n_words, running_totals
+from .common import cut, n_words, running_totals
 
 #: Weights of the sources in code point order (null last), repeating.
 WEIGHTS = (3, 1, 2)
@@ -67,11 +64,11 @@ def targets(sizes: DataFrame, weights=WEIGHTS, budget: float = BUDGET, max_repea
 
 
 def mix(docs: DataFrame, text: str = "text", seed: str = "mix", weights=WEIGHTS,
-        budget: float = BUDGET, max_repeats: int = MAX_REPEATS) -> tuple[DataFrame, DataFrame]:
+        budget: float = BUDGET, max_repeats: int = MAX_REPEATS, row: str | None = None) -> tuple[DataFrame, DataFrame]:
     """The mix of ``docs`` (``doc_id, source, text``): two frames.
 
     * entries, one row per document and turn that the mix takes: ``row`` (a
-      number of the document's row), ``doc_id, source, turn`` (0, 1, ...),
+      number of the document's row, or the column of that name), ``doc_id, source, turn`` (0, 1, ...),
       ``finish`` (virtual finish time), ``position`` (words of the sequence
       before it) and ``words`` (that it gives; less than its size only where
       the budget ends);
@@ -84,9 +81,11 @@ def mix(docs: DataFrame, text: str = "text", seed: str = "mix", weights=WEIGHTS,
     shuffle key and stand in the order of ``row``. An empty table gives empty
     frames. Columns other than the three are not looked at.
     """
-    slim = docs.select("doc_id", "source", n_words(F.col(text)).alias("size"))
-    same = Window.partitionBy("doc_id", "source", "size").orderBy("size")
-    slim = cut(slim.withColumn("row", F.row_number().over(same)), "mix-docs")
+    slim = docs.select("doc_id", "source", n_words(F.col(text)).alias("size"), *([F.col(row).alias("row")] if row else []))
+    if row is None:
+        same = Window.partitionBy("doc_id", "source", "size").orderBy("size")
+        slim = slim.withColumn("row", F.row_number().over(same))
+    slim = cut(slim, "mix-docs")
     sizes = slim.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("source_size"))
     src = targets(sizes, weights, budget, max_repeats)
     src = src.withColumn("__source", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("null")))
@@ -132,45 +131,14 @@ def taken(docs: DataFrame, **options) -> DataFrame:
                        F.coalesce("b.taken", F.lit(0)).cast("bigint").alias("taken"))
 
 
-_WORD = re.compile(WORD_PATTERN)
-
-
-def _first_words(texts: pd.Series, counts: pd.Series) -> list[str | None]:
-    """Each text up to the end of its n-th word; null stays null."""
-    out = []
-    for text, n in zip(texts, counts):
-        end = 0
-        if text is not None:
-            for k, m in enumerate(_WORD.finditer(text), 1):
-                end = m.end()
-                if k >= n:
-                    break
-        out.append(None if text is None else text[:end])
-    return out
-
-
 def apply_mix(docs: DataFrame, text: str = "text", **options) -> DataFrame:
-    """The mixed documents, with the columns of ``docs``: a document taken
-    twice is there twice, and one that the budget cuts has its first words
-    only (``n_chars`` follows where it is a column). The rows are range-sorted
-    into the order of the mix."""
-    entries, _ = mix(docs, text, **options)
-    same = Window.partitionBy("doc_id", "source", "__size").orderBy(text)
-    rows = (docs.withColumn("__size", n_words(F.col(text))).withColumn("__row", F.row_number().over(same)))
-    a, b = rows.alias("a"), entries.alias("b")
-    both = a.join(b, F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & F.col("a.source").eqNullSafe(F.col("b.source"))
-                  & (F.col("a.__size") == F.col("b.size")) & (F.col("a.__row") == F.col("b.row")))
-
-    @F.pandas_udf("string")
-    def first_words(texts: pd.Series, counts: pd.Series) -> pd.Series:
-        return pd.Series(_first_words(texts, counts), index=texts.index, dtype=object)
-
-    partial = F.col("b.words") < F.col("a.__size")
-    part = first_words(F.when(partial, F.col(f"a.`{text}`")), F.col("b.words"))
-    both = both.select(*[F.col(f"a.`{c}`") for c in docs.columns], F.col("b.position").alias("__position"),
-                       partial.alias("__partial"), part.alias("__part"))
-    out = both.withColumn(text, F.when(F.col("__partial"), F.col("__part")).otherwise(F.col(f"`{text}`")))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("__partial"), F.length(text).cast(docs.schema["n_chars"].dataType))
-                             .otherwise(F.col("n_chars")))
-    return out.orderBy("__position").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The mixed documents, whole, with the columns of ``docs``: a document
+    taken twice is there twice. Where a target or the budget ends inside a
+    document, it is there if at least half of it was to be taken: each source
+    ends at the document whose end is nearer to its target. The rows are
+    range-sorted into the order of the mix; only this sort and the join with
+    the mix move texts."""
+    numbered = cut(docs.withColumn("__row", F.monotonically_increasing_id()), "mix-texts")
+    entries, _ = mix(numbered, text, row="__row", **options)
+    chosen = entries.where(2 * F.col("words") >= F.col("size")).select(F.col("row").alias("__row"), F.col("position").alias("__at"))
+    return numbered.join(chosen, "__row").orderBy("__at").select(*[F.col(f"`{c}`") for c in docs.columns])
