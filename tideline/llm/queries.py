@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,10 +13,9 @@ from ..session import scratch_path
 from . import (bpe, chat, chat_repair, embedding_dedup, exact_dedup, licenses, line_quality, mixing, near_dup,
                token_alignment, toxicity, training_order, url_filter)
 
-#: Folder of the public tokenizers' vocabulary files.
-TOKENIZERS = "/opt/tokenizers"
-BPE_FILE = f"{TOKENIZERS}/byte_bpe_50k.json"
-PIECE_FILE = f"{TOKENIZERS}/piece_bpe_32k.model"
+#: The public tokenizers' vocabulary files.
+BPE_FILE = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_FILE = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,9 +30,9 @@ def op1_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents written as shards in training order and read back: every
     slot with its sequence's number and digest."""
-    docs = table(spark, sf_dir, "documents").select("text")
+    docs = table(spark, sf_dir, "documents").select("text", "_metadata.file_path", "_metadata.file_block_start")
     folder = scratch_path(spark, f"order-shards-{uuid.uuid4().hex}")
-    manifest = training_order.write_shards(docs, BPE_FILE, folder)
+    manifest = training_order.write_shards(docs, BPE_FILE, folder, place=("file_path", "file_block_start"))
     n = manifest.agg(F.sum("n_sequences").alias("n")).collect()[0]["n"] or 0
     if not n:
         return spark.createDataFrame([], "slot bigint, sequence bigint, shard bigint, ids_sha256 string")

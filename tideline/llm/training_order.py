@@ -84,23 +84,34 @@ def _end_token(t: bpe.Tokenizer) -> int:
     return next(iter(t.special.values()))
 
 
-def tokens(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
-    """``part, start, n, ids``: each document's ids, 16 bits each with the end
-    token, and where it stands in the stream of its part of the scan."""
+def tokens(docs: DataFrame, path: str, text: str = "text", place: tuple[str, str] | None = None) -> DataFrame:
+    """``file, first, start, n, ids``: each document's ids, 16 bits each with
+    the end token, and where it stands in the stream of its run. A run is a
+    piece of a file that the scan reads in one go, ``first`` where it begins:
+    ``place`` names the columns of both. Without them a run is a part of the scan."""
+    kept = [F.col(text).alias("text")]
+    kept += [F.col(place[0]).alias("file"), F.col(place[1]).cast("bigint").alias("first")] if place else []
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = bpe.tokenizer(path)
         end = _end_token(t)
-        part, at = TaskContext.get().partitionId(), 0
-        for _, rows in t.encode_texts(bpe._chunks(batches, "text"), KEEP_WORDS):
+        now, at = ("", TaskContext.get().partitionId()), 0
+        for batch, rows in t.encode_texts(bpe._chunks(batches, "text"), KEEP_WORDS):
             packed = [np.append(r, end).astype("<u2").tobytes() for r in rows]
-            n = np.array([len(p) // 2 for p in packed], np.int64)
-            starts = at + np.cumsum(n) - n
-            at += int(n.sum())
+            files, firsts, starts = [], [], []
+            for k, raw in enumerate(packed):
+                if place and (own := (batch.column("file")[k].as_py(), batch.column("first")[k].as_py())) != now:
+                    now, at = own, 0
+                files.append(now[0])
+                firsts.append(now[1])
+                starts.append(at)
+                at += len(raw) // 2
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(n), part, np.int32)), pa.array(starts), pa.array(n), pa.array(packed, pa.binary())],
-                ["part", "start", "n", "ids"])
+                [pa.array(files, pa.string()), pa.array(firsts, pa.int64()), pa.array(starts, pa.int64()),
+                 pa.array([len(p) // 2 for p in packed], pa.int64()), pa.array(packed, pa.binary())],
+                ["file", "first", "start", "n", "ids"])
 
-    return docs.select(F.col(text).alias("text")).mapInArrow(frugal(run), "part int, start bigint, n bigint, ids binary")
+    return docs.select(*kept).mapInArrow(frugal(run), "file string, first bigint, start bigint, n bigint, ids binary")
 
 
 def filesystem(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
@@ -110,13 +121,16 @@ def filesystem(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
 
 
 def write_shards(docs: DataFrame, path: str, folder: str, text: str = "text", sequence: int = SEQUENCE,
-                 per_shard: int = PER_SHARD, key: str = KEY) -> DataFrame:
+                 per_shard: int = PER_SHARD, key: str = KEY, place: tuple[str, str] | None = None) -> DataFrame:
     """Write the shards of ``docs`` into the shared ``folder`` and return their
     manifest: ``shard, first_slot, n_sequences, n_bytes, sha256``.
 
-    Documents stand in the stream in the order of the scan (the table's files
-    and rows), so a table gives the same shards on every run. The last
-    sequence is filled up with end tokens. Null and empty texts are documents
+    With ``place``, the columns of a row's file and of the place in it where
+    the piece begins that the scan reads in one go (``_metadata.file_path`` and
+    ``_metadata.file_block_start``), documents stand in the stream in the order
+    of files and rows: a table gives the same shards on every run, however a
+    cluster splits the scan, so a run can be resumed on another one. Without it they stand in the order of the scan's parts, which
+    follows the cluster's size. The last sequence is filled up with end tokens. Null and empty texts are documents
     of an end token alone; repeated rows are there repeatedly; extra columns
     are not looked at. An empty table has no shards and an empty manifest.
 
@@ -125,10 +139,10 @@ def write_shards(docs: DataFrame, path: str, folder: str, text: str = "text", se
     """
     spark = docs.sparkSession
     stream = cut(tokens(docs, path, text), "order-tokens")
-    # one row per part of the scan, so every task can hold them
-    parts = stream.groupBy("part").agg(F.sum("n").alias("n"))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    bases = parts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    # one row per piece of the scan, so every task can hold them
+    parts = stream.groupBy("file", "first").agg(F.sum("n").alias("n"))
+    before = Window.orderBy("file", "first").rowsBetween(Window.unboundedPreceding, -1)
+    bases = parts.select("file", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     total = parts.agg(F.sum("n").alias("n")).collect()[0]["n"] or 0
     n_sequences = -(-total // sequence)
     if not n_sequences:
@@ -154,7 +168,7 @@ def write_shards(docs: DataFrame, path: str, folder: str, text: str = "text", se
             yield pa.RecordBatch.from_arrays(
                 [pa.array(slots), pa.array(places, pa.int32()), pa.array(pieces, pa.binary())], ["slot", "place", "ids"])
 
-    pieces = stream.join(F.broadcast(bases), "part").select("base", "start", "ids").mapInArrow(
+    pieces = stream.join(F.broadcast(bases), ["file", "first"]).select("base", "start", "ids").mapInArrow(
         frugal(cut_up), "slot bigint, place int, ids binary")
     n_shards = -(-n_sequences // per_shard)
     tasks = -(-n_shards // SHARDS_PER_TASK)
