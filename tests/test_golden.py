@@ -287,17 +287,18 @@ def test_level_jump_ttl(spark):
 
 
 def test_running_row_count(spark):
-    df = sensor_df(spark, [("s1", i, i) for i in range(6)])
-    got = [(r.shard, r.cnt) for r in keyed.running_row_count(df, 2).orderBy("seq").collect()]
-    assert got == [(1, 1), (0, 1), (1, 2), (0, 2), (1, 3), (0, 3)]
-
-
-def test_watermark_partitioned(spark):
-    # partition = pmod(vc, 2); one partition silent -> nothing is late
-    df = sensor_df(spark, [("s", 20, 2), ("s", 1, 4), ("s", 30, 3), ("s", 2, 6)])
-    got = sorted((r.key, r.window_start, r.cnt) for r in lateness.watermark_partitioned(df, 2, "vc", 10, 3).collect())
-    # after seq 3 both partitions seen: wm = min(20, 30) - 3 = 17 -> ts 2 (window end 10) is dropped
-    assert got == [(0, 30, 1), (1, 0, 1), (2, 20, 1)]
+    df = sensor_df(spark, [("b", 1, 1), ("a", 1, 1), ("b", 1, 1), (None, 1, 1), ("a", 1, 1), (None, 1, 1)])
+    got = [(r.id, r.cnt) for r in keyed.running_row_count(df).orderBy("seq").collect()]
+    assert got == [("b", 1), ("a", 1), ("b", 2), (None, 1), ("a", 2), (None, 2)]
+
+
+def test_watermark_of_several_sources(spark):
+    # the source is the id; while one is silent nothing is late
+    rows = [("a", 20, 2), ("a", 1, 4), ("b", 30, 3), ("a", 2, 6), (None, 3, 1), (None, 18, 1)]
+    df = sensor_df(spark, rows).withColumnRenamed("id", "source").withColumn("id", F.lit("k"))
+    got = sorted((r.id, r.window_start, r.cnt) for r in lateness.watermark_partitioned(df, "source", ("a", "b"), 10, 3).collect())
+    # after seq 3 both have been seen: wm = min(20, 30) - 3 = 17 -> ts 2 and 3 (window end 10) are late
+    assert got == [("k", 0, 1), ("k", 10, 1), ("k", 20, 1), ("k", 30, 1)]
 
 
 def test_register_functions_for_sql(spark):

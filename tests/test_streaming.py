@@ -281,7 +281,7 @@ def test_running_row_count_survives_restart(spark):
     run()
     got = {r.seq: r.cnt for r in spark.read.parquet(out).collect()}
     want = {r.seq: r.cnt for r in keyed.running_row_count(
-        spark.range(0, 10).select(F.col("id").alias("seq")), 2).collect()}
+        spark.range(0, 10).select(F.col("id").alias("seq"), F.pmod("id", F.lit(2)).alias("shard")), "shard").collect()}
     assert got == want
 
 

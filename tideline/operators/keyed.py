@@ -79,13 +79,9 @@ def running_avg(df: DataFrame, key: str = "id", order: str = "seq",
     return s.select(key, "ts", "vc", order, (F.col("__s").cast("double") / F.col("__n")).alias("vc_avg"))
 
 
-def running_row_count(df: DataFrame, num_shards: int = 2, order: str = "seq",
-                      shard: str | None = None, chunk_width: int = DEFAULT_CHUNK_WIDTH) -> DataFrame:
-    """Operator list state: each parallel instance counts the rows it has
-    seen and emits the count after every row. The instance is explicit
-    (``shard``, default ``pmod(seq, n)``), so a restart that re-splits the
-    work gives the same numbers."""
-    sh = F.col(shard) if shard else F.pmod(F.col(order), F.lit(num_shards))
-    d = df.withColumn("shard", sh.cast("int"))
-    s = prefix_scan(d, order, [Scan("cnt", F.lit(1), "count")], "shard", chunk_width=chunk_width)
-    return s.select("shard", order, "cnt")
+def running_row_count(df: DataFrame, key: str = "id", order: str = "seq",
+                      chunk_width: int = DEFAULT_CHUNK_WIDTH) -> DataFrame:
+    """The count of the rows of ``key`` so far, after every row. The stream
+    form keeps the counts in its state, so they go on after a restart."""
+    s = prefix_scan(df, order, [Scan("cnt", F.lit(1), "count")], key, chunk_width=chunk_width)
+    return s.select(key, order, "cnt")

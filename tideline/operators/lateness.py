@@ -1,5 +1,5 @@
-"""Per-record watermark replay: late data, allowed lateness, partitioned
-watermarks, late rows of an interval join.
+"""Per-record watermark replay: late data, allowed lateness, watermarks per
+source, late rows of an interval join.
 
 A streaming engine decides lateness against the watermark *at the moment a
 row arrives*. Replaying that on a table needs, for every row, the maximum
@@ -18,6 +18,8 @@ Rules (event time in whole seconds, watermark = max seen - delay):
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -105,29 +107,21 @@ def allowed_lateness(df: DataFrame, size_s: int = 10, delay_s: int = 3, lateness
             .agg(F.max("cnt").alias("cnt"), F.max_by("__run_vc", order).alias("vc")))
 
 
-def watermark_partitioned(df: DataFrame, num_partitions: int = 2, partition_key: str = "vc",
-                          size_s: int = 10, delay_s: int = 3, order: str = "seq",
-                          chunk_width: int = DEFAULT_CHUNK_WIDTH) -> DataFrame:
-    """Windows keyed by ``vc % 3`` behind a custom partitioner
-    (``pmod(vc, n)``) whose partitions each carry their own watermark; the
-    window operator uses the minimum over partitions. A partition that has
-    seen nothing yet holds the minimum at -infinity (nothing is late)."""
-    part = F.pmod(F.col(partition_key), F.lit(num_partitions))
-    d = df.withColumn("__part", part)
-    scans = [Scan(f"__max_p{p}", F.when(F.col("__part") == p, F.col("ts")), "max", inclusive=False)
-             for p in range(num_partitions)]
-    s = prefix_scan(d, order, scans, chunk_width=chunk_width)
-    any_missing = None
-    for p in range(num_partitions):
-        m = F.col(f"__max_p{p}").isNull()
-        any_missing = m if any_missing is None else (any_missing | m)
-    wm = F.when(any_missing, F.lit(None)).otherwise(
-        F.least(*[F.col(f"__max_p{p}") for p in range(num_partitions)]) - F.lit(delay_s))
+def watermark_partitioned(df: DataFrame, source: str, sources: Sequence[str], size_s: int = 10, delay_s: int = 3,
+                          key: str = "id", order: str = "seq", chunk_width: int = DEFAULT_CHUNK_WIDTH) -> DataFrame:
+    """Tumbling windows per ``key`` over rows of several sources, each with a
+    watermark of its own: the least of the declared ``sources``' watermarks
+    (max seen - delay) decides what is late. While one of them has no rows yet
+    nothing is late. Rows of other or null sources move no watermark but are
+    judged by it; late rows are left out."""
+    names = [f"__max_{i}" for i in range(len(sources))]
+    s = prefix_scan(df, order, [Scan(n, F.when(F.col(source) == v, F.col("ts")), "max", inclusive=False)
+                                for n, v in zip(names, sources)], chunk_width=chunk_width)
+    seen = F.array(*[F.col(n) for n in names])
+    wm = F.when(F.forall(seen, lambda m: m.isNotNull()), F.array_min(seen) - F.lit(delay_s))
     s = assign_tumbling(s.withColumn("wm", wm), size_s)
-    on_time = s.where(F.col("wm").isNull() | (F.col("wm") < F.col("window_end")))
-    keyed = on_time.withColumn("key", (F.col(partition_key) % 3).cast("int"))
-    return (keyed.groupBy("key", "window_start", "window_end")
-            .agg(F.count(F.lit(1)).alias("cnt"), F.sum("vc").alias("vc")))
+    return (s.where(F.col("wm").isNull() | (F.col("wm") < F.col("window_end")))
+            .groupBy(key, "window_start", "window_end").agg(F.count(F.lit(1)).alias("cnt"), F.sum("vc").alias("vc")))
 
 
 def two_input_lateness(left: DataFrame, right: DataFrame, delay_s: int = 3, order: str = "seq",

@@ -476,16 +476,20 @@ def q_watermark_bounded(spark, sf):
     return lateness.watermark_bounded(I.arrivals(spark, sf), LATE_WINDOW, LATE_DELAY)
 
 
+_SOURCES = ("click", "error", "purchase", "signup", "view")
+_SOURCE_MAX = ", ".join(f"max(CASE WHEN event_type = '{v}' THEN ts END) OVER w AS m{i}" for i, v in enumerate(_SOURCES))
+_EACH = [f"m{i}" for i in range(len(_SOURCES))]
+
+
 @register("watermark_partitioned", with_ctes(f"""
-SELECT CAST(vc % 3 AS INTEGER) AS key, window_start, window_end, count(*) AS cnt, CAST(sum(vc) AS BIGINT) AS vc FROM (
-  SELECT *, CASE WHEN m0 IS NULL OR m1 IS NULL THEN NULL ELSE least(m0, m1) - {LATE_DELAY} END AS wm FROM (
-    SELECT id, ts, vc, seq, ts - ts % {LATE_WINDOW} AS window_start, ts - ts % {LATE_WINDOW} + {LATE_WINDOW} AS window_end,
-      max(CASE WHEN ((vc % 2) + 2) % 2 = 0 THEN ts END) OVER w AS m0,
-      max(CASE WHEN ((vc % 2) + 2) % 2 = 1 THEN ts END) OVER w AS m1
-    FROM arrivals WINDOW w AS (ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)))
-WHERE wm IS NULL OR wm < window_end GROUP BY 1, 2, 3""", "arrivals"))
+SELECT id, window_start, window_end, count(*) AS cnt, CAST(sum(vc) AS BIGINT) AS vc FROM (
+  SELECT *, CASE WHEN {" OR ".join(f"{m} IS NULL" for m in _EACH)} THEN NULL ELSE least({", ".join(_EACH)}) - {LATE_DELAY} END AS wm
+  FROM (SELECT *, ts - ts % {LATE_WINDOW} AS window_start, ts - ts % {LATE_WINDOW} + {LATE_WINDOW} AS window_end, {_SOURCE_MAX}
+        FROM arrivals_typed WINDOW w AS (ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)))
+WHERE wm IS NULL OR wm < window_end GROUP BY 1, 2, 3""", "arrivals_typed"))
 def q_watermark_partitioned(spark, sf):
-    return lateness.watermark_partitioned(I.arrivals(spark, sf), 2, "vc", LATE_WINDOW, LATE_DELAY)
+    """The event types are the sources."""
+    return lateness.watermark_partitioned(I.sensor_typed(spark, sf, arrival=True), "event_type", _SOURCES, LATE_WINDOW, LATE_DELAY)
 
 
 @register("allowed_lateness", with_ctes(f"""
@@ -610,10 +614,10 @@ def q_running_avg(spark, sf):
 
 
 @register("running_row_count", with_ctes(
-    "SELECT CAST(((seq % 2) + 2) % 2 AS INTEGER) AS shard, seq, count(*) OVER (PARTITION BY ((seq % 2) + 2) % 2 "
-    "ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cnt FROM arrivals", "arrivals"))
+    "SELECT event_type, seq, count(*) OVER (PARTITION BY event_type ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING "
+    "AND CURRENT ROW) AS cnt FROM arrivals_typed", "arrivals_typed"))
 def q_running_row_count(spark, sf):
-    return keyed.running_row_count(I.arrivals(spark, sf), 2)
+    return keyed.running_row_count(I.sensor_typed(spark, sf, arrival=True), "event_type")
 
 
 # ---------------------------------------------------------- functions (2.8)
