@@ -117,6 +117,20 @@ def test_line_field_gradient_finds_the_labels():
     assert field.content_share(*line_quality.line_features("")) == 0.0
 
 
+def test_line_field_is_fitted_on_documents_that_are_there(spark):
+    """Labels of absent and empty documents take no place in the sample, and
+    conflicting or repeated labels are one label."""
+    r = random.Random(31)
+    prose = [" ".join(r.choice(["river", "stone", "walk", "green", "open"]) for _ in range(12)) + "." for _ in range(40)]
+    docs = [(i, "\n".join(r.sample(prose, 4)) if i % 2 else "\n".join(["MENU | LOGIN | 4%"] * 5)) for i in range(40)]
+    labels = [(i, i % 2) for i, _ in docs] + [(k, k % 2) for k in range(1000, 3000)] + [(50, 1), (51, 0)]
+    labels += [(1, 1), (3, 0)]     # told twice; told both ways
+    frame = spark.createDataFrame([*docs, (50, None), (51, None)], "doc_id bigint, text string")
+    field = line_quality.train(frame, spark.createDataFrame(labels, "doc_id bigint, quality int"), fit_docs=20)
+    judged = {x.doc_id: x.content_share for x in line_quality.judge(frame, field).collect()}
+    assert all((judged[i] > 0.5) == bool(i % 2) for i, _ in docs)
+
+
 def test_quality_edges_and_held_out_rows(spark):
     labels = queries.table(spark, "/root/testdata/sf0.01", "labels")
     docs = queries.table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text")

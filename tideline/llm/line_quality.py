@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import frugal, without
+from .common import cut, frugal, without
 
 #: Labelled documents of each class, and lines of a document, that the fit takes at most.
 FIT_DOCS = 600
@@ -193,13 +193,18 @@ def fit_field(docs: list[tuple[np.ndarray, int]], steps: int = 150, rate: float
 def train(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "quality",
           fit_docs: int = FIT_DOCS, fit_lines: int = FIT_LINES) -> LineField:
     """Fit the field on at most ``fit_docs`` documents of each class of at most
-    ``fit_lines`` lines each, the first in the order of a hash of their ids.
-    Only these documents' line features come to the driver."""
+    ``fit_lines`` lines each, the first in the order of a hash of their ids,
+    of the labelled documents that have a text. A document with both labels
+    counts as the lower one. Only these documents' line features come to the
+    driver. Without documents of both classes the field keeps every line."""
     mark = F.xxhash64(F.col("doc_id").cast("string"))
+    marks = labels.where(F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.min(label).alias("__label"))
+    # only ids are shuffled, no texts
+    with_text = docs.where(F.col(text).isNotNull()).select("doc_id").distinct()
+    marks = cut(marks.join(with_text, "doc_id", "left_semi"), "quality-marks")
     ids = None
     for value in (0, 1):
-        part = (labels.where(F.col(label) == value).select("doc_id", F.col(label).alias("__label"))
-                .dropDuplicates(["doc_id"]).orderBy(mark, "doc_id").limit(fit_docs))
+        part = marks.where(F.col("__label") == value).orderBy(mark, "doc_id").limit(fit_docs)
         ids = part if ids is None else ids.unionByName(part)
     # bounded by 2 * fit_docs rows of an id and a label
     rows = docs.select("doc_id", F.col(text).alias("__text")).join(F.broadcast(ids), "doc_id")
