@@ -300,8 +300,9 @@ def test_an_id_links_the_classes_of_its_texts(spark):
 
 
 def test_candidates_meet_once(spark):
-    """Of texts that share many rare shingles each pair is formed once, also
-    when the shingles' rows are spread over a grid of tasks."""
+    """Of texts that share many rare shingles each pair is given once and no
+    link is missing, also when the shingles' rows are spread over a grid of
+    tasks and prefixes are made a few at a time."""
     r = random.Random(23)
     base = r.sample(range(10 ** 6), 60)
     sets = {u: np.array(sorted({*r.sample(base, 58 if u % 2 else 53), *r.sample(range(10 ** 6, 2 * 10 ** 6), 2)}), "<u4")
@@ -309,13 +310,13 @@ def test_candidates_meet_once(spark):
     left = spark.createDataFrame([(u, u + 100, u) for u in sets], "unit bigint, rep bigint, component bigint")
     shingle = spark.createDataFrame([(u, bytearray(x.tobytes()), None) for u, x in sets.items()],
                                     "unit bigint, shingles binary, times binary")
-    real = near_dup.SHINGLE_ROWS
+    real = near_dup.SHINGLE_ROWS, near_dup.PREFIX_ROWS, near_dup.BEFORE
     found = []
     try:
-        for near_dup.SHINGLE_ROWS in (real, 10):
+        for near_dup.SHINGLE_ROWS, near_dup.PREFIX_ROWS, near_dup.BEFORE in (real, (10, 20, 2)):
             found.append(sorted((x.a, x.b, x.a_rep, x.b_rep) for x in near_dup._candidates(left, shingle, 0.8).collect()))
     finally:
-        near_dup.SHINGLE_ROWS = real
+        near_dup.SHINGLE_ROWS, near_dup.PREFIX_ROWS, near_dup.BEFORE = real
     pairs = [tuple(sorted(x[:2])) for x in found[0]]
     assert len(pairs) == len(set(pairs)) and {tuple(sorted(x[:2])) for x in found[1]} == set(pairs)
     assert all(x[2:] == (x[0] + 100, x[1] + 100) for f in found for x in f)

@@ -16,8 +16,8 @@
    leaders, drawn anew.
 5. What is then left in buckets of several components is finished exactly: a
    prefix filter on the rarest shingles finds every pair that can be a link,
-   once, at the first shingle that both prefixes hold, and those in different
-   components are compared. A shingle of very many documents is spread over a
+   nearly always once, at the first shingle that both prefixes hold, and those
+   in different components are compared. A shingle of very many documents is spread over a
    grid of tasks.
 
 What is compared are distinct texts (a number per digest); what links join are
@@ -55,6 +55,8 @@ LEADER_ROUNDS = 1
 COUNT_SLOTS = 1 << 20
 #: Rows of one shingle that a task of the exact finish meets.
 SHINGLE_ROWS = 8192
+#: Items before it that a row of a prefix carries, and rows made at a time.
+BEFORE, PREFIX_ROWS = 8, 100_000
 #: Bytes of text whose signatures are made together.
 SLICE_BYTES = 4_000_000
 
@@ -257,23 +259,39 @@ def prefix(items: np.ndarray, weights: np.ndarray | None, ranks: np.ndarray, lea
 
 
 def _prefixes(ranks: bytes, least: float):
-    """A row per item of each set's prefix, with the items before it."""
+    """A row per item of each set's prefix, with the few items before it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank = np.frombuffer(ranks, np.uint8)
         for batch in batches:
-            tokens, inverses = [], []
-            for cell, times in zip(batch.column("shingles"), batch.column("times")):
+            tokens, inverses, of, made = [], [], [], 0
+
+            def packed() -> pa.RecordBatch:
+                starts = np.concatenate([np.arange(len(t)) for t in tokens])
+                flat = np.concatenate(tokens)
+                # the items before the k-th of a set are the flat array's items before it
+                lens = np.minimum(starts, BEFORE)
+                at = np.repeat(np.arange(len(flat)) - lens, lens) + np.arange(lens.sum()) - np.repeat(np.cumsum(lens) - lens, lens)
+                before = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(lens)]).astype(np.int32),
+                                                  pa.array(flat[at].astype(np.uint32).view(np.int32)))
+                rows = pa.array(np.repeat(of, [len(t) for t in tokens]))
+                return pa.RecordBatch.from_arrays(
+                    [pa.array(flat), pa.array(np.concatenate(inverses)), before,
+                     *(batch.column(c).take(rows) for c in ("unit", "rep", "component"))],
+                    ["token", "inverse", "before", "unit", "rep", "component"])
+
+            for k, (cell, times) in enumerate(zip(batch.column("shingles"), batch.column("times"))):
                 items = np.frombuffer(cell.as_buffer(), "<u4")
                 weights = np.frombuffer(times.as_buffer(), "<u4") if times.is_valid else None
                 token, inverse = prefix(items, weights, rank[_slots(items)], least)
                 tokens.append(token.astype(np.int64))
                 inverses.append(inverse)
-            of = pa.array(np.repeat(np.arange(len(tokens)), [len(x) for x in tokens]))
-            before = pa.array([t[:k] for t in tokens for k in range(len(t))], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(tokens)), pa.array(np.concatenate(inverses)), before,
-                 *(batch.column(c).take(of) for c in ("unit", "rep", "component"))],
-                ["token", "inverse", "before", "unit", "rep", "component"])
+                of.append(k)
+                made += len(token)
+                if made >= PREFIX_ROWS:
+                    yield packed()
+                    tokens, inverses, of, made = [], [], [], 0
+            if tokens:
+                yield packed()
 
     return run
 
@@ -281,10 +299,11 @@ def _prefixes(ranks: bytes, least: float):
 def _candidates(left: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """``a, b, a_rep, b_rep``: all pairs of the texts of ``left`` (``unit, rep,
     component``) in different components that can be similar enough, by
-    :func:`prefix`, each once. Of a shingle's texts only those pairs are
-    formed: one side is in the first half of the inverses' range, of the
-    shingle's largest component no two meet, and no shingle before it is in
-    both prefixes -- there the pair has met already, as the inverses only grow."""
+    :func:`prefix`. Of a shingle's texts only those pairs are formed: one side
+    is in the first half of the inverses' range, of the shingle's largest
+    component no two meet, and none of the few items before the shingle is the
+    same in both prefixes -- a pair that shares one has met there or earlier,
+    as the inverses only grow."""
     spark = left.sparkSession
     own = cut(left.join(sets, "unit"), "near-dup-open-sets")
     counts = own.select("shingles").mapInArrow(frugal(_slot_counts), "slot bigint, n bigint").groupBy("slot").agg(
@@ -292,7 +311,7 @@ def _candidates(left: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     ranks = np.zeros(COUNT_SLOTS, np.uint8)
     ranks[counts.column("slot").to_numpy()] = np.minimum(255, 6 * np.log2(counts.column("n").to_numpy()))
     rows = cut(own.mapInArrow(frugal(_prefixes(ranks.tobytes(), least)),
-                              "token bigint, inverse double, before array<bigint>, unit bigint, rep bigint, component bigint"),
+                              "token bigint, inverse double, before array<int>, unit bigint, rep bigint, component bigint"),
                "near-dup-prefixes")
     both = 1 + 1 / least + 1e-9
     tokens = (rows.groupBy("token", "component").agg(F.count(F.lit(1)).alias("n"), F.min("inverse").alias("inverse"))
@@ -311,7 +330,10 @@ def _candidates(left: DataFrame, sets: DataFrame, least: float) -> DataFrame:
         (F.col("a_component") != F.col("b_component")) & (F.col("a_inverse") + F.col("b_inverse") <= both)
         & ((2 * F.col("b_inverse") > both) | (F.col("a_unit") < F.col("b_unit")))   # both in the first half: one way round
         & ~F.arrays_overlap("a_before", "b_before"))
-    return meet.select(F.col("a_unit").alias("a"), F.col("b_unit").alias("b"), "a_rep", "b_rep")
+    swap = F.col("a_unit") > F.col("b_unit")
+    either = lambda p, q: F.when(swap, F.col(q)).otherwise(F.col(p))
+    return meet.select(either("a_unit", "b_unit").alias("a"), either("b_unit", "a_unit").alias("b"),
+                       either("a_rep", "b_rep").alias("a_rep"), either("b_rep", "a_rep").alias("b_rep")).distinct()
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", least: float = SIMILARITY) -> DataFrame:
