@@ -299,6 +299,17 @@ def test_an_id_links_the_classes_of_its_texts(spark):
     assert {x.doc_id: x.class_id for x in near_dup.near_duplicates(docs).collect()} == {1: 1, 2: 1, 5: 1, 6: 1}
 
 
+def test_bitmaps_never_hide_what_two_sets_share():
+    r = np.random.default_rng(5)
+    for n in (1, 5, 60, 500, 5000):
+        base = r.integers(0, 1 << 32, n, dtype=np.uint64).astype("<u4")
+        a, b = (np.unique(np.concatenate([base[: n - n // k], r.integers(0, 1 << 32, n // k, dtype=np.uint64).astype("<u4")]))
+                for k in (4, 7))
+        alone = sum(int(x).bit_count() for x in (near_dup.bitmap(a).view(np.uint64) & ~near_dup.bitmap(b).view(np.uint64)))
+        assert alone <= len(np.setdiff1d(a, b))
+        assert n != 60 or alone > 5
+
+
 def test_candidates_meet_once(spark):
     """Of texts that share many rare shingles each pair is given once and no
     link is missing, also when the shingles' rows are spread over a grid of

@@ -57,6 +57,8 @@ COUNT_SLOTS = 1 << 20
 SHINGLE_ROWS = 8192
 #: Items before it that a row of a prefix carries, and rows made at a time.
 BEFORE, PREFIX_ROWS = 8, 100_000
+#: 64-bit words of the bitmap of a set's items that such a row carries.
+BITMAP = 8
 #: Bytes of text whose signatures are made together.
 SLICE_BYTES = 4_000_000
 
@@ -258,12 +260,22 @@ def prefix(items: np.ndarray, weights: np.ndarray | None, ranks: np.ndarray, lea
     return items[order[:n]], inverse[:n]
 
 
+def bitmap(items: np.ndarray) -> np.ndarray:
+    """A bit per item, by its hash. A bit that another set's bitmap hasn't got
+    stands for at least one item that the other set hasn't got."""
+    at = mix64(items.astype(np.uint64) ^ _GOLD) % np.uint64(64 * BITMAP)
+    bits = np.zeros(64 * BITMAP, np.uint8)
+    bits[at.astype(np.int64)] = 1
+    return np.packbits(bits).view(np.int64)
+
+
 def _prefixes(ranks: bytes, least: float):
-    """A row per item of each set's prefix, with the few items before it."""
+    """A row per item of each set's prefix, with the few items before it, the
+    set's bitmap and the least share of weight that one of its items has."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank = np.frombuffer(ranks, np.uint8)
         for batch in batches:
-            tokens, inverses, of, made = [], [], [], 0
+            tokens, inverses, of, bits, shares, made = [], [], [], [], [], 0
 
             def packed() -> pa.RecordBatch:
                 starts = np.concatenate([np.arange(len(t)) for t in tokens])
@@ -273,11 +285,15 @@ def _prefixes(ranks: bytes, least: float):
                 at = np.repeat(np.arange(len(flat)) - lens, lens) + np.arange(lens.sum()) - np.repeat(np.cumsum(lens) - lens, lens)
                 before = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(lens)]).astype(np.int32),
                                                   pa.array(flat[at].astype(np.uint32).view(np.int32)))
-                rows = pa.array(np.repeat(of, [len(t) for t in tokens]))
+                counts = [len(t) for t in tokens]
+                rows = pa.array(np.repeat(of, counts))
+                bitmaps = np.repeat(np.array(bits), counts, axis=0)
                 return pa.RecordBatch.from_arrays(
                     [pa.array(flat), pa.array(np.concatenate(inverses)), before,
+                     pa.ListArray.from_arrays(np.arange(len(flat) + 1, dtype=np.int32) * BITMAP, bitmaps.ravel()),
+                     pa.array(np.repeat(np.array(shares), counts)),
                      *(batch.column(c).take(rows) for c in ("unit", "rep", "component"))],
-                    ["token", "inverse", "before", "unit", "rep", "component"])
+                    ["token", "inverse", "before", "bits", "share", "unit", "rep", "component"])
 
             for k, (cell, times) in enumerate(zip(batch.column("shingles"), batch.column("times"))):
                 items = np.frombuffer(cell.as_buffer(), "<u4")
@@ -286,23 +302,34 @@ def _prefixes(ranks: bytes, least: float):
                 tokens.append(token.astype(np.int64))
                 inverses.append(inverse)
                 of.append(k)
+                bits.append(bitmap(items))
+                shares.append(1 / len(items) if weights is None else float(weights.min()) / float(weights.sum()))
                 made += len(token)
                 if made >= PREFIX_ROWS:
                     yield packed()
-                    tokens, inverses, of, made = [], [], [], 0
+                    tokens, inverses, of, bits, shares, made = [], [], [], [], [], 0
             if tokens:
                 yield packed()
 
     return run
 
 
+def _shared(a: str, b: str) -> Column:
+    """The most of ``a``'s weight that ``b`` can share, by both bitmaps; at
+    least a very small number."""
+    alone = sum((F.bit_count(F.col(f"{a}_bits")[k].bitwiseAND(F.bitwise_not(F.col(f"{b}_bits")[k]))) for k in range(BITMAP)),
+                F.lit(0))
+    return F.greatest(F.lit(1e-9), 1 - alone * F.col(f"{a}_share"))
+
+
 def _candidates(left: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """``a, b, a_rep, b_rep``: all pairs of the texts of ``left`` (``unit, rep,
     component``) in different components that can be similar enough, by
     :func:`prefix`. Of a shingle's texts only those pairs are formed: one side
     is in the first half of the inverses' range, of the shingle's largest
-    component no two meet, and none of the few items before the shingle is the
-    same in both prefixes -- a pair that shares one has met there or earlier,
+    component no two meet, their bitmaps allow that they share as much weight as
+    a link needs, and none of the few items before the shingle is the same in
+    both prefixes -- a pair that shares one has met there or earlier,
     as the inverses only grow."""
     spark = left.sparkSession
     own = cut(left.join(sets, "unit"), "near-dup-open-sets")
@@ -311,7 +338,8 @@ def _candidates(left: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     ranks = np.zeros(COUNT_SLOTS, np.uint8)
     ranks[counts.column("slot").to_numpy()] = np.minimum(255, 6 * np.log2(counts.column("n").to_numpy()))
     rows = cut(own.mapInArrow(frugal(_prefixes(ranks.tobytes(), least)),
-                              "token bigint, inverse double, before array<int>, unit bigint, rep bigint, component bigint"),
+                              "token bigint, inverse double, before array<int>, bits array<bigint>, share double, "
+                              "unit bigint, rep bigint, component bigint"),
                "near-dup-prefixes")
     both = 1 + 1 / least + 1e-9
     tokens = (rows.groupBy("token", "component").agg(F.count(F.lit(1)).alias("n"), F.min("inverse").alias("inverse"))
@@ -321,7 +349,7 @@ def _candidates(left: DataFrame, sets: DataFrame, least: float) -> DataFrame:
               .where((F.col("__low") < F.col("__high")) & (2 * F.col("least") <= both)).select("token", "hub", "least"))
     near = cut(rows.join(tokens, "token").where(F.col("inverse") + F.col("least") <= both)
                .withColumn("in_hub", F.col("component") == F.col("hub")).drop("hub", "least"), "near-dup-meeting")
-    own_names = ["unit", "rep", "component", "inverse", "before"]
+    own_names = ["unit", "rep", "component", "inverse", "before", "bits", "share"]
     a = near.where(2 * F.col("inverse") <= both).select(
         "token", *[F.col(c).alias(f"a_{c}") for c in own_names],
         F.explode(F.when(F.col("in_hub"), F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True)))).alias("in_hub"))
@@ -329,7 +357,7 @@ def _candidates(left: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     meet = grid_join(a, b, ["token", "in_hub"], SHINGLE_ROWS).where(
         (F.col("a_component") != F.col("b_component")) & (F.col("a_inverse") + F.col("b_inverse") <= both)
         & ((2 * F.col("b_inverse") > both) | (F.col("a_unit") < F.col("b_unit")))   # both in the first half: one way round
-        & ~F.arrays_overlap("a_before", "b_before"))
+        & ~F.arrays_overlap("a_before", "b_before") & (1 / _shared("a", "b") + 1 / _shared("b", "a") <= both))
     swap = F.col("a_unit") > F.col("b_unit")
     either = lambda p, q: F.when(swap, F.col(q)).otherwise(F.col(p))
     return meet.select(either("a_unit", "b_unit").alias("a"), either("b_unit", "a_unit").alias("b"),
