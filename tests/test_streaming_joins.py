@@ -20,10 +20,10 @@ BASE = 1_000_000
 
 
 @pytest.fixture(autouse=True)
-def few_partitions(spark):
-    """Micro-batches of a few rows: two state partitions instead of eight."""
+def one_partition(spark):
+    """Micro-batches of a few rows: one state partition instead of eight."""
     old = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
     yield
     spark.conf.set("spark.sql.shuffle.partitions", old)
 
@@ -78,7 +78,7 @@ def multiset(df, *cols):
 
 
 def test_interval_join_stream_gives_pairs_and_late_rows(spark):
-    rows = two_sided(3, 20)
+    rows = two_sided(12, 18)
     feed = Feed(spark, TWO_SIDED)
     for k, row in enumerate(rows):
         feed.add(row)
