@@ -2,7 +2,8 @@
 
 A stage is a function of (spark, docs, sf_dir). Its result is written as
 Parquet and read again as the next stage's ``docs``; all but the last return
-the columns of documents.
+the columns of documents. Every stage takes whole texts of any length, null
+columns, repeated rows, further columns and an empty table, which stays empty.
 """
 
 from __future__ import annotations
@@ -16,29 +17,36 @@ from tideline.llm.queries import BPE_FILE, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that base rules and line labels keep."""
+    """The documents that base rules and line labels keep. Null, empty and very
+    short texts go; repeated rows are judged alike."""
     field = line_quality.train(docs, table(spark, sf_dir, "labels"))
     return line_quality.judge(docs, field).where("kept").select(*docs.columns)
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that aren't predicted toxic."""
+    """The documents that aren't predicted toxic. Null and empty texts stay, as
+    the score of a text without words is below the threshold; repeated rows are
+    judged alike."""
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
     return toxicity.score(docs, model).where("predicted = 0").select(*docs.columns)
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
+    """One document of each group of near copies, that with the smallest id. A
+    document without words is a group of its own. Of a kept id one row stays for
+    each of its texts; rows with a null id stay."""
     return near_dup.keep_one(docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents in the order of the mix, those taken twice twice."""
+    """The documents in the order of the mix, whole, those taken twice twice.
+    Null sources are one source; texts without words are not taken."""
     return mixing.apply_mix(docs)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every text and the digest of what they decode to."""
+    """Token ids of every text and the digest of what they decode to. Null and
+    empty texts have no ids."""
     ids = bpe.encode(docs.select("doc_id", "source", "text"), BPE_FILE).drop("text")
     return bpe.decode(ids, BPE_FILE).select(
         "doc_id", "source", (F.length("ids") / 4).cast("bigint").alias("n_tokens"), "ids",
