@@ -299,6 +299,16 @@ def test_an_id_links_the_classes_of_its_texts(spark):
     assert {x.doc_id: x.class_id for x in near_dup.near_duplicates(docs).collect()} == {1: 1, 2: 1, 5: 1, 6: 1}
 
 
+def test_bpe_round_trip_is_encode_and_decode(spark):
+    texts = [None, "", "hello  world\n", "<|endoftext|> 日本 🎉", "x " * 500, "\x00"]
+    docs = docs_of(spark, texts).withColumn("decoded", F.lit(1))
+    one = bpe.round_trip(docs, queries.BPE_FILE)
+    two = bpe.decode(bpe.encode(docs, queries.BPE_FILE), queries.BPE_FILE)
+    assert one.columns == two.columns
+    key = lambda rows: sorted((r.doc_id, bytes(r.ids), r.decoded) for r in rows)
+    assert key(one.collect()) == key(two.collect())
+
+
 def test_bitmaps_never_hide_what_two_sets_share():
     r = np.random.default_rng(5)
     for n in (1, 5, 60, 500, 5000):

@@ -285,3 +285,19 @@ def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") ->
                                              [*batch.schema.names, text])
 
     return df.mapInArrow(frugal(run), schema)
+
+
+def round_trip(df: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """:func:`encode` and :func:`decode` in one Python stage, so that a task
+    holds the vocabulary once; the same columns, rules and edge cases."""
+    df = without(df, ids, decoded)
+    schema = T.StructType([*df.schema.fields, T.StructField(ids, T.BinaryType(), True), T.StructField(decoded, T.StringType(), True)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = tokenizer(path)
+        for batch, rows in t.encode_texts(_chunks(batches, text)):
+            packed = pa.array([r.astype("<u4").tobytes() for r in rows], pa.binary())
+            texts = pa.array([t.decode(r) for r in rows], pa.string())
+            yield pa.RecordBatch.from_arrays([*batch.columns, packed, texts], [*batch.schema.names, ids, decoded])
+
+    return df.mapInArrow(frugal(run), schema)
