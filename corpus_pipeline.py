@@ -47,8 +47,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text and the digest of what they decode to. Null and
     empty texts have no ids."""
-    ids = bpe.encode(docs.select("doc_id", "source", "text"), BPE_FILE).drop("text")
-    return bpe.decode(ids, BPE_FILE).select(
+    return bpe.round_trip(docs.select("doc_id", "source", "text"), BPE_FILE).select(
         "doc_id", "source", (F.length("ids") / 4).cast("bigint").alias("n_tokens"), "ids",
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
