@@ -345,6 +345,27 @@ def test_candidates_meet_once(spark):
     assert links and links <= set(pairs)
 
 
+def test_rare_shingles_stay_rare_among_millions(spark, monkeypatch):
+    """Sets with enough shingles that no other set has meet nobody, however
+    many shingles there are in all, if they share only few with each other."""
+    n, alone, common = 3000, 700, 300
+    r = np.random.default_rng(31)
+    pool = r.permutation(np.repeat(np.arange(n * common // 2), 2)).reshape(n, common)
+    sets = [np.unique(np.concatenate([np.arange(u * alone, (u + 1) * alone) + pool.size, pool[u]])).astype("<u4") for u in range(n)]
+    left = spark.createDataFrame([(u, u, u) for u in range(n)], "unit bigint, rep bigint, component bigint")
+    shingle = spark.createDataFrame([(u, bytearray(x.tobytes()), None) for u, x in enumerate(sets)],
+                                    "unit bigint, shingles binary, times binary")
+    rows, real = {}, near_dup.cut
+
+    def counted(df, name, *more):
+        rows[name] = real(df, name, *more)
+        return rows[name]
+
+    monkeypatch.setattr(near_dup, "cut", counted)
+    assert near_dup._candidates(left, shingle, 0.8).isEmpty()
+    assert rows["near-dup-meeting"].isEmpty()
+
+
 def test_linked_sets_share_an_item_of_both_prefixes():
     rng, linked = np.random.default_rng(4), 0
     for _ in range(3000):

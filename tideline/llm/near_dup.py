@@ -50,12 +50,9 @@ BANDS, ROWS = 24, 5
 #: Rounds in which open buckets get other leaders before the exact finish. They
 #: lose nothing and only make components larger, so that fewer pairs are left.
 LEADER_ROUNDS = 1
-#: Slots of the table of shingle counts that orders shingles in the exact
-#: finish. Any order is right; counts that share a slot only cost candidates.
-COUNT_SLOTS = 1 << 20
 #: Rows of one shingle that a task of the exact finish meets.
 SHINGLE_ROWS = 8192
-#: Items before it that a row of a prefix carries, and rows made at a time.
+#: Items before it that a row of a prefix carries, and rows of items or prefixes made at a time.
 BEFORE, PREFIX_ROWS = 8, 100_000
 #: 64-bit words of the bitmap of a set's items that such a row carries.
 BITMAP = 8
@@ -225,20 +222,43 @@ def _linked(least: float):
     return run
 
 
-def _slots(shingle_set: np.ndarray) -> np.ndarray:
-    return (mix64(shingle_set.astype(np.uint64)) % np.uint64(COUNT_SLOTS)).astype(np.int64)
+def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per item of each set, with its count in the set."""
+    def packed(units: list[int], sets: list[np.ndarray], times: list[np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate(sets).view(np.int32)), pa.array(np.repeat(units, [len(x) for x in sets]), pa.int64()),
+             pa.array(np.concatenate(times).astype(np.int32))], ["token", "unit", "weight"])
 
-
-def _slot_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How many sets have a shingle in a slot, for the slots of a task."""
-    counts = np.zeros(COUNT_SLOTS, np.int64)
     for batch in batches:
-        for cell in batch.column("shingles"):
-            np.add.at(counts, _slots(np.frombuffer(cell.as_buffer(), "<u4")), 1)
-    at = np.flatnonzero(counts)
-    for begin in range(0, len(at), 65_536):
-        part = at[begin:begin + 65_536]
-        yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(counts[part], pa.int64())], ["slot", "n"])
+        units, sets, times, made = [], [], [], 0
+        for unit, cell, counts in zip(*(batch.column(c) for c in ("unit", "shingles", "times"))):
+            units.append(unit.as_py())
+            sets.append(np.frombuffer(cell.as_buffer(), "<u4"))
+            times.append(np.frombuffer(counts.as_buffer(), "<u4") if counts.is_valid else np.ones(len(sets[-1]), "<u4"))
+            made += len(sets[-1])
+            if made >= PREFIX_ROWS:
+                yield packed(units, sets, times)
+                units, sets, times, made = [], [], [], 0
+        if units:
+            yield packed(units, sets, times)
+
+
+def _by_unit(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+    """``unit, token, weight, n`` of each unit's rows, which stand together but
+    may lie in several batches."""
+    held: list[list[np.ndarray]] = []
+    for batch in batches:
+        columns = [batch.column(c).to_numpy() for c in ("unit", "token", "weight", "n")]
+        starts = np.flatnonzero(np.diff(columns[0])) + 1
+        for begin, end in zip([0, *starts], [*starts, batch.num_rows]):
+            part = [c[begin:end] for c in columns]
+            if held and len(part[0]) and held[0][0][0] != part[0][0]:
+                yield tuple(map(np.concatenate, zip(*held)))
+                held = []
+            if len(part[0]):
+                held.append(part)
+    if held:
+        yield tuple(map(np.concatenate, zip(*held)))
 
 
 def prefix(items: np.ndarray, weights: np.ndarray | None, ranks: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
@@ -269,47 +289,46 @@ def bitmap(items: np.ndarray) -> np.ndarray:
     return np.packbits(bits).view(np.int64)
 
 
-def _prefixes(ranks: bytes, least: float):
-    """A row per item of each set's prefix, with the few items before it, the
-    set's bitmap and the least share of weight that one of its items has."""
+def _prefixes(least: float):
+    """A row per item of each set's prefix that another set has, with the few
+    such items before it, the set's bitmap and the least share of weight that
+    one of its items has."""
+    def packed(units: list[int], tokens: list[np.ndarray], inverses: list[np.ndarray], bits: list[np.ndarray],
+               shares: list[float]) -> pa.RecordBatch:
+        starts = np.concatenate([np.arange(len(t)) for t in tokens])
+        flat = np.concatenate(tokens)
+        # the items before the k-th of a set are the flat array's items before it
+        lens = np.minimum(starts, BEFORE)
+        at = np.repeat(np.arange(len(flat)) - lens, lens) + np.arange(lens.sum()) - np.repeat(np.cumsum(lens) - lens, lens)
+        before = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(lens)]).astype(np.int32), pa.array(flat[at]))
+        counts = [len(t) for t in tokens]
+        bitmaps = np.repeat(np.array(bits), counts, axis=0)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(flat), pa.array(np.concatenate(inverses)), before,
+             pa.ListArray.from_arrays(np.arange(len(flat) + 1, dtype=np.int32) * BITMAP, bitmaps.ravel()),
+             pa.array(np.repeat(np.array(shares), counts)), pa.array(np.repeat(units, counts), pa.int64())],
+            ["token", "inverse", "before", "bits", "share", "unit"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rank = np.frombuffer(ranks, np.uint8)
-        for batch in batches:
-            tokens, inverses, of, bits, shares, made = [], [], [], [], [], 0
-
-            def packed() -> pa.RecordBatch:
-                starts = np.concatenate([np.arange(len(t)) for t in tokens])
-                flat = np.concatenate(tokens)
-                # the items before the k-th of a set are the flat array's items before it
-                lens = np.minimum(starts, BEFORE)
-                at = np.repeat(np.arange(len(flat)) - lens, lens) + np.arange(lens.sum()) - np.repeat(np.cumsum(lens) - lens, lens)
-                before = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(lens)]).astype(np.int32),
-                                                  pa.array(flat[at].astype(np.uint32).view(np.int32)))
-                counts = [len(t) for t in tokens]
-                rows = pa.array(np.repeat(of, counts))
-                bitmaps = np.repeat(np.array(bits), counts, axis=0)
-                return pa.RecordBatch.from_arrays(
-                    [pa.array(flat), pa.array(np.concatenate(inverses)), before,
-                     pa.ListArray.from_arrays(np.arange(len(flat) + 1, dtype=np.int32) * BITMAP, bitmaps.ravel()),
-                     pa.array(np.repeat(np.array(shares), counts)),
-                     *(batch.column(c).take(rows) for c in ("unit", "rep", "component"))],
-                    ["token", "inverse", "before", "bits", "share", "unit", "rep", "component"])
-
-            for k, (cell, times) in enumerate(zip(batch.column("shingles"), batch.column("times"))):
-                items = np.frombuffer(cell.as_buffer(), "<u4")
-                weights = np.frombuffer(times.as_buffer(), "<u4") if times.is_valid else None
-                token, inverse = prefix(items, weights, rank[_slots(items)], least)
-                tokens.append(token.astype(np.int64))
-                inverses.append(inverse)
-                of.append(k)
-                bits.append(bitmap(items))
-                shares.append(1 / len(items) if weights is None else float(weights.min()) / float(weights.sum()))
-                made += len(token)
-                if made >= PREFIX_ROWS:
-                    yield packed()
-                    tokens, inverses, of, bits, shares, made = [], [], [], [], [], 0
-            if tokens:
-                yield packed()
+        units, tokens, inverses, bits, shares, made = [], [], [], [], [], 0
+        for unit, items, weights, n in _by_unit(batches):
+            order = np.argsort(items)
+            items, weights, n = items[order], weights[order], n[order]
+            token, inverse = prefix(items, weights, n, least)
+            met = n[np.searchsorted(items, token)] > 1
+            if not met.any():
+                continue
+            units.append(int(unit[0]))
+            tokens.append(token[met])
+            inverses.append(inverse[met])
+            bits.append(bitmap(items.view(np.uint32)))
+            shares.append(float(weights.min()) / float(weights.sum()))
+            made += len(tokens[-1])
+            if made >= PREFIX_ROWS:
+                yield packed(units, tokens, inverses, bits, shares)
+                units, tokens, inverses, bits, shares, made = [], [], [], [], [], 0
+        if units:
+            yield packed(units, tokens, inverses, bits, shares)
 
     return run
 
@@ -331,16 +350,15 @@ def _candidates(left: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     a link needs, and none of the few items before the shingle is the same in
     both prefixes -- a pair that shares one has met there or earlier,
     as the inverses only grow."""
-    spark = left.sparkSession
-    own = cut(left.join(sets, "unit"), "near-dup-open-sets")
-    counts = own.select("shingles").mapInArrow(frugal(_slot_counts), "slot bigint, n bigint").groupBy("slot").agg(
-        F.sum("n").alias("n")).toArrow()  # COUNT_SLOTS rows at most
-    ranks = np.zeros(COUNT_SLOTS, np.uint8)
-    ranks[counts.column("slot").to_numpy()] = np.minimum(255, 6 * np.log2(counts.column("n").to_numpy()))
-    rows = cut(own.mapInArrow(frugal(_prefixes(ranks.tobytes(), least)),
-                              "token bigint, inverse double, before array<int>, bits array<bigint>, share double, "
-                              "unit bigint, rep bigint, component bigint"),
-               "near-dup-prefixes")
+    own = left.select("unit").join(sets, "unit")
+    items = cut(own.mapInArrow(frugal(_items), "token int, unit bigint, weight int"), "near-dup-items")
+    # how many sets have a shingle, of each that several have
+    counts = cut(items.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "near-dup-counts")
+    ranked = (items.join(counts, "token", "left").select("unit", "token", "weight", F.coalesce("n", F.lit(1)).alias("n"))
+              .repartition("unit").sortWithinPartitions("unit"))
+    prefixes = ranked.mapInArrow(frugal(_prefixes(least)), "token int, inverse double, before array<int>, bits array<bigint>, "
+                                                           "share double, unit bigint")
+    rows = cut(prefixes.join(left, "unit"), "near-dup-prefixes")
     both = 1 + 1 / least + 1e-9
     tokens = (rows.groupBy("token", "component").agg(F.count(F.lit(1)).alias("n"), F.min("inverse").alias("inverse"))
               .groupBy("token").agg(F.min("component").alias("__low"), F.max("component").alias("__high"),
