@@ -5,6 +5,8 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -417,6 +419,43 @@ def test_shards_do_not_follow_the_splits_of_the_scan(spark, tmp_path):
     assert len({n for n, _ in found}) == 3 and len({shards for _, shards in found}) == 1
 
 
+def test_the_stream_follows_files_of_any_size(spark, tmp_path):
+    """A scan reads large files first; the stream has the first file first."""
+    small, large = ["alone " * 4] * 3, [" ".join(words(40, i)) for i in range(300)]
+    for name, texts in (("a", small), ("b", large)):
+        pq.write_table(pa.table({"text": texts}), tmp_path / f"{name}.parquet")
+    docs = spark.read.parquet(str(tmp_path / "a.parquet"), str(tmp_path / "b.parquet")).select(
+        "text", "_metadata.file_path", "_metadata.file_block_start")
+    real = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "9000")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        n = training_order.write_shards(docs, queries.BPE_FILE, str(tmp_path / "out"), sequence=16, per_shard=8,
+                                        place=("file_path", "file_block_start")).agg(F.sum("n_sequences").alias("n")).first()["n"]
+    finally:
+        for k, v in real.items():
+            spark.conf.set(k, v)
+    read = training_order.with_sequence(training_order.read_shards(spark, str(tmp_path / "out"), 16, 8), n)
+    lib = library()
+    want = [i for t in small + large for i in [*lib.encode(t, add_special_tokens=False).ids, 50256]]
+    got = [i for r in read.orderBy("sequence").collect() for i in np.frombuffer(r.ids, "<u2").tolist()]
+    assert got[:len(want)] == want and len(got) == 16 * n and set(got[len(want):]) <= {50256}
+
+
+def test_pieces_of_a_range_travel_compressed(spark, tmp_path, monkeypatch):
+    """What is dealt to the ranges is less than the ids, and few rows."""
+    docs = docs_of(spark, [" ".join(words(300, i)) for i in range(200)]).select("text").coalesce(1)
+    dealt, real = [], type(docs).repartitionById
+
+    def seen(self, *args):
+        dealt.append(self.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.length("ids")).alias("bytes")).first())
+        return real(self, *args)
+
+    monkeypatch.setattr(type(docs), "repartitionById", seen)
+    manifest = training_order.write_shards(docs, queries.BPE_FILE, str(tmp_path / "out"))
+    assert dealt[0]["rows"] <= 2 and dealt[0]["bytes"] < 0.85 * manifest.agg(F.sum("n_bytes").alias("n")).first()["n"]
+
+
 def test_shards_hold_the_stream_in_slot_order(spark, tmp_path):
     texts = [None, "", "hello world. " * 30, "x", "x"] + [" ".join(words(40, i)) for i in range(30)]
     docs = docs_of(spark, texts).coalesce(1).select(F.lit(1).alias("slot"), "text")

@@ -34,6 +34,8 @@ from .common import frugal, ragged_take, without
 #: Characters of text that a task holds at a time, words that it keeps encoded.
 CHUNK_CHARS = 3_000_000
 KEEP_WORDS = 300_000
+#: Characters of distinct pre-tokens that are encoded together.
+PRETOKEN_CHARS = 4_000_000
 #: Texts that are decoded together.
 DECODE_ROWS = 1000
 
@@ -160,6 +162,19 @@ class Tokenizer:
         counts = np.concatenate([[0], np.cumsum(alive)])
         return sym[alive], counts[offsets]
 
+    def _encode_bounded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """:meth:`encode_pretokens` of at most :data:`PRETOKEN_CHARS` at a time, a longer one alone."""
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+        ids, offsets, begin = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)], 0
+        while begin < len(words):
+            before = int(ends[begin - 1]) if begin else 0
+            end = max(begin + 1, int(np.searchsorted(ends, before + PRETOKEN_CHARS, side="right")))
+            flat, own = self.encode_pretokens(words[begin:end])
+            ids.append(flat)
+            offsets.append(offsets[-1][-1] + own[1:])
+            begin = end
+        return np.concatenate(ids), np.concatenate(offsets)
+
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words (runs of pre-tokens), joined, and the offsets of each."""
         number: defaultdict[str, int] = defaultdict(count().__next__)
@@ -169,7 +184,7 @@ class Tokenizer:
             parts += PRETOKEN.findall(w)
             bounds.append(len(parts))
         which = np.fromiter(map(number.__getitem__, parts), np.int64, len(parts))
-        flat, offsets = self.encode_pretokens(list(number))
+        flat, offsets = self._encode_bounded(list(number))
         ids, lens = ragged_take(flat, offsets, which)
         ends = np.concatenate([[0], np.cumsum(lens)])
         return ids, ends[np.array(bounds)]
@@ -233,16 +248,16 @@ def tokenizer(path: str) -> Tokenizer:
     return Tokenizer(path)
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Slices of the batches with at most :data:`CHUNK_CHARS` bytes of text, a
-    longer single text alone."""
+def _chunks(batches: Iterator[pa.RecordBatch], column: str, size: int | None = None) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Slices of the batches with at most ``size`` (:data:`CHUNK_CHARS`) bytes
+    of text, a longer single text alone."""
     for batch in batches:
         cells = batch.column(column)
         ends = np.cumsum(pc.fill_null(pc.binary_length(cells), 0).to_numpy(zero_copy_only=False))
         begin = 0
         while begin < len(cells):
             before = int(ends[begin - 1]) if begin else 0
-            end = max(begin + 1, int(np.searchsorted(ends, before + CHUNK_CHARS, side="right")))
+            end = max(begin + 1, int(np.searchsorted(ends, before + (size or CHUNK_CHARS), side="right")))
             part = batch.slice(begin, end - begin)
             yield part, ["" if t is None else t for t in part.column(column).to_pylist()]
             begin = end

@@ -33,6 +33,8 @@ PER_SHARD = 512
 SHARDS_PER_TASK = 16
 #: Words that a task keeps encoded; no second Python stage shares its memory.
 KEEP_WORDS = 1_000_000
+#: Bytes of text that are encoded together: fewer passes over the merges' ranks.
+ENCODE_CHARS = 12_000_000
 KEY = "training-order"
 ROUNDS = 6
 
@@ -96,7 +98,7 @@ def tokens(docs: DataFrame, path: str, text: str = "text", place: tuple[str, str
         t = bpe.tokenizer(path)
         end = _end_token(t)
         now, at = ("", TaskContext.get().partitionId()), 0
-        for batch, rows in t.encode_texts(bpe._chunks(batches, "text"), KEEP_WORDS):
+        for batch, rows in t.encode_texts(bpe._chunks(batches, "text", ENCODE_CHARS), KEEP_WORDS):
             packed = [np.append(r, end).astype("<u2").tobytes() for r in rows]
             files, firsts, starts = [], [], []
             for k, raw in enumerate(packed):
@@ -138,7 +140,7 @@ def write_shards(docs: DataFrame, path: str, folder: str, text: str = "text", se
     that is run again writes the same bytes over the same file.
     """
     spark = docs.sparkSession
-    stream = cut(tokens(docs, path, text), "order-tokens")
+    stream = cut(tokens(docs, path, text, place), "order-tokens", "zstd")
     # one row per piece of the scan, so every task can hold them
     parts = stream.groupBy("file", "first").agg(F.sum("n").alias("n"))
     before = Window.orderBy("file", "first").rowsBetween(Window.unboundedPreceding, -1)
@@ -165,44 +167,61 @@ def write_shards(docs: DataFrame, path: str, folder: str, text: str = "text", se
                     done += 2 * take
                     at += take
             slots = order.slot(np.array(numbers, np.int64)) if numbers else np.zeros(0, np.int64)
+            # the pieces of a range go on as one compressed row
+            ranges, places = slots // per_range, np.array(places, np.int32)
+            turn = np.argsort(ranges, kind="stable")
+            starts = np.flatnonzero(np.diff(ranges[turn], prepend=-1))
+            groups = np.split(turn, starts[1:]) if len(turn) else []
+            sizes = np.fromiter(map(len, pieces), np.int32, len(pieces))
+            codec = pa.Codec("zstd", 3)
+            bounds = np.append(starts, len(turn)).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(slots), pa.array(places, pa.int32()), pa.array(pieces, pa.binary())], ["slot", "place", "ids"])
+                [pa.array(ranges[turn][starts].astype(np.int32)),
+                 *(pa.ListArray.from_arrays(bounds, pa.array(x[turn])) for x in (slots, places, sizes)),
+                 pa.array([codec.compress(b"".join([pieces[k] for k in g]), asbytes=True) for g in groups], pa.binary())],
+                ["range", "slots", "places", "sizes", "ids"])
 
-    pieces = stream.join(F.broadcast(bases), ["file", "first"]).select("base", "start", "ids").mapInArrow(
-        frugal(cut_up), "slot bigint, place int, ids binary")
     n_shards = -(-n_sequences // per_shard)
     tasks = -(-n_shards // SHARDS_PER_TASK)
-    by_range = (F.col("slot") / (per_shard * SHARDS_PER_TASK)).cast("int")
-    ranged = pieces.repartitionById(int(tasks), by_range).sortWithinPartitions("slot", "place")
-    blank = np.full(sequence, end, "<u2").tobytes()
+    per_range = per_shard * SHARDS_PER_TASK
+    pieces = stream.join(F.broadcast(bases), ["file", "first"]).select("base", "start", "ids").mapInArrow(
+        frugal(cut_up), "range int, slots array<bigint>, places array<int>, sizes array<int>, ids binary")
+    ranged = pieces.repartitionById(int(tasks), "range").sortWithinPartitions("range")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = filesystem(folder)
-        shard, buffer = None, bytearray()
+        codec = pa.Codec("zstd", 3)
+        now, buffer = None, None  # the shards of one range
 
-        def finish() -> pa.RecordBatch:
+        def finish() -> Iterator[pa.RecordBatch]:
             fs.create_dir(root, recursive=True)
-            own = f"{root}/.{uuid.uuid4().hex}"
-            with fs.open_output_stream(own) as out:
-                out.write(bytes(buffer))
-            fs.move(own, f"{root}/shard-{shard:012d}.bin")
-            return pa.RecordBatch.from_arrays(
-                [pa.array([v]) for v in (shard, shard * per_shard, len(buffer) // (2 * sequence), len(buffer),
-                                         hashlib.sha256(buffer).hexdigest())],
-                ["shard", "first_slot", "n_sequences", "n_bytes", "sha256"])
+            for begin in range(0, len(buffer), per_shard):
+                shard, raw = (now * per_range + begin) // per_shard, buffer[begin:begin + per_shard].tobytes()
+                own = f"{root}/.{uuid.uuid4().hex}"
+                with fs.open_output_stream(own) as out:
+                    out.write(raw)
+                fs.move(own, f"{root}/shard-{shard:012d}.bin")
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([v]) for v in (shard, shard * per_shard, len(raw) // (2 * sequence), len(raw),
+                                             hashlib.sha256(raw).hexdigest())],
+                    ["shard", "first_slot", "n_sequences", "n_bytes", "sha256"])
 
         for batch in batches:
-            for slot, place, ids in zip(*(batch.column(c).to_pylist() for c in ("slot", "place", "ids"))):
-                if slot // per_shard != shard:
-                    if shard is not None:
-                        yield finish()
-                    shard, buffer = slot // per_shard, bytearray()
-                at = (slot % per_shard) * sequence * 2
-                while len(buffer) < at + 2 * sequence:
-                    buffer += blank
-                buffer[at + 2 * place:at + 2 * place + len(ids)] = ids
-        if shard is not None:
-            yield finish()
+            for k in range(batch.num_rows):
+                number = batch.column("range")[k].as_py()
+                if number != now:
+                    if now is not None:
+                        yield from finish()
+                    now = number
+                    buffer = np.full((min(per_range, n_sequences - now * per_range), sequence), end, "<u2")
+                slots, places, sizes = (batch.column(c)[k].values.to_numpy() for c in ("slots", "places", "sizes"))
+                ids = np.frombuffer(codec.decompress(batch.column("ids")[k].as_buffer(), int(sizes.sum())), "<u2")
+                at = 0
+                for slot, place, size in zip((slots - now * per_range).tolist(), places.tolist(), (sizes // 2).tolist()):
+                    buffer[slot, place:place + size] = ids[at:at + size]
+                    at += size
+        if now is not None:
+            yield from finish()
 
     manifest = ranged.mapInArrow(frugal(write), "shard bigint, first_slot bigint, n_sequences bigint, n_bytes bigint, sha256 string")
     return cut(manifest, "order-manifest")
