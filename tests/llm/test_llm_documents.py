@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import sys
 
 import numpy as np
 import pyarrow as pa
@@ -52,6 +53,31 @@ def test_bpe_ids_and_text_are_the_librarys():
             assert own.decode(ids) == lib.decode(want, skip_special_tokens=False) == text
 
 
+def test_bpe_cuts_a_column_by_array_operations(monkeypatch):
+    """White space of every kind, in a column with an offset and nulls, over
+    chunks that share words; no object is made for a word that stands again."""
+    lib, own, r = library(), bpe.Tokenizer(queries.BPE_FILE), random.Random(11)
+    bits = [*" \n\t\r\x0b\x1c\x1f\x85\u00a0\u1680\u180e\u2003\u2028\u205f\u3000\ufeffab'é中²7,!\u201c", "<|endoftext|>", "<|endo",
+            "ftext|>", "'s", " 're", "\n\n", "  ", "the", " the"]
+    texts = ["".join(r.choice(bits) for _ in range(r.randrange(40))) for _ in range(3000)] + [None, "", "<|endo", "ftext|>"]
+    cells = pa.array(["left out", *texts], pa.string()).slice(1)
+    chunks = [cells.slice(k, 700) for k in range(0, len(cells), 700)]
+    got = [ids.tolist() for _, rows in own.encode_texts(enumerate(chunks), keep=1500) for ids in rows]
+    assert got == [lib.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+    seen, real = [], own.encode_words
+
+    def counted(words):
+        seen.append((len(words), sys.getallocatedblocks()))
+        return real(words)
+
+    monkeypatch.setattr(own, "encode_words", counted)
+    one = pa.array(["some words stand here again\nand " * 50_000])
+    before = sys.getallocatedblocks()
+    list(own.encode_texts([(0, one)]))
+    assert len(seen) == 1 and seen[0][0] < 12 and seen[0][1] - before < 50_000
+
+
 def test_bpe_frames(spark):
     docs = docs_of(spark, [None, "", "hello  world", "hello  world"]).withColumn("IDS", F.lit("mine"))
     out = bpe.decode(bpe.encode(docs, queries.BPE_FILE), queries.BPE_FILE)

@@ -1,12 +1,14 @@
 """BPE encoding and decoding with a pair occurrence index.
 
 A task reads its documents in chunks of bounded size, cuts them into words
-that can be encoded on their own, and encodes each distinct word once. All
-distinct words of a chunk lie in one symbol array; the index maps the rank of
-each mergeable pair to all its positions there. Ranks are applied in ascending
-order: a rank's positions are merged together, the neighbours' new pairs join
-the lists of their own (always later) ranks, and lists of ranks that have gone
-stale are skipped when their turn comes. One long word therefore costs about
+that can be encoded on their own, and encodes each distinct word once. Words
+and pre-tokens are places in a chunk's bytes, found and numbered by array
+operations; no Python object is made for one. All distinct pre-tokens of a
+chunk lie in one symbol array; the index maps the rank of each mergeable pair
+to all its positions there. Ranks are applied in ascending order: a rank's
+positions are merged together, the neighbours' new pairs join the lists of
+their own (always later) ranks, and lists of ranks that have gone stale are
+skipped when their turn comes. One long word therefore costs about
 n log n, not n squared.
 
 Ids are a binary column, little-endian unsigned 32-bit integers.
@@ -17,10 +19,8 @@ from __future__ import annotations
 import heapq
 import json
 import re
-from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -34,26 +34,39 @@ from .common import frugal, ragged_take, without
 #: Characters of text that a task holds at a time, words that it keeps encoded.
 CHUNK_CHARS = 3_000_000
 KEEP_WORDS = 300_000
-#: Characters of distinct pre-tokens that are encoded together.
+#: Bytes of distinct pre-tokens that are encoded together.
 PRETOKEN_CHARS = 4_000_000
+#: Words whose ids are put together at a time.
+TAKE_WORDS = 300_000
 #: Texts that are decoded together.
 DECODE_ROWS = 1000
 
-#: A text may be cut between a non-space character and a single space that
-#: stands before another non-space character, and on both sides of a single
-#: line end between non-spaces: no pre-token of the byte-level pattern reaches
-#: across.
-_CUT = re.compile(r"(?<=\S)(?= \S)")
 _TWO_SPACES = re.compile(r"\s\s")
-_BARE, _SPECIAL = "\0bare ", "\0special "
 
 # Fixed values of the public byte-level format: the pre-token pattern and the
 # printable characters that stand for themselves in its alphabet.
 PRETOKEN = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+_KINDS = [regex.compile(k, regex.DOTALL) for k in (r"\s", r"\p{L}", r"\p{N}", ".")]
+_SPACE, _UNKNOWN = 0, 255
 PRINTABLE = [(33, 126), (161, 172), (174, 255)]
 
 
+def _spaces() -> dict[int, np.ndarray]:
+    """First byte -> the bytes behind it, as one number, of the white space
+    beyond ASCII. What any of the libraries takes for white space is here: a
+    word must not be cut beside what may be either."""
+    found: dict[int, list[int]] = {}
+    for c in map(chr, range(0x80, 0x3001)):
+        if c.isspace() or c == "\u180e" or regex.match(r"\s", c):
+            raw = c.encode()
+            found.setdefault(raw[0], []).append(int.from_bytes(raw[1:], "big"))
+    return {lead: np.array(tails) for lead, tails in found.items()}
+
+
+_SPACES = _spaces()
+
+
 def byte_alphabet() -> dict[str, int]:
     """Character of the byte-level alphabet -> byte. Bytes that print stand
     for themselves; the others take the characters from U+0100 on, in order."""
@@ -67,6 +80,20 @@ def distinct(a: np.ndarray) -> np.ndarray:
     return a[np.concatenate([[True], a[1:] != a[:-1]])] if len(a) else a
 
 
+def _flat(cells: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a column of large strings without nulls, joined, and the offsets of each."""
+    if not len(cells):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    offsets = np.frombuffer(cells.buffers()[1], np.int64)[cells.offset:cells.offset + len(cells) + 1]
+    raw = np.frombuffer(cells.buffers()[2] or b"", np.uint8)
+    return raw[offsets[0]:offsets[-1]], offsets - offsets[0]
+
+
+def _column(raw: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """The column of large strings that lie side by side in ``raw``."""
+    return pa.Array.from_buffers(pa.large_string(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(raw)])
+
+
 class Tokenizer:
     """A byte-level BPE vocabulary file, ready for array work."""
 
@@ -86,7 +113,7 @@ class Tokenizer:
         for token, i in self.special.items():
             self.bytes_of[i] = token.encode()
         names = sorted(self.special, key=len, reverse=True)
-        self.special_re = re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
+        self.special_re = re.compile("|".join(map(re.escape, names)).encode()) if names else None
 
         self.byte_id = np.array([vocab[c] for c, _ in sorted(byte_of.items(), key=lambda x: x[1])], np.int32)
         merges = [m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"]]
@@ -101,6 +128,11 @@ class Tokenizer:
         keys = self.left * size + self.right
         order = np.argsort(keys, kind="stable")
         self.keys, self.key_rank = keys[order], order.astype(np.int32)
+        # short integers sort faster; the ranks of pairs of bytes need no search
+        self.rank_type = np.uint16 if len(merges) <= 1 << 16 else np.int32
+        self.byte_rank = self.ranks(np.repeat(self.byte_id, 256), np.tile(self.byte_id, 256)).reshape(256, 256)
+        #: Of each code point: white space, letter, number, other; unknown until it is met.
+        self.kind = np.full(0x110000, _UNKNOWN, np.uint8)
 
     def ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Rank of each pair of symbols, -1 where they don't merge."""
@@ -108,13 +140,11 @@ class Tokenizer:
         at = np.minimum(np.searchsorted(self.keys, k), len(self.keys) - 1)
         return np.where(self.keys[at] == k, self.key_rank[at], np.int32(-1))
 
-    def encode_pretokens(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of many pre-tokens, joined, and the offsets of each."""
-        raw = [w.encode() for w in words]
-        lens = np.fromiter(map(len, raw), np.int64, len(raw))
-        offsets = np.concatenate([[0], np.cumsum(lens)])
-        n = int(offsets[-1])
-        sym = self.byte_id[np.frombuffer(b"".join(raw), np.uint8)].copy()
+    def encode_pretokens(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of many pre-tokens, given as joined bytes and the offsets of
+        each, joined, and the offsets of each."""
+        lens, n = np.diff(offsets), len(raw)
+        sym = self.byte_id[raw]
         nxt, prv = np.arange(1, n + 1, dtype=np.int32), np.arange(-1, n - 1, dtype=np.int32)
         nxt[offsets[1:][lens > 0] - 1] = -1
         prv[offsets[:-1][lens > 0]] = -1
@@ -122,28 +152,29 @@ class Tokenizer:
         lists: dict[int, list[np.ndarray]] = {}
         heap: list[int] = []
 
-        def index(at: np.ndarray) -> None:
-            """Put the pairs that begin at these positions into their ranks' lists."""
-            rank = self.ranks(sym[at], sym[nxt[at]])
-            at, rank = at[rank >= 0], rank[rank >= 0]
+        def index(at: np.ndarray, rank: np.ndarray) -> None:
+            """Put the pairs of these ranks, that begin at these positions, into their ranks' lists."""
+            at, rank = at[rank >= 0], rank[rank >= 0].astype(self.rank_type)
             if not len(at):
                 return
             order = np.argsort(rank, kind="stable")
             at, rank = at[order], rank[order]
             first = np.flatnonzero(np.concatenate([[True], rank[1:] != rank[:-1]]))
-            for r, part in zip(rank[first].tolist(), np.split(at, first[1:])):
+            bounds = [*first.tolist(), len(at)]
+            for r, begin, end in zip(rank[first].tolist(), bounds, bounds[1:]):
                 if r in lists:
-                    lists[r].append(part)
+                    lists[r].append(at[begin:end])
                 else:
-                    lists[r] = [part]
+                    lists[r] = [at[begin:end]]
                     heapq.heappush(heap, r)
 
-        index(np.flatnonzero(nxt >= 0).astype(np.int32))
+        at = np.flatnonzero(nxt >= 0).astype(np.int32)
+        index(at, self.byte_rank[raw[at], raw[at + 1]])
         while heap:
             r = heapq.heappop(heap)
             parts = lists.pop(r)
             a, b = self.left[r], self.right[r]
-            p = distinct(np.concatenate(parts))
+            p = parts[0] if len(parts) == 1 else distinct(np.concatenate(parts))
             p = p[(sym[p] == a) & (nxt[p] >= 0)]
             p = p[sym[nxt[p]] == b]
             if a == b and len(p) > 1:  # of overlapping pairs every second one, from the left
@@ -157,82 +188,129 @@ class Tokenizer:
             sym[p], sym[q], nxt[p] = self.made[r], -1, after
             prv[after[after >= 0]] = p[after >= 0]
             before = prv[p]
-            index(distinct(np.concatenate([before[before >= 0], p[after >= 0]])))
+            at = distinct(np.concatenate([before[before >= 0], p[after >= 0]]))
+            index(at, self.ranks(sym[at], sym[nxt[at]]))
         alive = sym >= 0
         counts = np.concatenate([[0], np.cumsum(alive)])
         return sym[alive], counts[offsets]
 
-    def _encode_bounded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """:meth:`encode_pretokens` of at most :data:`PRETOKEN_CHARS` at a time, a longer one alone."""
-        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
-        ids, offsets, begin = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)], 0
-        while begin < len(words):
-            before = int(ends[begin - 1]) if begin else 0
-            end = max(begin + 1, int(np.searchsorted(ends, before + PRETOKEN_CHARS, side="right")))
-            flat, own = self.encode_pretokens(words[begin:end])
+    def _encode_bounded(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """:meth:`encode_pretokens` of at most :data:`PRETOKEN_CHARS` bytes at a time, a longer one alone."""
+        ids, ends, begin = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)], 0
+        while begin < len(offsets) - 1:
+            end = max(begin + 1, int(np.searchsorted(offsets, offsets[begin] + PRETOKEN_CHARS, side="right")) - 1)
+            own = offsets[begin:end + 1]
+            flat, upto = self.encode_pretokens(raw[own[0]:own[-1]], own - own[0])
             ids.append(flat)
-            offsets.append(offsets[-1][-1] + own[1:])
+            ends.append(ends[-1][-1] + upto[1:])
             begin = end
-        return np.concatenate(ids), np.concatenate(offsets)
-
-    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return np.concatenate(ids), np.concatenate(ends)
+
+    def _kinds(self, points: np.ndarray) -> np.ndarray:
+        """The kind of each code point, as the pre-token pattern sees it."""
+        new = points[self.kind[points] == _UNKNOWN]
+        for p in np.unique(new).tolist():
+            self.kind[p] = next(k for k, kind in enumerate(_KINDS) if kind.match(chr(p)))
+        return self.kind[points]
+
+    def _pretokens(self, words: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """The pre-tokens of words, one after another, and how many there are
+        before each word. They are runs of one kind, the first with the space
+        before it; the pattern itself cuts words with apostrophes or with white
+        space behind their first character."""
+        raw, bounds = _flat(words)
+        begins = np.flatnonzero(raw & 0xC0 != 0x80)
+        points = np.frombuffer(raw.tobytes().decode().encode("utf-32-le"), np.uint32)
+        kind = self._kinds(points)
+        heads = np.searchsorted(begins, bounds[:-1][np.diff(bounds) > 0])
+        first = np.zeros(len(points), bool)
+        first[heads] = True
+        new = first.copy()
+        new[1:] |= (kind[1:] != kind[:-1]) & ~(first[:-1] & (points[:-1] == 0x20))
+        cut = np.zeros(len(raw) + 1, bool)
+        cut[begins[new]] = True
+        odd = begins[(points == 0x27) | ((kind == _SPACE) & ~first)]
+        for w in distinct(np.searchsorted(bounds, odd, side="right") - 1).tolist():
+            begin, end = int(bounds[w]), int(bounds[w + 1])
+            cut[begin + 1:end] = False
+            for part in PRETOKEN.findall(raw[begin:end].tobytes().decode()):
+                cut[begin] = True
+                begin += len(part.encode())
+        starts = np.append(np.flatnonzero(cut[:-1]), len(raw))
+        return _column(raw, starts), np.searchsorted(starts[:-1], bounds)
+
+    def encode_words(self, words: list[str] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words (runs of pre-tokens), joined, and the offsets of each."""
-        number: defaultdict[str, int] = defaultdict(count().__next__)
-        parts: list[str] = []
-        bounds = [0]
-        for w in words:
-            parts += PRETOKEN.findall(w)
-            bounds.append(len(parts))
-        which = np.fromiter(map(number.__getitem__, parts), np.int64, len(parts))
-        flat, offsets = self._encode_bounded(list(number))
-        ids, lens = ragged_take(flat, offsets, which)
-        ends = np.concatenate([[0], np.cumsum(lens)])
-        return ids, ends[np.array(bounds)]
-
-    def _word_keys(self, text: str) -> list[str]:
-        """The text as keys of words. A key is a word that follows a space,
-        less that space, or ``_BARE`` and a word as it stands; neither form
-        can be the other, as no word holds a single space between non-spaces."""
-        if _TWO_SPACES.search(text) or text[0].isspace() or text[-1].isspace():
-            parts = _CUT.split(text)
-            return [p[1:] if p[0] == " " else _BARE + p for p in parts]
-        keys: list[str] = []
-        for k, line in enumerate(text.split("\n")):
-            if k:
-                keys.append(_BARE + "\n")
-            at = len(keys)
-            keys += line.split(" ")
-            keys[at] = _BARE + keys[at]
-        return keys
-
-    def encode_texts(self, chunks: Iterator[tuple[object, list[str]]], keep: int = KEEP_WORDS
+        parts, upto = self._pretokens(words if isinstance(words, pa.Array) else pa.array(words, pa.large_string()))
+        coded = parts.dictionary_encode()
+        flat, offsets = self._encode_bounded(*_flat(coded.dictionary))
+        ids, lens = ragged_take(flat, offsets, coded.indices.to_numpy())
+        return ids, np.concatenate([[0], np.cumsum(lens)])[upto]
+
+    def _words(self, cells: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """The words of a column of texts, one after another, and how many
+        there are before each text. Words lie side by side in the column's own
+        bytes: a word begins with each text, at white space behind a solid
+        character and at one behind a single line end or tab. A special token
+        is a word; no other word equals one."""
+        cells = pc.fill_null(cells.cast(pa.large_string()), "")
+        raw, bounds = _flat(cells)
+        n = len(raw)
+        line = raw - np.uint8(0x09) < 5
+        white = line | (raw == 0x20)
+        solid = ~(white | (raw - np.uint8(0x1C) < 4))
+        for lead, tails in _SPACES.items():
+            at = np.flatnonzero(raw == lead)
+            tail, size = raw[at + 1].astype(np.int64), 2
+            if lead >= 0xE0:
+                tail, size = tail << 8 | raw[at + 2], 3
+            at = at[np.isin(tail, tails)]
+            for k in range(size):
+                solid[at + k] = False
+
+        cut = np.zeros(n + 1, bool)
+        cut[bounds] = True
+        cut[1:n] |= white[1:] & solid[:-1]
+        cut[1:n] |= line[:-1] & cut[:max(n - 1, 0)] & solid[1:]
+        held = np.zeros(len(cells), bool)
+        for name in self.special:
+            held |= pc.match_substring(cells, name).to_numpy(zero_copy_only=False)
+        for base, end in zip(bounds[:-1][held].tolist(), bounds[1:][held].tolist()):
+            for m in self.special_re.finditer(raw[base:end].tobytes()):
+                cut[base + m.start() + 1:base + m.end()] = False
+                cut[[base + m.start(), base + m.end()]] = True
+        starts = np.append(np.flatnonzero(cut[:n]), n)
+        return _column(raw, starts), np.searchsorted(starts[:-1], bounds)
+
+    def encode_texts(self, chunks: Iterator[tuple[object, list[str] | pa.Array]], keep: int = KEEP_WORDS
                      ) -> Iterator[tuple[object, list[np.ndarray]]]:
         """Ids of each text of each chunk. Words stay encoded from one chunk to
         the next until there are more than ``keep``."""
-        number: defaultdict[str, int] = defaultdict()
+        known = None
         for tag, texts in chunks:
-            if not number or len(number) > keep:
-                # the special tokens come first, under keys that no text gives
-                number = defaultdict(count(len(self.special)).__next__,
-                                     {_SPECIAL + s: k for k, s in enumerate(self.special)})
+            if known is None or len(known) > keep:
+                known = pa.array(list(self.special), pa.large_string())
                 flat = np.array(list(self.special.values()), np.int32)
                 offsets = np.arange(len(flat) + 1, dtype=np.int64)
-            known = len(number)
-            rows = []
-            for text in texts:
-                if self.special_re is not None and self.special_re.search(text):
-                    keys: list[str] = []
-                    for k, part in enumerate(self.special_re.split(text)):
-                        if part:
-                            keys += [_SPECIAL + part] if k % 2 else self._word_keys(part)
-                else:
-                    keys = self._word_keys(text) if text else []
-                rows.append(np.fromiter(map(number.__getitem__, keys), np.int32, len(keys)))
-            fresh = list(islice(number, known, None))
-            ids, ends = self.encode_words([w[len(_BARE):] if w.startswith(_BARE) else " " + w for w in fresh])
+            words, upto = self._words(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string()))
+            coded = words.dictionary_encode()
+            at = pc.index_in(coded.dictionary, value_set=known)
+            fresh = coded.dictionary.filter(at.is_null())
+            number = pc.fill_null(at, -1).to_numpy().astype(np.int64)
+            number[number < 0] = np.arange(len(known), len(known) + len(fresh))
+            ids, ends = self.encode_words(fresh)
+            known = pa.concat_arrays([known, fresh])
             flat = np.concatenate([flat, ids])
             offsets = np.concatenate([offsets, offsets[-1] + ends[1:]])
-            yield tag, [ragged_take(flat, offsets, r)[0] for r in rows]
+            which = number[coded.indices.to_numpy()]
+            rows, begin = [], 0
+            while begin < len(texts):
+                end = max(begin + 1, int(np.searchsorted(upto, upto[begin] + TAKE_WORDS, side="right")) - 1)
+                ids, lens = ragged_take(flat, offsets, which[upto[begin]:upto[end]])
+                at = np.concatenate([[0], np.cumsum(lens)])[upto[begin:end + 1] - upto[begin]]
+                rows += [ids[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
+                begin = end
+            yield tag, rows
 
     def decode(self, ids: np.ndarray) -> str:
         """Text of a sequence of ids; bytes that are no UTF-8 become U+FFFD,
@@ -248,9 +326,9 @@ def tokenizer(path: str) -> Tokenizer:
     return Tokenizer(path)
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], column: str, size: int | None = None) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Slices of the batches with at most ``size`` (:data:`CHUNK_CHARS`) bytes
-    of text, a longer single text alone."""
+def _slices(batches: Iterator[pa.RecordBatch], column: str, size: int | None = None) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+    """Slices of the batches, and their column, with at most ``size``
+    (:data:`CHUNK_CHARS`) bytes of text, a longer single text alone."""
     for batch in batches:
         cells = batch.column(column)
         ends = np.cumsum(pc.fill_null(pc.binary_length(cells), 0).to_numpy(zero_copy_only=False))
@@ -259,10 +337,16 @@ def _chunks(batches: Iterator[pa.RecordBatch], column: str, size: int | None = N
             before = int(ends[begin - 1]) if begin else 0
             end = max(begin + 1, int(np.searchsorted(ends, before + (size or CHUNK_CHARS), side="right")))
             part = batch.slice(begin, end - begin)
-            yield part, ["" if t is None else t for t in part.column(column).to_pylist()]
+            yield part, part.column(column)
             begin = end
 
 
+def _chunks(batches: Iterator[pa.RecordBatch], column: str, size: int | None = None) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """:func:`_slices` with the texts as strings, empty for null."""
+    for part, cells in _slices(batches, column, size):
+        yield part, ["" if t is None else t for t in cells.to_pylist()]
+
+
 def _extended(df: DataFrame, name: str, kind: T.DataType) -> T.StructType:
     return T.StructType([*df.schema.fields, T.StructField(name, kind, True)])
 
@@ -278,7 +362,7 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> Da
     schema = _extended(df, ids, T.BinaryType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, rows in tokenizer(path).encode_texts(_chunks(batches, text)):
+        for batch, rows in tokenizer(path).encode_texts(_slices(batches, text)):
             packed = pa.array([r.astype("<u4").tobytes() for r in rows], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns, packed], [*batch.schema.names, ids])
 
@@ -310,7 +394,7 @@ def round_trip(df: DataFrame, path: str, text: str = "text", ids: str = "ids", d
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = tokenizer(path)
-        for batch, rows in t.encode_texts(_chunks(batches, text)):
+        for batch, rows in t.encode_texts(_slices(batches, text)):
             packed = pa.array([r.astype("<u4").tobytes() for r in rows], pa.binary())
             texts = pa.array([t.decode(r) for r in rows], pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns, packed, texts], [*batch.schema.names, ids, decoded])

@@ -98,7 +98,7 @@ def tokens(docs: DataFrame, path: str, text: str = "text", place: tuple[str, str
         t = bpe.tokenizer(path)
         end = _end_token(t)
         now, at = ("", TaskContext.get().partitionId()), 0
-        for batch, rows in t.encode_texts(bpe._chunks(batches, "text", ENCODE_CHARS), KEEP_WORDS):
+        for batch, rows in t.encode_texts(bpe._slices(batches, "text", ENCODE_CHARS), KEEP_WORDS):
             packed = [np.append(r, end).astype("<u2").tobytes() for r in rows]
             files, firsts, starts = [], [], []
             for k, raw in enumerate(packed):
